@@ -89,7 +89,7 @@ def readable_size(col: str):
     """Bytes as text in the largest fitting unit, two decimals."""
     units = F.array(*[F.lit(u) for u in ("B", "KB", "MB", "GB", "TB", "PB")])
     size = F.col(col).cast("double")
-    step = F.least(F.floor(F.log(F.lit(1024.0), size)), F.lit(5)).cast("int")
+    step = F.least(F.floor(F.log2(size) / 10), F.lit(5)).cast("int")
     number = F.round(size / F.pow(F.lit(1024.0), step.cast("double")), 2)
     text = F.concat_ws(" ", number.cast("string"), F.element_at(units, step + 1))
     return F.when(size > 0, text).otherwise(F.lit("0 B"))

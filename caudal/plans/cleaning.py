@@ -38,10 +38,21 @@ def clean_indicators(landed: DataFrame) -> DataFrame:
 
 def clean_climate(daily: DataFrame, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, digits: int | None = 2) -> DataFrame:
     """Daily climate to one row per province and month with dry and heavy-rain flags."""
-    known = keep_known(conform(daily, CLIMATE_DAILY), ["year", "month"])
+    return monthly_climate(conform(daily, CLIMATE_DAILY), ("country_iso3", "province_name"), dry_below, heavy_above, digits)
+
+
+def monthly_climate(
+    daily: DataFrame, place: Sequence[str], dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM,
+    digits: int | None = 2,
+) -> DataFrame:
+    """The same by any columns that identify a place.
+
+    Place names that come from a lookup are cheaper to attach to the monthly rows
+    afterwards, and a place with most of the days is then already reduced.
+    """
     monthly = monthly_rollup(
-        known,
-        ["country_iso3", "province_name", "year", "month"],
+        keep_known(daily, ["year", "month"]),
+        [*place, "year", "month"],
         sums={"precip_total_mm": "precipitation_sum", "et0_total_mm": "et0_fao_evapotranspiration"},
         avgs={"temp_max_avg_c": "temperature_2m_max", "temp_min_avg_c": "temperature_2m_min", "et0_avg_mm": "et0_fao_evapotranspiration"},
         digits=digits,

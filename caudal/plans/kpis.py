@@ -162,7 +162,8 @@ def kpi_03(model: Model, params: CriticalZones = CriticalZones()) -> DataFrame:
     levels = model["service_level"].select("service_level_key", clean_text("service_level_desc").isin(list(params.bad_levels)).alias("is_bad"))
     rows = attach(coverage_rows(model, params.pick), levels, "service_level_key", ["is_bad"])
     sanitation = conditional_sum(rows, ["country_key", "year"], "coverage_pct", {"bad": F.col("is_bad")}, missing=0)
-    sanitation = sanitation.withColumn("sanitation_basic_pct", complement(F.col("bad").cast("double")))
+    # subtracted as decimals: a country exactly at the threshold must not depend on float error
+    sanitation = sanitation.withColumn("sanitation_basic_pct", (F.lit(100) - F.col("bad")).cast("double"))
     sanitation = sanitation.select("country_key", "year", "sanitation_basic_pct",
                                    (F.col("sanitation_basic_pct") < params.adequate_pct).alias("is_low_sanitation"))
 

@@ -13,9 +13,9 @@ from caudal.plans import kpis, star
 from caudal.sources.readers import read_table, slice_period
 from caudal.sources.writers import Sink, write_table, write_to
 
-# One declared layout per dataset. Facts are laid out by year: a layout by surrogate
-# keys would give one small file per country and year.
-CLEAN_KEYS = {"coverage": ("country_iso3", "year"), "indicators": ("country_iso3", "year"), "climate": ("country_iso3", "year", "month")}
+# One declared layout per dataset, by period: refreshes replace periods, and a layout that
+# also splits by country or surrogate key would give one small file per country and year.
+CLEAN_KEYS = {"coverage": ("year",), "indicators": ("year",), "climate": ("year", "month")}
 FACT_KEYS = ("year",)
 
 
