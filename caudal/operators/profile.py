@@ -52,7 +52,7 @@ def null_counts_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | Non
     return df.groupBy(*keys).agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in counted])
 
 
-def describe_by(df: DataFrame, value: str, by: Sequence[str] = (), slices: int = 256) -> DataFrame:
+def describe_by(df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, overall or per group."""
     v = F.col(value).cast("double")
     moments = df.groupBy(*by).agg(

@@ -7,8 +7,10 @@ large table goes through value counts and slices instead (``rank_by``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,21 +72,27 @@ def top_1(df: DataFrame, value: Column | str, by: Sequence[str], cols: Sequence[
     return top_k(df.select(*by, *cols, v.alias("_v")).where(F.col("_v").isNotNull()), "_v", 1, by, tie_break=cols).drop("_v")
 
 
-def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (), slices: int = 256) -> DataFrame:
+def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Distinct values per group with their count and how many rows are smaller.
 
     Returns ``(*by, v, n, smaller)``; NULL values are left out. Equal values are
     counted first, so one that holds a third of the rows becomes one row. The distinct
-    values are cut into ``slices`` at boundaries taken from the data; running counts
-    inside a slice plus the total of the lower slices give the position, so no task
-    sorts a whole group. Only the boundaries, at most ``slices`` numbers, pass through
-    the driver: they are fixed before the plan runs, and a re-run task slices alike.
+    values are cut into ``slices`` (one per shuffle partition by default) at
+    boundaries taken from the data; running counts inside a slice plus the total of
+    the lower slices give the position, so no task sorts a whole group. Boundaries are
+    approximate, positions exact. Only the boundaries, at most ``slices`` numbers, pass
+    through the driver: they are fixed before the plan runs, and a re-run task slices
+    alike.
     """
     v = column(value).cast("double")
     counts = df.select(*by, v.alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
-    steps = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(counts.agg(F.percentile_approx("v", steps, 10000)).first()[0] or []))
-    sliced = counts.withColumn("_slice", _slice_of(F.col("v"), cuts, 0, len(cuts)))
+    slices = slices or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = _boundaries(counts, slices)
+    if cuts:
+        splits = [-math.inf, *cuts, math.inf]
+        sliced = Bucketizer(splits=splits, inputCol="v", outputCol="_slice", handleInvalid="keep").transform(counts)
+    else:
+        sliced = counts.withColumn("_slice", F.lit(0.0))
     # One row per group and slice, so this window holds at most `slices` rows.
     totals = sliced.groupBy(*by, "_slice").agg(F.sum("n").alias("_slice_n"))
     lower = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,16 +102,22 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
     return join_same(placed, totals, [*by, "_slice"], "inner").select(*by, "v", "n", (F.col("_lower") + F.col("_inside")).alias("smaller"))
 
 
-def _slice_of(v: Column, cuts: Sequence[float], low: int, high: int) -> Column:
-    """Number of cuts below ``v``, as a balanced chain of comparisons."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(v <= F.lit(cuts[middle]), _slice_of(v, cuts, low, middle)).otherwise(_slice_of(v, cuts, middle + 1, high))
+def _boundaries(counts: DataFrame, slices: int, groups: int = 64) -> list[float]:
+    """About equally many distinct values between neighbours; at most ``slices - 1`` of them.
+
+    Sketches are merged in ``groups`` tasks first and their quantiles then in one, so
+    that no task merges the sketches of a whole cluster.
+    """
+    steps = [i / slices for i in range(1, slices)]
+    if not steps:
+        return []
+    per_group = counts.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups))).agg(F.percentile_approx("v", steps, 4 * slices).alias("q"))
+    found = per_group.select(F.explode("q").alias("q")).agg(F.percentile_approx("q", steps, 4 * slices)).first()[0]
+    return sorted({c for c in found or [] if math.isfinite(c)})
 
 
 def rank_by(
-    df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = (), absolute: bool = False, slices: int = 256
+    df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = (), absolute: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Rank of every row by descending value (ties share a rank), without a global sort."""
     rows = df.withColumn("_v", (F.abs(F.col(value)) if absolute else F.col(value)).cast("double"))
@@ -115,7 +129,7 @@ def rank_by(
 
 
 def quantiles_by(
-    df: DataFrame, value: Column | str, quantiles: Mapping[str, float], by: Sequence[str] = (), slices: int = 256
+    df: DataFrame, value: Column | str, quantiles: Mapping[str, float], by: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group, for groups of any size."""
     positions = value_positions(df, value, by, slices)

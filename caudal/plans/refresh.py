@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caudal.functions.numeric import Number
 from caudal.operators.quality import require_tables, unresolved_keys
-from caudal.plans import kpis, star
+from caudal.plans import contracts, kpis, star
 from caudal.sources.readers import read_table, slice_period
 from caudal.sources.writers import Sink, write_table, write_to
 
@@ -17,6 +17,7 @@ from caudal.sources.writers import Sink, write_table, write_to
 # also splits by country or surrogate key would give one small file per country and year.
 CLEAN_KEYS = {"coverage": ("year",), "indicators": ("year",), "climate": ("year", "month")}
 FACT_KEYS = ("year",)
+CLEAN_CONTRACTS = {"coverage": contracts.coverage_contract, "indicators": lambda: contracts.INDICATORS, "climate": lambda: contracts.CLIMATE_MONTHLY}
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,26 @@ class Layers:
         return Sink(self.path(layer, name), keys)
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        return read_table(spark, f"{self.root.rstrip('/')}/{layer}", name)
+        schema = star.SCHEMAS.get(name) if layer == "model" else CLEAN_CONTRACTS[name]().schema if layer == "clean" else None
+        return read_table(spark, f"{self.root.rstrip('/')}/{layer}", name, schema)
+
+
+class StoredModel(Mapping[str, DataFrame]):
+    """The stored star schema; a table is opened when it is asked for."""
+
+    def __init__(self, spark: SparkSession, layers: Layers):
+        self._spark, self._layers = spark, layers
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in star.SCHEMAS:
+            raise KeyError(name)
+        return self._layers.read(self._spark, "model", name)
+
+    def __iter__(self):
+        return iter(star.SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(star.SCHEMAS)
 
 
 def run_job(read: Callable[[], DataFrame], clean: Callable[[DataFrame], DataFrame], sink: Sink,
@@ -80,8 +100,8 @@ def refresh_star(
     return written
 
 
-def read_model(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
-    return {name: layers.read(spark, "model", name) for name in (*star.DIMENSIONS, *star.FACTS)}
+def read_model(spark: SparkSession, layers: Layers) -> Mapping[str, DataFrame]:
+    return StoredModel(spark, layers)
 
 
 def foreign_key_report(model: Mapping[str, DataFrame]) -> DataFrame:

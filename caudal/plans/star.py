@@ -50,6 +50,26 @@ FACT_GRAIN = {
 }
 
 
+# Stored schemas. Readers pass them, so opening a table looks at no file.
+_KEYED = lambda name, rest: f"{name}_key bigint, {rest}"
+_TYPED = lambda types: ", ".join(f"{n} {t}" for n, t in types.items())
+SCHEMAS = {
+    "country": _KEYED("country", "country_iso3 string, country_name string, region_name string"),
+    "province": _KEYED("province", "country_iso3 string, province_name string"),
+    "residence_type": _KEYED("residence_type", "residence_type_code string, residence_type_desc string"),
+    "service_type": _KEYED("service_type", "service_type_desc string"),
+    "service_level": _KEYED("service_level", "service_level_desc string"),
+    "indicator": _KEYED("indicator", "indicator_code string, indicator_name string"),
+    "date": "date_key int, date date, year int, month int, month_name string, quarter int",
+    "climate_monthly": f"climate_monthly_id bigint, province_key bigint, date_key int, {_TYPED(MONTHLY_TYPES)}, "
+                       "dry_month_flag boolean, heavy_rain_month_flag boolean, year int",
+    "climate_annual": f"climate_annual_id bigint, country_key bigint, date_key int, {_TYPED(ANNUAL_TYPES)}, year int",
+    "wash_coverage": "wash_coverage_id bigint, country_key bigint, date_key int, residence_type_key bigint, service_type_key bigint, "
+                     f"service_level_key bigint, {_TYPED(COVERAGE_TYPES)}, year int",
+    "socioeconomic": f"socioeconomic_id bigint, country_key bigint, date_key int, indicator_key bigint, {_TYPED(INDICATOR_TYPES)}, year int",
+}
+
+
 def country_dim(coverage: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """Countries of the survey. ``regions`` (country_iso3, region_name) replaces the constant region."""
     if regions is None:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caudal.functions.text import key_from_path
-from caudal.operators.aggregates import union_all
 
 log = logging.getLogger(__name__)
 
@@ -36,28 +35,31 @@ def read_roots(
 ) -> DataFrame:
     """Every Parquet file below several roots, with a key taken from the file path.
 
-    ``columns`` is a plain select, which the scan prunes to. ``on_missing='skip'``
-    leaves out roots that do not exist, with a warning; by default they are an error.
+    One scan over all roots. ``columns`` is a plain select, which the scan prunes to.
+    ``on_missing='skip'`` leaves out roots that do not exist, with a warning; by
+    default they are an error.
     """
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing must be 'error' or 'skip'")
-    frames = []
-    for root in roots:
-        reader = spark.read.option("recursiveFileLookup", True)
-        try:
-            df = (reader.schema(schema) if schema is not None else reader).parquet(root)
-        except AnalysisException as problem:
-            if on_missing == "error":
-                raise
-            log.warning("skipping root %s: %s", root, problem.getCondition())
-            continue
-        wanted = [F.col(c) for c in (columns or df.columns)]
-        if key_pattern:
-            wanted.append(key_from_path("_metadata.file_path", key_pattern).alias(key_col))
-        frames.append(df.select(*wanted))
-    if not frames:
+    found = list(roots) if on_missing == "error" else [root for root in roots if _exists(spark, root)]
+    if not found:
         raise ValueError("none of the roots could be read")
-    return union_all(frames)
+    reader = spark.read.option("recursiveFileLookup", True)
+    df = (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).parquet(*found)
+    wanted = [F.col(c) for c in (columns or df.columns)]
+    if key_pattern:
+        wanted.append(key_from_path("_metadata.file_path", key_pattern).alias(key_col))
+    return df.select(*wanted)
+
+
+def _exists(spark: SparkSession, root: str) -> bool:
+    """Whether a root can be listed; no file is opened."""
+    try:
+        spark.read.format("binaryFile").load(root)
+    except AnalysisException as problem:
+        log.warning("skipping root %s: %s", root, problem.getCondition())
+        return False
+    return True
 
 
 def read_glob(spark: SparkSession, pattern: str, merge_schema: bool = True) -> DataFrame:

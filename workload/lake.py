@@ -7,6 +7,8 @@ Spark from the given tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star
@@ -54,7 +56,7 @@ def clean_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return clean_layer(spark, d).read(spark, "clean", name)
 
 
-def model(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def model(spark: SparkSession, d: str) -> Mapping[str, DataFrame]:
     return read_model(spark, model_layer(spark, d))
 
 
