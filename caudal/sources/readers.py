@@ -74,7 +74,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, r
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON payloads, one whole file per row in ``payload``."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
 def flatten_pages(df: DataFrame, json_col: str, row_schema: T.StructType | str, fields: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -119,13 +119,13 @@ def fact_to_fact_series(spark, d):
     return joins.match_series(rain, orders, ["country_iso3", "year"])
 
 
-@query("JOI-08", f"""SELECT o_orderkey, o_orderstatus, n, {r6('o_totalprice - mean')} AS above_mean FROM orders JOIN (
-    SELECT o_orderstatus, year(o_orderdate) AS y, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1, 2) USING (o_orderstatus) WHERE year(o_orderdate) = y""")
+@query("JOI-08", f"""SELECT o_orderkey, o_orderstatus, n, {r6('o_totalprice * 1000 / total')} AS share FROM (
+    SELECT *, count(*) OVER w AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) OVER w AS DOUBLE) AS total FROM orders WINDOW w AS (PARTITION BY o_orderstatus, year(o_orderdate)))""")
 def group_statistic_on_detail(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", _year(), "o_totalprice")
-    stats = {"n": F.count(F.lit(1)), "mean": F.round(F.avg("o_totalprice"), 4)}
+    stats = {"n": F.count(F.lit(1)), "total": F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("double")}
     joined = joins.with_group_stats(rows, ["o_orderstatus", "year"], stats)
-    return joined.select("o_orderkey", "o_orderstatus", "n", (F.col("o_totalprice") - F.col("mean")).alias("above_mean"))
+    return joined.select("o_orderkey", "o_orderstatus", "n", (F.col("o_totalprice") * 1000 / F.col("total")).alias("share"))
 
 
 @query("JOI-09", """SELECT s.s_suppkey, s.year, rain, n_orders FROM (SELECT s_suppkey, s_nationkey, CAST(year(l_shipdate) AS INTEGER) AS year, sum(l_quantity) AS rain FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3) s
