@@ -28,3 +28,8 @@ def month_end_key(year: Column | str, month: Column | str) -> Column:
 
 def timestamp_of_micros(micros: Column | str) -> Column:
     return F.timestamp_micros(column(micros))
+
+
+def timestamp_of_nanos(nanos: Column | str) -> Column:
+    """For Parquet nanosecond timestamps read as integers (``spark.sql.legacy.parquet.nanosAsLong``)."""
+    return F.timestamp_micros(F.call_function("div", column(nanos), F.lit(1000)))

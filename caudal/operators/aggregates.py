@@ -115,11 +115,11 @@ def rollup_total(df: DataFrame, key: str, aggs: Mapping[str, Column], total_labe
 def distribution(df: DataFrame, col: str, order: Sequence[str] | None = None) -> DataFrame:
     """Count and percentage per level, with the position of a fixed order."""
     counts = df.groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     position = F.lit(None).cast("int")
     if order:
         position = F.nullif(F.array_position(F.array(*[F.lit(o) for o in order]), F.col("level")), F.lit(0).cast("bigint")).cast("int")
-    return counts.select("level", "n", (F.col("n") * 100.0 / total).alias("pct"), position.alias("position"))
+    return counts.select("level", "n", (F.col("n") * F.lit(100.0) / total).cast("double").alias("pct"), position.alias("position"))
 
 
 def status_counts(df: DataFrame, keys: Sequence[str], status_col: str, statuses: Mapping[str, str], entity: Sequence[str] | None = None) -> DataFrame:

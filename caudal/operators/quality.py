@@ -95,9 +95,9 @@ def unresolved_keys(df: DataFrame, dim: DataFrame, on: Sequence[str] | str, dim_
     """
     names = [on] if isinstance(on, str) else list(on)
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    keys = dim.select(*[F.col((dim_on or {}).get(n, n)).alias(n) for n in names]).distinct()
+    keys = dim.select(*[F.col((dim_on or {}).get(n, n)).alias(n) for n in names])
     bad = orphans(counted, keys, names).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_bad"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     return bad.select(*_reported("foreign_key", names, F.col("n_bad"), total))
 
 

@@ -73,9 +73,9 @@ def top_1(df: DataFrame, value: Column | str, by: Sequence[str], cols: Sequence[
 
 
 def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
-    """Distinct values per group with their count and how many rows are smaller.
+    """Distinct values per group with their count, how many rows are smaller, and the group size.
 
-    Returns ``(*by, v, n, smaller)``; NULL values are left out. Equal values are
+    Returns ``(*by, v, n, smaller, size)``; NULL values are left out. Equal values are
     counted first, so one that holds a third of the rows becomes one row. The distinct
     values are cut into ``slices`` (one per shuffle partition by default) at
     boundaries taken from the data; running counts inside a slice plus the total of
@@ -96,10 +96,12 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
     # One row per group and slice, so this window holds at most `slices` rows.
     totals = sliced.groupBy(*by, "_slice").agg(F.sum("n").alias("_slice_n"))
     lower = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*by, "_slice", F.coalesce(F.sum("_slice_n").over(lower), F.lit(0)).alias("_lower"))
+    whole = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = totals.select(*by, "_slice", F.coalesce(F.sum("_slice_n").over(lower), F.lit(0)).alias("_lower"), F.sum("_slice_n").over(whole).alias("size"))
     inside = Window.partitionBy(*by, "_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     placed = sliced.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return join_same(placed, totals, [*by, "_slice"], "inner").select(*by, "v", "n", (F.col("_lower") + F.col("_inside")).alias("smaller"))
+    return join_same(placed, totals, [*by, "_slice"], "inner").select(
+        *by, "v", "n", (F.col("_lower") + F.col("_inside")).alias("smaller"), "size")
 
 
 def _boundaries(counts: DataFrame, slices: int, groups: int = 64) -> list[float]:
@@ -122,9 +124,7 @@ def rank_by(
     """Rank of every row by descending value (ties share a rank), without a global sort."""
     rows = df.withColumn("_v", (F.abs(F.col(value)) if absolute else F.col(value)).cast("double"))
     positions = value_positions(rows, "_v", by, slices)
-    sizes = rows.groupBy(*by).agg(F.count("_v").alias("_size"))
-    positions = join_same(positions, sizes, by) if by else positions.withColumn("_size", rows.agg(F.count("_v")).scalar())
-    ranks = positions.select(*by, F.col("v").alias("_v"), (F.col("_size") - F.col("smaller") - F.col("n") + 1).alias(out))
+    ranks = positions.select(*by, F.col("v").alias("_v"), (F.col("size") - F.col("smaller") - F.col("n") + 1).alias(out))
     return join_same(rows, ranks, [*by, "_v"]).select(*df.columns, out)
 
 
@@ -132,13 +132,11 @@ def quantiles_by(
     df: DataFrame, value: Column | str, quantiles: Mapping[str, float], by: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group, for groups of any size."""
-    positions = value_positions(df, value, by, slices)
-    sizes = positions.groupBy(*by).agg(F.sum("n").alias("_size"))
-    placed = join_same(positions, sizes, by) if by else positions.withColumn("_size", positions.agg(F.sum("n")).scalar())
+    placed = value_positions(df, value, by, slices)
     at = lambda i: F.max(F.when((F.col("smaller") <= i) & (i < F.col("smaller") + F.col("n")), F.col("v")))
     aggs = []
     for out, q in quantiles.items():
-        target = F.lit(float(q)) * (F.col("_size") - 1)
+        target = F.lit(float(q)) * (F.col("size") - 1)
         aggs += [at(F.floor(target)).alias(f"_lo_{out}"), at(F.ceil(target)).alias(f"_hi_{out}"),
                  F.max(target - F.floor(target)).alias(f"_part_{out}")]
     found = placed.groupBy(*by).agg(*aggs)

@@ -1,18 +1,19 @@
 """Refresh from a landing folder as files arrive.
 
-Each micro-batch finds out which partitions its new files touch, recomputes those from
-all landed rows, and replaces them. A batch that is repeated after a failure writes the
-same partitions again, so the result is the same.
+Each micro-batch finds out which partitions its new files belong to, recomputes those
+from everything landed in them, and replaces them. A batch that is repeated after a
+failure writes the same partitions again, so the result is the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.operators.filters import keep_matching
 from caudal.sources.writers import write_partitions
 
 
@@ -20,7 +21,6 @@ def refresh_from_landing(
     spark: SparkSession,
     landing: str,
     schema: T.StructType | str,
-    period: Callable[[DataFrame], DataFrame],
     clean: Callable[[DataFrame], DataFrame],
     target: str,
     keys: Sequence[str],
@@ -29,23 +29,26 @@ def refresh_from_landing(
 ) -> int:
     """Process what has landed since the last call; returns the number of batches.
 
-    ``period`` adds the partition columns ``keys`` to landed rows and ``clean`` turns
-    landed rows into the stored table.
+    ``landing`` is laid out in folders by ``keys``, which ``schema`` includes, and
+    ``clean`` turns landed rows into the stored table, laid out by the same keys.
     """
     batches = []
 
     def replace_touched(batch: DataFrame, batch_id: int) -> None:
-        touched = period(batch).select(*keys).distinct()
-        landed = period(batch.sparkSession.read.schema(schema).option("recursiveFileLookup", True).parquet(landing))
-        write_partitions(clean(keep_matching(landed, touched, keys)), target, keys)
+        # A file lies in one partition, so a batch touches at most `files_per_batch` of
+        # them. As literals they prune the landing folder when the read is planned.
+        touched = batch.select(*keys).distinct().collect()
+        if touched:
+            landed = batch.sparkSession.read.schema(schema).parquet(landing)
+            write_partitions(clean(landed.where(_any_of(touched, keys))), target, keys)
         batches.append(batch_id)
 
-    stream = (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landing)
-    )
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = stream.writeStream.foreachBatch(replace_touched).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return len(batches)
+
+
+def _any_of(partitions: Sequence[Row], keys: Sequence[str]) -> Column:
+    same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in keys]) for p in partitions]
+    return reduce(lambda a, b: a | b, same)

@@ -58,6 +58,23 @@ def test_pages(spark, tmp_path):
     assert values(cleaning.clean_indicators(flat)) == [("ARG", 2000, "X.Y", "name", 1.5)]
 
 
+def test_nanosecond_timestamps(spark, tmp_path):
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from caudal.functions.dates import timestamp_of_nanos
+
+    pq.write_table(pa.table({"date": pa.array([datetime.datetime(2024, 3, 1, 12)], pa.timestamp("ns"))}), tmp_path / "w.parquet", version="2.6")
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    try:
+        df = spark.read.parquet(str(tmp_path))
+        assert str(df.select(timestamp_of_nanos("date")).first()[0]) == "2024-03-01 12:00:00"
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+
+
 def test_arrays_keep_unknown_elements(spark):
     payload = json.dumps({"daily": {"time": ["2024-01-01", "2024-01-02"], "precipitation_sum": [1.5, None]}})
     df = spark.createDataFrame([("Salta", payload), ("Jujuy", json.dumps({"error": "x"}))], "province string, payload string")
@@ -107,16 +124,27 @@ def test_layers_declare_their_layout():
 
 def test_streamed_landing_equals_batch(spark, new_path):
     landing, target, checkpoint = new_path("landing"), new_path("target"), new_path("ckpt")
-    schema = "province string, day date, rain double"
-    rows = [("a", f"2024-0{m}-0{d}", float(m * d)) for m in (1, 2, 3) for d in (1, 2)]
-    frame = lambda part: spark.createDataFrame(part, "province string, day string, rain double").withColumn("day", F.to_date("day"))
-    period = lambda df: df.withColumns({"year": F.year("day"), "month": F.month("day")})
+    schema = "province string, day string, rain double, year int, month int"
+    rows = [("a", f"2024-0{m}-0{d}", float(m * d), 2024, m) for m in (1, 2, 3) for d in (1, 2)]
     clean = lambda df: df.groupBy("province", "year", "month").agg(F.sum("rain").alias("rain"))
-    run = lambda: refresh_from_landing(spark, landing, schema, period, clean, target, ["year", "month"], checkpoint)
+    land = lambda part: writers.write_partitions(spark.createDataFrame(part, schema), landing, ["year", "month"], "append")
+    run = lambda: refresh_from_landing(spark, landing, schema, clean, target, ["year", "month"], checkpoint)
 
-    frame(rows[:3]).write.parquet(landing)
+    land(rows[:3])
     assert run() == 1
-    frame(rows[3:]).write.mode("append").parquet(landing)  # February is completed, March is new
+    land(rows[3:])  # February is completed, March is new
     assert run() == 1 and run() == 0
-    expected = clean(period(frame(rows)))
+    expected = clean(spark.createDataFrame(rows, schema))
     assert values(spark.read.parquet(target), "province", "year", "month", "rain") == values(expected, "province", "year", "month", "rain")
+
+
+def test_touched_partitions_prune_the_landing(spark, new_path):
+    from caudal.streaming.landing import _any_of
+
+    landing = new_path()
+    writers.write_partitions(spark.range(100).select("id", (F.col("id") % 10).cast("int").alias("k")), landing, ["k"])
+    landed = spark.read.schema("id bigint, k int").parquet(landing)
+    touched = landed.where("k = 3").select("k").distinct().collect()
+    pruned = landed.where(_any_of(touched, ["k"]))
+    assert pruned.count() == 10 and len(pruned.select("_metadata.file_path").distinct().collect()) == 1
+    assert "PartitionFilters: [(k" in pruned._jdf.queryExecution().executedPlan().toString()

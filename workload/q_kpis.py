@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from caudal.operators.projection import serve
 from caudal.operators.aggregates import pivot_values
-from caudal.operators.filters import earliest
 from caudal.operators.windows import rank_by, scale_to_max, top_k
 from caudal.plans import exploration, kpis, registry, summaries
 from caudal.plans.refresh import read_gold
@@ -208,9 +207,7 @@ def regional_gap_change(spark, d):
     CASE risk_level WHEN 'Rojo' THEN 1 WHEN 'Amarillo' THEN 2 WHEN 'Verde' THEN 3 END AS position
     FROM kpi_07 WHERE year = (SELECT max(year) FROM kpi_07) GROUP BY risk_level""", "kpi_07"))
 def risk_distribution_latest_year(spark, d):
-    # integer * 100.0 / integer is a decimal in Spark
-    shares = summaries.risk_shares(lake.gold(spark, d, "kpi_07"))
-    return shares.withColumn("pct", F.col("pct").cast("double"))
+    return summaries.risk_shares(lake.gold(spark, d, "kpi_07"))
 
 
 @query("AGG-17 SET-02 RUL-02", with_parts(f"""SELECT coalesce(region_name, 'Regional') AS region_name, max(n_countries) AS n_countries, {r6('avg(CAST(corr_water_vs_gdp AS DOUBLE))')} AS correlation_coefficient,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caudal.operators import quality
+from caudal.operators.projection import dictionary
 from caudal.plans import contracts
 from caudal.plans.refresh import foreign_key_report
 from workload import lake
@@ -101,3 +102,15 @@ def schema_changes(spark, d):
     stored = lake.clean_table(spark, d, "indicators")
     changed = stored.drop("indicator_name").withColumn("year", F.col("year").cast("bigint")).withColumn("flagged", F.lit(True))
     return quality.schema_changes(changed, contracts.INDICATORS).withColumn("n_rows", changed.agg(F.count(F.lit(1))).scalar())
+
+
+@query("DQ-13 DQ-01", with_parts(" UNION ALL ".join(
+    f"SELECT '{original}' AS column_original, '{name}' AS column_normalized, '{dtype}' AS dtype, count(*) FILTER ({name} IS NULL) AS n_bad, count(*) AS n_total FROM indicators"
+    for original, name, dtype in (("country_code", "country_iso3", "string"), ("date", "year", "int"), ("indicator_code", "indicator_code", "string"),
+                                  ("indicator_name", "indicator_name", "string"), ("value", "indicator_value", "double"))), "indicators"))
+def dictionary_of_stored_table(spark, d):
+    """The declared columns of a stored table next to what is unknown in them."""
+    declared = dictionary(spark, [contracts.INDICATORS])
+    unknown = quality.dq_report(lake.clean_table(spark, d, "indicators"), quality.nulls(contracts.INDICATORS.columns))
+    joined = declared.join(unknown.withColumnRenamed("column_name", "column_normalized"), "column_normalized")
+    return joined.select("column_original", "column_normalized", "dtype", "n_bad", "n_total")

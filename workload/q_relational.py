@@ -218,8 +218,7 @@ def mean_of_absolutes(spark, d):
 
 @query("AGG-19", f"SELECT o_orderstatus AS level, count(*) AS n, {r6('count(*) * 100.0 / sum(count(*)) OVER ()')} AS pct, CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 WHEN 'F' THEN 3 END AS position FROM orders GROUP BY 1")
 def ordered_distribution(spark, d):
-    shares = aggregates.distribution(table(spark, d, "orders"), "o_orderstatus", ["P", "O", "F"])
-    return shares.withColumn("pct", F.col("pct").cast("double"))
+    return aggregates.distribution(table(spark, d, "orders"), "o_orderstatus", ["P", "O", "F"])
 
 
 @query("AGG-20", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows, count(*) FILTER (o_orderstatus = 'F') AS n_f, count(*) FILTER (o_orderstatus = 'P') AS n_p, count(DISTINCT (o_custkey, o_orderpriority)) AS n_entities FROM orders GROUP BY 1")
