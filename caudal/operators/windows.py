@@ -77,7 +77,7 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
 
     Returns ``(*by, v, n, smaller, size)``; NULL values are left out. Equal values are
     counted first, so one that holds a third of the rows becomes one row. The distinct
-    values are cut into ``slices`` (one per shuffle partition by default) at
+    values are cut into ``slices`` (two per shuffle partition by default) at
     boundaries taken from the data; running counts inside a slice plus the total of
     the lower slices give the position, so no task sorts a whole group. Boundaries are
     approximate, positions exact. Only the boundaries, at most ``slices`` numbers, pass
@@ -86,13 +86,14 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
     """
     v = column(value).cast("double")
     counts = df.select(*by, v.alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
-    slices = slices or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = _boundaries(counts, slices)
     if cuts:
         splits = [-math.inf, *cuts, math.inf]
         sliced = Bucketizer(splits=splits, inputCol="v", outputCol="_slice", handleInvalid="keep").transform(counts)
+        sliced = sliced.withColumn("_slice", F.col("_slice").cast("int"))
     else:
-        sliced = counts.withColumn("_slice", F.lit(0.0))
+        sliced = counts.withColumn("_slice", F.lit(0))
     # One row per group and slice, so this window holds at most `slices` rows.
     totals = sliced.groupBy(*by, "_slice").agg(F.sum("n").alias("_slice_n"))
     lower = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,8 +114,8 @@ def _boundaries(counts: DataFrame, slices: int, groups: int = 64) -> list[float]
     steps = [i / slices for i in range(1, slices)]
     if not steps:
         return []
-    per_group = counts.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups))).agg(F.percentile_approx("v", steps, 4 * slices).alias("q"))
-    found = per_group.select(F.explode("q").alias("q")).agg(F.percentile_approx("q", steps, 4 * slices)).first()[0]
+    per_group = counts.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups))).agg(F.percentile_approx("v", steps, 2 * slices).alias("q"))
+    found = per_group.select(F.explode("q").alias("q")).agg(F.percentile_approx("q", steps, 2 * slices)).first()[0]
     return sorted({c for c in found or [] if math.isfinite(c)})
 
 
