@@ -1,6 +1,6 @@
 """Refresh jobs for ``spark-submit``: ``clean``, ``star``, ``gold`` or ``all``.
 
-    spark-submit caudal/jobs.py all --landing s3a://bucket/bronze --root s3a://bucket/lake --year 2024
+    spark-submit --py-files caudal.zip caudal/jobs.py all --landing s3a://bucket/bronze --root s3a://bucket/lake --year 2024
 """
 
 from __future__ import annotations

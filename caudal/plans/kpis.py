@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from caudal.functions.bands import correlation_risk, gap_risk, impact_direction, index_risk, level_risk, yearly_trend, TRAFFIC_ES
 from caudal.functions.dates import year_of_key
 from caudal.functions.numeric import Number, complement, gap, minmax_norm, safe_corr, weighted_index
-from caudal.functions.text import clean_text
+from caudal.functions.text import clean_text, stable_key
 from caudal.operators.aggregates import conditional_sum, pivot_values, trend_class
 from caudal.operators.filters import clip_to_range, drop_incomplete, groups_of_at_least, keep_matching
 from caudal.operators.joins import attach, match_series, with_group_stats
@@ -58,18 +58,30 @@ def with_year(fact: DataFrame) -> DataFrame:
     return fact if "year" in fact.columns else fact.withColumn("year", year_of_key("date_key"))
 
 
+def with_keys_of(model: Model, rows: DataFrame, dim: str, natural_key: str, wanted: Sequence[str] | None) -> DataFrame:
+    """Fact rows of some dimension members; ``None`` keeps all.
+
+    A model that says its keys are stable lets the keys be written as literals, which
+    reach the scan and skip row groups of facts sorted by them. Any other model is
+    narrowed by a semi-join with the dimension.
+    """
+    key = f"{dim}_key"
+    if wanted is None:
+        return rows
+    if getattr(model, "stable_keys", False):
+        return rows.where(F.col(key).isin([stable_key(F.lit(w)) for w in wanted]))
+    return keep_matching(rows, model[dim].where(F.col(natural_key).isin(list(wanted))), key)
+
+
 def coverage_rows(model: Model, pick: Pick) -> DataFrame:
-    """Coverage facts of a pick, narrowed by semi-joins on the described dimension rows."""
+    """Coverage facts of a pick."""
     rows = with_year(model["wash_coverage"])
-    for dim, key, desc, wanted in (
-        ("service_type", "service_type_key", "service_type_desc", None if pick.service is None else [pick.service]),
-        ("service_level", "service_level_key", "service_level_desc", pick.levels),
-        ("residence_type", "residence_type_key", "residence_type_desc", pick.residences),
-        ("country", "country_key", "country_iso3", pick.countries),
-    ):
-        if wanted is not None:
-            value = F.col(desc) if desc == "country_iso3" else clean_text(desc)
-            rows = keep_matching(rows, model[dim].where(value.isin(list(wanted))), key)
+    rows = with_keys_of(model, rows, "service_type", "service_type_desc", None if pick.service is None else [pick.service])
+    rows = with_keys_of(model, rows, "service_level", "service_level_desc", pick.levels)
+    rows = with_keys_of(model, rows, "country", "country_iso3", pick.countries)
+    if pick.residences is not None:
+        # keyed by code, picked by description
+        rows = keep_matching(rows, model["residence_type"].where(clean_text("residence_type_desc").isin(list(pick.residences))), "residence_type_key")
     return rows
 
 
@@ -85,7 +97,10 @@ def name_country(model: Model, df: DataFrame, how: str, *cols: str) -> DataFrame
 def indicator_values(model: Model, codes: Sequence[str]) -> DataFrame:
     """Yearly values of some indicators with their codes."""
     wanted = model["indicator"].where(F.col("indicator_code").isin(list(codes)))
-    rows = attach(with_year(model["socioeconomic"]), wanted, "indicator_key", ["indicator_code"], "inner")
+    rows = with_year(model["socioeconomic"])
+    if getattr(model, "stable_keys", False):
+        rows = with_keys_of(model, rows, "indicator", "indicator_code", codes)
+    rows = attach(rows, wanted, "indicator_key", ["indicator_code"], "inner")
     return rows.select("country_key", "year", "indicator_code", "indicator_value")
 
 
@@ -291,6 +306,8 @@ class WaterSanitationGap:
 def kpi_07(model: Model, params: WaterSanitationGap = WaterSanitationGap()) -> DataFrame:
     """Gap between safe water and safe sanitation, both from one scan of the coverage fact."""
     rows = coverage_rows(model, Pick(None, None, params.water.residences, params.water.countries))
+    rows = with_keys_of(model, rows, "service_type", "service_type_desc", [params.water.service, params.sanitation.service])
+    rows = with_keys_of(model, rows, "service_level", "service_level_desc", [*params.water.levels, *params.sanitation.levels])
     rows = attach(rows, model["service_type"], "service_type_key", ["service_type_desc"])
     rows = attach(rows, model["service_level"], "service_level_key", ["service_level_desc"])
     side = lambda p: (clean_text("service_type_desc") == p.service) & clean_text("service_level_desc").isin(list(p.levels))

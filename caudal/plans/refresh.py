@@ -17,6 +17,13 @@ from caudal.sources.writers import Sink, write_table, write_to
 # also splits by country or surrogate key would give one small file per country and year.
 CLEAN_KEYS = {"coverage": ("year",), "indicators": ("year",), "climate": ("year", "month")}
 FACT_KEYS = ("year",)
+# Facts are sorted by what indicators filter on, so scans skip row groups.
+FACT_ORDER = {
+    "wash_coverage": ("service_type_key", "service_level_key", "residence_type_key", "country_key"),
+    "socioeconomic": ("indicator_key", "country_key"),
+    "climate_monthly": ("province_key", "date_key"),
+    "climate_annual": ("country_key",),
+}
 CLEAN_CONTRACTS = {"coverage": contracts.coverage_contract, "indicators": lambda: contracts.INDICATORS, "climate": lambda: contracts.CLIMATE_MONTHLY}
 
 
@@ -31,7 +38,7 @@ class Layers:
 
     def sink(self, layer: str, name: str) -> Sink:
         keys = CLEAN_KEYS[name] if layer == "clean" else FACT_KEYS if name in star.FACTS else ()
-        return Sink(self.path(layer, name), keys)
+        return Sink(self.path(layer, name), keys, order=FACT_ORDER.get(name, ()) if layer == "model" else ())
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         schema = star.SCHEMAS.get(name) if layer == "model" else CLEAN_CONTRACTS[name]().schema if layer == "clean" else None
@@ -41,6 +48,8 @@ class Layers:
 class StoredModel(Mapping[str, DataFrame]):
     """The stored star schema; a table is opened when it is asked for."""
 
+    stable_keys = True  # written by refresh_star
+
     def __init__(self, spark: SparkSession, layers: Layers):
         self._spark, self._layers = spark, layers
 
