@@ -90,7 +90,3 @@ def one_in_n(pct: Column | str) -> Column:
     n = F.bround(F.try_divide(F.lit(100.0), x)).cast("bigint")
     return F.when(x > 0, F.greatest(F.lit(1).cast("bigint"), n))
 
-
-def share_of(part: Column | str, whole: Column | str) -> Column:
-    """Percentage of ``whole``; NULL when the whole is zero."""
-    return F.try_divide(column(part).cast("double") * F.lit(100.0), column(whole).cast("double"))

@@ -1,4 +1,4 @@
-"""Refresh jobs for ``spark-submit``: ``clean``, ``star``, ``gold`` or ``all``.
+"""Jobs for ``spark-submit``: ``check`` reports on the landed sources; ``clean``, ``star``, ``gold`` or ``all`` refresh.
 
     spark-submit --py-files caudal.zip caudal/jobs.py all --landing s3a://bucket/bronze --root s3a://bucket/lake --year 2024
 """
@@ -35,13 +35,20 @@ def run(spark: SparkSession, step: str, root: str, landing: str | None = None, y
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("step", choices=(*STEPS, "all"))
-    parser.add_argument("--root", required=True, help="where the clean, model and gold layers live")
+    parser.add_argument("step", choices=("check", *STEPS, "all"))
+    parser.add_argument("--root", help="where the clean, model and gold layers live")
     parser.add_argument("--landing", help="where the sources land")
     parser.add_argument("--year", type=int)
     parser.add_argument("--month", type=int)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"caudal-{args.step}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if args.step == "check":
+        if not args.landing:
+            parser.error("check needs --landing")
+        landed.report(spark, args.landing).show(1000, truncate=False)  # one row per check
+        return
+    if not args.root:
+        parser.error("a refresh needs --root")
     print(json.dumps(run(spark, args.step, args.root, args.landing, args.year, args.month)))
 
 

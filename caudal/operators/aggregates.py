@@ -101,10 +101,6 @@ def pivot_values(
     return wide if fill is None else wide.na.fill(fill, subset=list(names.values()))
 
 
-def unpivot_values(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name_col: str, value_col: str) -> DataFrame:
-    return df.unpivot(list(keys), list(cols), name_col, value_col)
-
-
 def rollup_total(df: DataFrame, key: str, aggs: Mapping[str, Column], total_label: str = "Regional") -> DataFrame:
     """One row per key and a grand total over the raw rows, in one pass."""
     rolled = df.rollup(key).agg(F.grouping(key).alias("_total"), *[c.alias(n) for n, c in aggs.items()])

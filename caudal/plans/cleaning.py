@@ -11,7 +11,7 @@ from caudal.functions.numeric import Number
 from caudal.operators.aggregates import monthly_rollup
 from caudal.operators.filters import keep_in, keep_known, non_negative_or_null
 from caudal.operators.projection import conform
-from caudal.operators.quality import RowCheck, fill_by_type, negatives, nulls
+from caudal.operators.quality import dq_report, duplicate_rows, fill_by_type, full_report, negatives, nulls
 from caudal.plans.contracts import CLIMATE_DAILY, INDICATORS, coverage_contract
 
 RESIDENCES = ("total", "urban", "rural")
@@ -63,14 +63,17 @@ def monthly_climate(
     })
 
 
-def coverage_checks() -> list[RowCheck]:
-    columns = coverage_contract().columns
-    return nulls(columns) + negatives(["coverage_pct", "population_total"])
+def coverage_report(landed: DataFrame, residence_codes: dict[str, str] | None = None) -> DataFrame:
+    """What is wrong with landed coverage rows once typed: unknown, negative and repeated."""
+    contract = coverage_contract(residence_codes)
+    typed = conform(landed, contract)
+    checks = nulls(contract.columns) + negatives(["coverage_pct", "population_total"])
+    return full_report([dq_report(typed, checks), duplicate_rows(typed)])
 
 
-def climate_checks() -> list[RowCheck]:
-    return nulls(["temperature_2m_max"])
+def climate_report(daily: DataFrame) -> DataFrame:
+    return dq_report(conform(daily, CLIMATE_DAILY), nulls(["year", "month", "temperature_2m_max"]))
 
 
-def indicator_checks() -> list[RowCheck]:
-    return negatives(["indicator_value"])
+def indicator_report(landed: DataFrame) -> DataFrame:
+    return dq_report(conform(landed, INDICATORS), nulls(["indicator_value"]) + negatives(["indicator_value"]))

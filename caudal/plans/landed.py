@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caudal.operators.projection import with_date_parts
-from caudal.plans.cleaning import clean_climate, clean_coverage, clean_indicators
+from caudal.operators.quality import full_report
+from caudal.plans.cleaning import clean_climate, clean_coverage, clean_indicators, climate_report, coverage_report, indicator_report
 from caudal.sources.readers import read_glob, read_roots
 
 # Landing folders and the countries with daily climate.
@@ -47,3 +49,14 @@ def cleaned(spark: SparkSession, landing: str, countries: Sequence[str] = CLIMAT
         "indicators": clean_indicators(read_indicators(spark, landing)),
         "climate": clean_climate(read_climate(spark, landing, countries)),
     }
+
+
+def report(spark: SparkSession, landing: str, countries: Sequence[str] = CLIMATE_COUNTRIES) -> DataFrame:
+    """Quality of the landed sources: one row per source, check and column."""
+    landing = landing.rstrip("/")
+    reports = {
+        "coverage": coverage_report(read_coverage(spark, landing)),
+        "indicators": indicator_report(read_indicators(spark, landing)),
+        "climate": climate_report(read_climate(spark, landing, countries)),
+    }
+    return full_report([df.select(F.lit(name).alias("source"), "*") for name, df in reports.items()])

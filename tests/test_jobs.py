@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal import jobs
-from caudal.plans import kpis, star
+from caudal.plans import kpis, landed, star
 from caudal.plans.refresh import Layers, foreign_key_report, read_clean, read_gold, read_model
 
 from conftest import values
@@ -70,6 +70,13 @@ def test_one_month_replaces_one_month(spark, built):
     assert read_clean(spark, Layers(root))["climate"].count() == 576
 
 
+def test_report_on_the_landed_sources(spark, built):
+    rows = {(r.source, r.check_name, r.column_name): r.n_bad for r in landed.report(spark, built[0]).collect()}
+    assert rows[("coverage", "duplicate_row", "*")] == 1 and rows[("coverage", "negative", "coverage_pct")] == 1
+    assert rows[("coverage", "null", "coverage_pct")] == 1 and rows[("indicators", "null", "indicator_value")] == 1
+    assert rows[("climate", "null", "year")] == 0 and rows[("indicators", "negative", "indicator_value")] == 0
+
+
 def test_clean_needs_a_landing_root(spark, tmp_path):
     with pytest.raises(ValueError, match="landing root"):
         jobs.run(spark, "clean", str(tmp_path))

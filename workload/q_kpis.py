@@ -14,7 +14,7 @@ from caudal.plans.refresh import read_gold
 from workload import bindings, lake
 from workload.bindings import PARAMS
 from workload.catalog import query
-from workload.oracle import ES, corr, correlation_risk, key, r6, with_parts
+from workload.oracle import ES, correlation_risk, r6, with_parts
 
 K1 = (f"country_key, country_name, residence_type_key, residence_type_desc, year, precip_total_mm_year, {r6('delta_precip_mm')} AS delta_precip_mm, "
       f"safe_water_pct, {r6('delta_safe_water_pp')} AS delta_safe_water_pp, years_observed, {r6('corr_precip_vs_water')} AS corr_precip_vs_water, "

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from caudal.operators import quality
 from caudal.operators.projection import dictionary
 from caudal.plans import contracts
+from caudal.plans.cleaning import climate_report, coverage_report
 from caudal.plans.refresh import foreign_key_report
-from workload import lake
+from workload import bindings, lake
 from workload.bindings import table
 from workload.catalog import query
 from workload.oracle import with_parts
@@ -44,6 +45,23 @@ def filled_by_type(spark, d):
     return quality.fill_by_type(table(spark, d, "documents").select("doc_id", "lang").join(labels, "doc_id", "left"))
 
 
+_LANDED_COLUMNS = ("country_iso3", "country_name", "year", "residence_type_code", "residence_type_desc", "service_type_desc", "service_level_desc", "coverage_pct", "population_total")
+
+
+@query("DQ-01 DQ-02 DQ-03 CLN-01", with_parts(" UNION ALL ".join(
+    [_report("null", c, f"{c} IS NULL", "coverage") for c in _LANDED_COLUMNS]
+    + [_report("negative", c, f"{c} < 0", "coverage") for c in ("coverage_pct", "population_total")]
+    + ["SELECT 'duplicate_row', '*', count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM coverage)), count(*) FROM coverage"]), "coverage"))
+def landed_coverage_report(spark, d):
+    return coverage_report(bindings.landed_coverage(spark, d), bindings.RESIDENCE_CODES)
+
+
+@query("DQ-01 CLN-02", " UNION ALL ".join(_report("null", c, f"{x} IS NULL", "lineitem") for c, x in (("year", "l_shipdate"), ("month", "l_shipdate"), ("temperature_2m_max", "l_linenumber"))))
+def landed_climate_report(spark, d):
+    daily = bindings.daily_climate(spark, d)
+    return climate_report(daily.withColumns({"country_iso3": F.col("s_suppkey").cast("string"), "province": F.lit("all")}))
+
+
 @query("DQ-08", """SELECT 'foreign_key' AS check_name, 'doc_id' AS column_name, count(*) FILTER (l.doc_id IS NULL) AS n_bad, count(*) AS n_total FROM documents d LEFT JOIN labels l USING (doc_id)
     UNION ALL SELECT 'foreign_key', 'l_orderkey', count(*) FILTER (o_orderkey IS NULL), count(*) FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""")
 def unresolved_keys(spark, d):

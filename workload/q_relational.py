@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caudal.functions import bands, numeric, text
-from caudal.operators import aggregates, filters, joins, projection, windows
+from caudal.operators import aggregates, filters, joins, windows
 from caudal.operators.profile import describe_by, null_counts_by, profile, value_pairs
 from workload import bindings, lake
 from workload.bindings import table

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caudal.functions.dates import timestamp_of_micros
-from caudal.operators.aggregates import union_all
 from caudal.operators.filters import keep_known
 from caudal.operators.profile import file_listing, size_report
 from caudal.operators.projection import Contract, Field, conform, serve, snake_names, with_date_parts, with_types
