@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caudal.functions.dates import key_of_date
 from caudal.functions.text import stable_key
 from caudal.operators.joins import attach_all
-from caudal.operators.projection import with_types
+from caudal.operators.projection import with_exact_types
 
 
 def build_dim(df: DataFrame, natural_keys: Sequence[str], key_col: str, attrs: Sequence[str] = (),
@@ -72,7 +72,7 @@ def build_fact(
 
     Unmatched natural keys give a NULL foreign key, which the quality report counts.
     """
-    resolved = with_types(attach_all(df, lookups), casts)
+    resolved = with_exact_types(attach_all(df, lookups), casts)
     if id_col:
         resolved = resolved.withColumn(id_col, stable_key(*grain))
         return resolved.select(id_col, *columns)

@@ -77,10 +77,15 @@ def empty_like(spark: SparkSession, contract: Contract) -> DataFrame:
 
 
 def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Lenient casts: text that is no number and values that do not fit become NULL."""
+    """Lenient casts for sources: text that is no number and values that do not fit become NULL."""
     return df.withColumns({name: F.col(name).try_cast(dtype) for name, dtype in types.items()})
 
 
+def with_exact_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Casts for results: a value that does not fit its contract fails the job (ANSI mode) and is never lost."""
+    return df.withColumns({name: F.col(name).cast(dtype) for name, dtype in types.items()})
+
+
 def snake_names(df: DataFrame, extra: Mapping[str, str] | None = None) -> DataFrame:
     names = {c: (extra or {}).get(c, c.strip().lower().replace(" ", "_")) for c in df.columns}
     return df.withColumnsRenamed(names)

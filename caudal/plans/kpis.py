@@ -20,7 +20,7 @@ from caudal.functions.text import clean_text, stable_key
 from caudal.operators.aggregates import conditional_sum, pivot_values, trend_class
 from caudal.operators.filters import clip_to_range, drop_incomplete, groups_of_at_least, keep_matching
 from caudal.operators.joins import attach, match_series, with_group_stats
-from caudal.operators.projection import with_types
+from caudal.operators.projection import with_exact_types
 from caudal.operators.windows import yoy_delta
 
 Model = Mapping[str, DataFrame]
@@ -225,15 +225,15 @@ def kpi_04(model: Model, params: HealthRisk = HealthRisk()) -> DataFrame:
     covered = coverage_by(model, params.pick, ["country_key", "year"], "sanitation_coverage_pct")
     names = {params.mortality: "child_mortality_rate", params.poverty: "poverty_rate", params.population: "population_total"}
     values = pivot_values(indicator_values(model, list(names)), ["country_key", "year"], "indicator_code", names, "indicator_value")
-    both = match_series(covered, with_types(values, params.types), ["country_key", "year"])
+    both = match_series(covered, with_exact_types(values, params.types), ["country_key", "year"])
     sources = {"sanitation": complement("sanitation_coverage_pct"), "mortality": F.col("child_mortality_rate"), "poverty": F.col("poverty_rate")}
     terms = {name: minmax_norm(sources[name], *params.limits[name]) for name in params.weights}
     scored = both.withColumn("health_risk_index", weighted_index(terms, params.weights, digits=params.digits))
     return name_country(model, scored, "inner").select(
         "country_key", "country_name", F.col("year").cast("int").alias("year"),
-        F.col("sanitation_coverage_pct").try_cast("decimal(5,2)").alias("sanitation_coverage_pct"),
+        F.col("sanitation_coverage_pct").cast("decimal(5,2)").alias("sanitation_coverage_pct"),
         "child_mortality_rate", "poverty_rate", "population_total",
-        F.col("health_risk_index").try_cast("decimal(6,3)").alias("health_risk_index"),
+        F.col("health_risk_index").cast("decimal(6,3)").alias("health_risk_index"),
         index_risk("health_risk_index", params.edges).alias("risk_level"),
     )
 
@@ -259,9 +259,9 @@ def kpi_05(model: Model, params: UrbanRuralGap = UrbanRuralGap()) -> DataFrame:
     wide = wide.withColumn("gap", gap("water_urban_pct", "water_rural_pct", params.missing))
     return name_country(model, wide, "inner").select(
         "country_key", "country_name", F.col("year").cast("int").alias("year"),
-        F.col("water_urban_pct").try_cast("decimal(5,2)").alias("water_urban_pct"),
-        F.col("water_rural_pct").try_cast("decimal(5,2)").alias("water_rural_pct"),
-        F.col("gap").try_cast("decimal(6,3)").alias("gap_urban_rural_pp"),
+        F.col("water_urban_pct").cast("decimal(5,2)").alias("water_urban_pct"),
+        F.col("water_rural_pct").cast("decimal(5,2)").alias("water_rural_pct"),
+        F.col("gap").cast("decimal(6,3)").alias("gap_urban_rural_pp"),
         gap_risk("gap", params.edges).alias("risk_level"),
     )
 
@@ -278,7 +278,7 @@ def kpi_06(model: Model, params: WaterGdp = WaterGdp()) -> DataFrame:
     """Correlation of safe water and income across the countries of a region, per year."""
     water = coverage_by(model, params.pick, ["country_key", "year"], "water")
     income = indicator_values(model, [params.indicator]).select(
-        "country_key", "year", F.col("indicator_value").try_cast("decimal(18,2)").alias("gdp"))
+        "country_key", "year", F.col("indicator_value").cast("decimal(18,2)").alias("gdp"))
     both = drop_incomplete(match_series(water, income, ["country_key", "year"]), "any", ["water", "gdp"])
     stats = name_country(model, both, "inner", "region_name").groupBy("region_name", "year").agg(
         F.count_distinct("country_key").alias("n_countries"),
@@ -290,8 +290,8 @@ def kpi_06(model: Model, params: WaterGdp = WaterGdp()) -> DataFrame:
         "region_name", F.col("year").cast("int").alias("year"), F.col("n_countries").cast("int").alias("n_countries"),
         F.col("corr").cast("decimal(6,3)").alias("corr_water_vs_gdp"),
         F.abs("corr").cast("decimal(6,3)").alias("corr_abs_value"),
-        F.col("avg_water").try_cast("decimal(5,2)").alias("avg_safe_water_pct"),
-        F.col("avg_gdp").try_cast("decimal(18,2)").alias("avg_gdp_per_capita"),
+        F.col("avg_water").cast("decimal(5,2)").alias("avg_safe_water_pct"),
+        F.col("avg_gdp").cast("decimal(18,2)").alias("avg_gdp_per_capita"),
         correlation_risk("corr", TRAFFIC_ES, params.unknown_label).alias("risk_level"),
     )
 
@@ -316,9 +316,9 @@ def kpi_07(model: Model, params: WaterSanitationGap = WaterSanitationGap()) -> D
     both = drop_incomplete(sums, "any", ["water", "sanitation"]).withColumn("gap", gap("water", "sanitation", "null"))
     return name_country(model, both, "inner").select(
         "country_key", "country_name", F.col("year").cast("int").alias("year"),
-        F.col("water").try_cast("decimal(5,2)").alias("water_basic_safe_pct"),
-        F.col("sanitation").try_cast("decimal(5,2)").alias("sanitation_basic_safe_pct"),
-        F.col("gap").try_cast("decimal(6,3)").alias("gap_water_sanitation_pp"),
+        F.col("water").cast("decimal(5,2)").alias("water_basic_safe_pct"),
+        F.col("sanitation").cast("decimal(5,2)").alias("sanitation_basic_safe_pct"),
+        F.col("gap").cast("decimal(6,3)").alias("gap_water_sanitation_pp"),
         gap_risk("gap", params.edges).alias("risk_level"),
     )
 

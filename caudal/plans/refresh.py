@@ -29,9 +29,10 @@ CLEAN_CONTRACTS = {"coverage": contracts.coverage_contract, "indicators": lambda
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the layers live under one root."""
+    """Where the layers live under one root, and the types of the facts in them."""
 
     root: str
+    types: star.FactTypes = star.CONTRACT
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -41,7 +42,7 @@ class Layers:
         return Sink(self.path(layer, name), keys, order=FACT_ORDER.get(name, ()) if layer == "model" else ())
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        schema = star.SCHEMAS.get(name) if layer == "model" else CLEAN_CONTRACTS[name]().schema if layer == "clean" else None
+        schema = star.schemas(self.types)[name] if layer == "model" else CLEAN_CONTRACTS[name]().schema if layer == "clean" else None
         return read_table(spark, f"{self.root.rstrip('/')}/{layer}", name, schema)
 
 
@@ -54,15 +55,15 @@ class StoredModel(Mapping[str, DataFrame]):
         self._spark, self._layers = spark, layers
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in star.SCHEMAS:
+        if name not in star.DIMENSIONS and name not in star.FACTS:
             raise KeyError(name)
         return self._layers.read(self._spark, "model", name)
 
     def __iter__(self):
-        return iter(star.SCHEMAS)
+        return iter((*star.DIMENSIONS, *star.FACTS))
 
     def __len__(self) -> int:
-        return len(star.SCHEMAS)
+        return len(star.DIMENSIONS) + len(star.FACTS)
 
 
 def run_job(read: Callable[[], DataFrame], clean: Callable[[DataFrame], DataFrame], sink: Sink,
@@ -104,7 +105,7 @@ def refresh_star(
     written = {name: write_table(df, layers.path("model", name)) for name, df in star.build_dims(sources, regions).items()}
     dims = {name: layers.read(spark, "model", name) for name in star.DIMENSIONS}
     sliced = {name: slice_period(df, year) for name, df in sources.items()}
-    for name, df in star.build_facts(sliced, dims, dry_below, heavy_above).items():
+    for name, df in star.build_facts(sliced, dims, dry_below, heavy_above, layers.types).items():
         written[name] = write_to(df, layers.sink("model", name))
     return written
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,28 +20,50 @@ Frames = dict[str, DataFrame]
 
 REGION = "Latin America and Caribbean"
 
-# Decimal contracts of the fact measures.
-MONTHLY_TYPES = {
-    "precip_total_mm": "decimal(8,2)",
-    "temp_max_avg_c": "decimal(5,2)",
-    "temp_min_avg_c": "decimal(5,2)",
-    "et0_total_mm": "decimal(8,2)",
-    "et0_avg_mm": "decimal(8,2)",
-}
-ANNUAL_TYPES = {
-    "precip_total_mm_year": "decimal(10,2)",
-    "precip_avg_mm_year": "decimal(10,2)",
-    "temp_max_avg_year": "decimal(5,2)",
-    "temp_min_avg_year": "decimal(5,2)",
-    "et0_total_mm_year": "decimal(8,2)",
-    "et0_avg_mm_year": "decimal(8,2)",
-    "dry_months": "decimal(10,2)",
-    "heavy_rain_months": "decimal(10,2)",
-    "drought_index": "decimal(6,3)",
-    "heavy_rain_index": "decimal(6,3)",
-}
-COVERAGE_TYPES = {"population_total": "bigint", "coverage_pct": "decimal(5,2)"}
-INDICATOR_TYPES = {"indicator_value": "decimal(18,4)"}
+
+@dataclass(frozen=True)
+class FactTypes:
+    """Types of the fact measures."""
+
+    monthly: Mapping[str, str]
+    annual: Mapping[str, str]
+    coverage: Mapping[str, str]
+    indicator: Mapping[str, str]
+
+
+# The decimal contracts of the fact measures.
+CONTRACT = FactTypes(
+    monthly={
+        "precip_total_mm": "decimal(8,2)",
+        "temp_max_avg_c": "decimal(5,2)",
+        "temp_min_avg_c": "decimal(5,2)",
+        "et0_total_mm": "decimal(8,2)",
+        "et0_avg_mm": "decimal(8,2)",
+    },
+    annual={
+        "precip_total_mm_year": "decimal(10,2)",
+        "precip_avg_mm_year": "decimal(10,2)",
+        "temp_max_avg_year": "decimal(5,2)",
+        "temp_min_avg_year": "decimal(5,2)",
+        "et0_total_mm_year": "decimal(8,2)",
+        "et0_avg_mm_year": "decimal(8,2)",
+        "dry_months": "decimal(10,2)",
+        "heavy_rain_months": "decimal(10,2)",
+        "drought_index": "decimal(6,3)",
+        "heavy_rain_index": "decimal(6,3)",
+    },
+    coverage={"population_total": "bigint", "coverage_pct": "decimal(5,2)"},
+    indicator={"indicator_value": "decimal(18,4)"},
+)
+
+
+def widened(types: FactTypes, digits: int = 24) -> FactTypes:
+    """The same scales with room for measures that grow with the data."""
+    wide = lambda cols: {n: re.sub(r"decimal\(\d+,", f"decimal({digits},", t) for n, t in cols.items()}
+    return FactTypes(wide(types.monthly), wide(types.annual), dict(types.coverage), wide(types.indicator))
+
+
+WIDE = widened(CONTRACT)
 
 # What identifies a dimension row, and its natural key.
 DIMENSIONS = ("country", "province", "residence_type", "service_type", "service_level", "indicator", "date")
@@ -50,24 +76,24 @@ FACT_GRAIN = {
 }
 
 
-# Stored schemas. Readers pass them, so opening a table looks at no file.
-_KEYED = lambda name, rest: f"{name}_key bigint, {rest}"
-_TYPED = lambda types: ", ".join(f"{n} {t}" for n, t in types.items())
-SCHEMAS = {
-    "country": _KEYED("country", "country_iso3 string, country_name string, region_name string"),
-    "province": _KEYED("province", "country_iso3 string, province_name string"),
-    "residence_type": _KEYED("residence_type", "residence_type_code string, residence_type_desc string"),
-    "service_type": _KEYED("service_type", "service_type_desc string"),
-    "service_level": _KEYED("service_level", "service_level_desc string"),
-    "indicator": _KEYED("indicator", "indicator_code string, indicator_name string"),
-    "date": "date_key int, date date, year int, month int, month_name string, quarter int",
-    "climate_monthly": f"climate_monthly_id bigint, province_key bigint, date_key int, {_TYPED(MONTHLY_TYPES)}, "
-                       "dry_month_flag boolean, heavy_rain_month_flag boolean, year int",
-    "climate_annual": f"climate_annual_id bigint, country_key bigint, date_key int, {_TYPED(ANNUAL_TYPES)}, year int",
-    "wash_coverage": "wash_coverage_id bigint, country_key bigint, date_key int, residence_type_key bigint, service_type_key bigint, "
-                     f"service_level_key bigint, {_TYPED(COVERAGE_TYPES)}, year int",
-    "socioeconomic": f"socioeconomic_id bigint, country_key bigint, date_key int, indicator_key bigint, {_TYPED(INDICATOR_TYPES)}, year int",
-}
+def schemas(types: FactTypes = CONTRACT) -> dict[str, str]:
+    """Stored schemas. Readers pass them, so opening a table looks at no file."""
+    measures = lambda cols: ", ".join(f"{n} {t}" for n, t in cols.items())
+    return {
+        "country": "country_key bigint, country_iso3 string, country_name string, region_name string",
+        "province": "province_key bigint, country_iso3 string, province_name string",
+        "residence_type": "residence_type_key bigint, residence_type_code string, residence_type_desc string",
+        "service_type": "service_type_key bigint, service_type_desc string",
+        "service_level": "service_level_key bigint, service_level_desc string",
+        "indicator": "indicator_key bigint, indicator_code string, indicator_name string",
+        "date": "date_key int, date date, year int, month int, month_name string, quarter int",
+        "climate_monthly": f"climate_monthly_id bigint, province_key bigint, date_key int, {measures(types.monthly)}, "
+                           "dry_month_flag boolean, heavy_rain_month_flag boolean, year int",
+        "climate_annual": f"climate_annual_id bigint, country_key bigint, date_key int, {measures(types.annual)}, year int",
+        "wash_coverage": "wash_coverage_id bigint, country_key bigint, date_key int, residence_type_key bigint, service_type_key bigint, "
+                         f"service_level_key bigint, {measures(types.coverage)}, year int",
+        "socioeconomic": f"socioeconomic_id bigint, country_key bigint, date_key int, indicator_key bigint, {measures(types.indicator)}, year int",
+    }
 
 
 def country_dim(coverage: DataFrame, regions: DataFrame | None = None) -> DataFrame:
@@ -118,7 +144,9 @@ def build_dims(sources: Frames, regions: DataFrame | None = None) -> Frames:
     }
 
 
-def monthly_climate_fact(climate: DataFrame, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM) -> DataFrame:
+def monthly_climate_fact(
+    climate: DataFrame, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT
+) -> DataFrame:
     """Province and month, anchored at the last day of the month."""
     months = climate.groupBy("country_iso3", "province_name", "year", "month").agg(
         F.sum("precip_total_mm").alias("precip_total_mm"),
@@ -134,12 +162,12 @@ def monthly_climate_fact(climate: DataFrame, dims: Frames, dry_below: Number = D
         months,
         [(dims["province"], ["country_iso3", "province_name"], ["province_key"]),
          (anchor_dates(dims["date"], "month"), ["year", "month"], ["date_key"])],
-        ["province_key", "date_key", "year", *MONTHLY_TYPES, "dry_month_flag", "heavy_rain_month_flag"],
-        MONTHLY_TYPES, "climate_monthly_id", FACT_GRAIN["climate_monthly"],
+        ["province_key", "date_key", "year", *types.monthly, "dry_month_flag", "heavy_rain_month_flag"],
+        types.monthly, "climate_monthly_id", FACT_GRAIN["climate_monthly"],
     )
 
 
-def annual_climate_fact(climate: DataFrame, dims: Frames) -> DataFrame:
+def annual_climate_fact(climate: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
     """Country and year, anchored at 31 December."""
     years = annual_rollup(
         climate,
@@ -153,12 +181,12 @@ def annual_climate_fact(climate: DataFrame, dims: Frames) -> DataFrame:
     return build_fact(
         years,
         [(dims["country"], "country_iso3", ["country_key"]), (anchor_dates(dims["date"]), "year", ["date_key"])],
-        ["country_key", "date_key", "year", *ANNUAL_TYPES],
-        ANNUAL_TYPES, "climate_annual_id", FACT_GRAIN["climate_annual"],
+        ["country_key", "date_key", "year", *types.annual],
+        types.annual, "climate_annual_id", FACT_GRAIN["climate_annual"],
     )
 
 
-def coverage_fact(coverage: DataFrame, dims: Frames) -> DataFrame:
+def coverage_fact(coverage: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
     """Country, year, residence, service and level, anchored at 31 December."""
     return build_fact(
         coverage,
@@ -167,27 +195,29 @@ def coverage_fact(coverage: DataFrame, dims: Frames) -> DataFrame:
          (dims["service_type"], "service_type_desc", ["service_type_key"]),
          (dims["service_level"], "service_level_desc", ["service_level_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
-        ["country_key", "date_key", "year", "residence_type_key", "service_type_key", "service_level_key", *COVERAGE_TYPES],
-        COVERAGE_TYPES, "wash_coverage_id", FACT_GRAIN["wash_coverage"],
+        ["country_key", "date_key", "year", "residence_type_key", "service_type_key", "service_level_key", *types.coverage],
+        types.coverage, "wash_coverage_id", FACT_GRAIN["wash_coverage"],
     )
 
 
-def socioeconomic_fact(indicators: DataFrame, dims: Frames) -> DataFrame:
+def socioeconomic_fact(indicators: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
     """Country, year and indicator, anchored at 31 December."""
     return build_fact(
         indicators,
         [(dims["country"], "country_iso3", ["country_key"]),
          (dims["indicator"], "indicator_code", ["indicator_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
-        ["country_key", "date_key", "year", "indicator_key", *INDICATOR_TYPES],
-        INDICATOR_TYPES, "socioeconomic_id", FACT_GRAIN["socioeconomic"],
+        ["country_key", "date_key", "year", "indicator_key", *types.indicator],
+        types.indicator, "socioeconomic_id", FACT_GRAIN["socioeconomic"],
     )
 
 
-def build_facts(sources: Frames, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM) -> Frames:
+def build_facts(
+    sources: Frames, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT
+) -> Frames:
     return {
-        "climate_monthly": monthly_climate_fact(sources["climate"], dims, dry_below, heavy_above),
-        "climate_annual": annual_climate_fact(sources["climate"], dims),
-        "wash_coverage": coverage_fact(sources["coverage"], dims),
-        "socioeconomic": socioeconomic_fact(sources["indicators"], dims),
+        "climate_monthly": monthly_climate_fact(sources["climate"], dims, dry_below, heavy_above, types),
+        "climate_annual": annual_climate_fact(sources["climate"], dims, types),
+        "wash_coverage": coverage_fact(sources["coverage"], dims, types),
+        "socioeconomic": socioeconomic_fact(sources["indicators"], dims, types),
     }

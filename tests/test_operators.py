@@ -36,6 +36,11 @@ def test_decimal_overflow_becomes_null(spark):
     assert [r.x is None for r in out.collect()] == [False, True]
 
 
+def test_result_overflow_fails_instead_of_losing_a_value(spark):
+    with pytest.raises(PySparkException, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        projection.with_exact_types(spark.createDataFrame([(1000.0,)], "x double"), {"x": "decimal(5,2)"}).collect()
+
+
 def test_empty_like_has_the_contract_schema(spark):
     contract = Contract("t", (Field("n", "int"), Field("p", "decimal(5,2)")))
     out = projection.empty_like(spark, contract)

@@ -117,7 +117,7 @@ def test_facts_resolve_every_key(model):
 
 
 def test_stored_schemas_match_the_builders(model, spark):
-    for name, ddl in star.SCHEMAS.items():
+    for name, ddl in star.schemas().items():
         declared = {f.name: f.dataType for f in spark.createDataFrame([], ddl).schema}
         assert declared == {f.name: f.dataType for f in model[name].schema}, name
 

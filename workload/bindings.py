@@ -99,8 +99,8 @@ def landed_indicators(spark: SparkSession, d: str) -> DataFrame:
     named = attach(yearly_orders(spark, d), customers(spark, d), "o_custkey", ["country_iso3", "country_name", "balance"], "inner")
     sums = named.groupBy("country_iso3", "country_name", "year").agg(
         F.sum("n").alias("n"), F.sum("price").cast("decimal(24,2)").alias("price"),
-        F.sum(F.col("balance") * F.col("n").cast("decimal(10,0)")).cast("decimal(24,2)").alias("balance"))
-    n = F.col("n").cast("decimal(12,0)")
+        F.sum(F.col("balance") * F.col("n").cast("decimal(14,0)")).cast("decimal(24,2)").alias("balance"))
+    n = F.col("n").cast("decimal(14,0)")
     wide = sums.select("country_iso3", "country_name", "year",
                        (F.col("price") / n).cast("decimal(24,6)").cast("double").alias(PRICE),
                        F.col("n").cast("double").alias(ORDERS),

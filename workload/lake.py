@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star
+from caudal.plans.star import WIDE
 from caudal.session import new_table_path
 from workload import bindings
 
@@ -27,7 +28,7 @@ def _once(spark: SparkSession, d: str, stage: str, build) -> Layers:
 
 def clean_layer(spark: SparkSession, d: str) -> Layers:
     def build() -> Layers:
-        layers = Layers(new_table_path(spark, "lake"))
+        layers = Layers(new_table_path(spark, "lake"), WIDE)  # sums of the given tables grow with them
         refresh_clean(layers, bindings.cleaned(spark, d))
         return layers
 

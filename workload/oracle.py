@@ -91,9 +91,9 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT {key('province_key', 'date_key')} AS climate_monthly_id, * FROM (
             SELECT {key('country_iso3', 'province_name')} AS province_key,
                    CAST(strftime(last_day(make_date(year, month, 1)), '%Y%m%d') AS INTEGER) AS date_key, year,
-                   CAST(precip_total_mm AS DECIMAL(8,2)) AS precip_total_mm, CAST(temp_max_avg_c AS DECIMAL(5,2)) AS temp_max_avg_c,
-                   CAST(temp_min_avg_c AS DECIMAL(5,2)) AS temp_min_avg_c, CAST(et0_total_mm AS DECIMAL(8,2)) AS et0_total_mm,
-                   CAST(et0_avg_mm AS DECIMAL(8,2)) AS et0_avg_mm, dry_month_flag, heavy_rain_month_flag
+                   CAST(precip_total_mm AS DECIMAL(24,2)) AS precip_total_mm, CAST(temp_max_avg_c AS DECIMAL(24,2)) AS temp_max_avg_c,
+                   CAST(temp_min_avg_c AS DECIMAL(24,2)) AS temp_min_avg_c, CAST(et0_total_mm AS DECIMAL(24,2)) AS et0_total_mm,
+                   CAST(et0_avg_mm AS DECIMAL(24,2)) AS et0_avg_mm, dry_month_flag, heavy_rain_month_flag
             FROM climate)""", ("climate",)),
     "annual_sums": ("""
         SELECT country_iso3, year, count(*) AS n, CAST(sum(round(precip_total_mm * 100)) AS BIGINT) AS rain,
@@ -104,11 +104,11 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fact_annual": (f"""
         SELECT {key('country_key', 'date_key')} AS climate_annual_id, * FROM (
             SELECT {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year,
-                   {fixed('rain', 2, 'DECIMAL(10,2)')} AS precip_total_mm_year, {fixed(half_up('rain', '12'), 2, 'DECIMAL(10,2)')} AS precip_avg_mm_year,
-                   {fixed(half_up('tmax', 'n'), 2, 'DECIMAL(5,2)')} AS temp_max_avg_year, {fixed(half_up('tmin', 'n'), 2, 'DECIMAL(5,2)')} AS temp_min_avg_year,
-                   {fixed('et0', 2, 'DECIMAL(8,2)')} AS et0_total_mm_year, {fixed(half_up('et0_avg', 'n'), 2, 'DECIMAL(8,2)')} AS et0_avg_mm_year,
-                   CAST(dry AS DECIMAL(10,2)) AS dry_months, CAST(heavy AS DECIMAL(10,2)) AS heavy_rain_months,
-                   {fixed(half_up('1000 * dry', '12'), 3, 'DECIMAL(6,3)')} AS drought_index, {fixed(half_up('1000 * heavy', '12'), 3, 'DECIMAL(6,3)')} AS heavy_rain_index
+                   {fixed('rain', 2, 'DECIMAL(24,2)')} AS precip_total_mm_year, {fixed(half_up('rain', '12'), 2, 'DECIMAL(24,2)')} AS precip_avg_mm_year,
+                   {fixed(half_up('tmax', 'n'), 2, 'DECIMAL(24,2)')} AS temp_max_avg_year, {fixed(half_up('tmin', 'n'), 2, 'DECIMAL(24,2)')} AS temp_min_avg_year,
+                   {fixed('et0', 2, 'DECIMAL(24,2)')} AS et0_total_mm_year, {fixed(half_up('et0_avg', 'n'), 2, 'DECIMAL(24,2)')} AS et0_avg_mm_year,
+                   CAST(dry AS DECIMAL(24,2)) AS dry_months, CAST(heavy AS DECIMAL(24,2)) AS heavy_rain_months,
+                   {fixed(half_up('1000 * dry', '12'), 3, 'DECIMAL(24,3)')} AS drought_index, {fixed(half_up('1000 * heavy', '12'), 3, 'DECIMAL(24,3)')} AS heavy_rain_index
             FROM annual_sums)""", ("annual_sums",)),
     "fact_coverage": (f"""
         SELECT {key('country_key', 'residence_type_key', 'service_type_key', 'service_level_key', 'date_key')} AS wash_coverage_id, * FROM (
@@ -118,7 +118,7 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fact_socioeconomic": (f"""
         SELECT {key('country_key', 'indicator_key', 'date_key')} AS socioeconomic_id, * FROM (
             SELECT {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year, {key('indicator_code')} AS indicator_key,
-                   {fixed(half_up('micro', '100'), 4, 'DECIMAL(18,4)')} AS indicator_value FROM indicator_units)""", ("indicator_units",)),
+                   {fixed(half_up('micro', '100'), 4, 'DECIMAL(24,4)')} AS indicator_value FROM indicator_units)""", ("indicator_units",)),
     "water_f": ("""
         SELECT country_iso3, country_name, residence_type_code, residence_type_desc, year, CAST(coverage_pct AS DOUBLE) AS pct
         FROM coverage WHERE service_type_desc = 'expedited' AND service_level_desc = 'f' AND residence_type_desc IN ('building', 'machinery')""", ("coverage",)),

@@ -10,6 +10,7 @@ from caudal.operators.profile import file_listing, size_report
 from caudal.operators.projection import Contract, Field, conform, serve, snake_names, with_date_parts, with_types
 from caudal.plans.contracts import COVERAGE_LANDED
 from caudal.plans.refresh import Layers, read_clean, read_model, refresh_clean, refresh_star
+from caudal.plans.star import WIDE
 from caudal.session import new_table_path
 from caudal.sources import readers, writers
 from workload import bindings, lake
@@ -224,7 +225,7 @@ def known_keys_only(spark, d):
 @query("INC-01 INC-02 SNK-03", with_parts("SELECT year, count(*) AS n, CAST(sum(coverage_pct) AS DOUBLE) AS total, true AS same FROM fact_coverage GROUP BY 1", "fact_coverage"))
 def refresh_of_one_year(spark, d):
     """Refreshing one year again, dimensions included, leaves the same facts in all years."""
-    layers = Layers(new_table_path(spark, "yearly_refresh"))
+    layers = Layers(new_table_path(spark, "yearly_refresh"), WIDE)
     refresh_clean(layers, read_clean(spark, lake.clean_layer(spark, d)))
     regions = bindings.regions(spark, d)
     refresh_star(spark, layers, None, regions)
