@@ -200,10 +200,11 @@ def pivoted_maxima(spark, d):
     return aggregates.pivot_values(table(spark, d, "events"), ["user_id"], "event_type", ["click", "view", "error"], "value")
 
 
-@query("AGG-15", "SELECT l_suppkey, round(sum(l_extendedprice * l_discount / 100), 2) AS affected FROM lineitem GROUP BY 1")
+@query("AGG-15", f"SELECT l_suppkey, {r6('CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / 100')} AS affected FROM lineitem GROUP BY 1")
 def affected_amount(spark, d):
-    amount = aggregates.weighted_population(table(spark, d, "lineitem"), ["l_suppkey"], "l_extendedprice", "l_discount", "affected")
-    return amount.withColumn("affected", F.round("affected", 2))
+    rows = table(spark, d, "lineitem").select("l_suppkey", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"), F.col("l_discount").cast("decimal(4,2)").alias("pct"))
+    amount = aggregates.weighted_population(rows, ["l_suppkey"], "price", "pct", "affected")
+    return amount.withColumn("affected", F.col("affected").cast("double"))
 
 
 @query("AGG-17 SET-02", "SELECT coalesce(c_mktsegment, 'Regional') AS c_mktsegment, count(*) AS n, max(c_acctbal) AS top FROM customer GROUP BY ROLLUP (c_mktsegment)")

@@ -142,21 +142,21 @@ def layer_sizes(spark, d):
     return report.select("layer", (F.col("n_files") > 0).alias("has_files"), consistent.alias("size_fits"))
 
 
-@query("SNK-01", "SELECT o_orderstatus AS country, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS value FROM orders GROUP BY 1, 2")
+@query("SNK-01", "SELECT o_orderstatus AS country, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS value FROM orders GROUP BY 1, 2")
 def landing_by_country_year(spark, d):
     path = new_table_path(spark, "orders_landing")
-    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("country"), F.year("o_orderdate").alias("year"))
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), F.col("o_orderstatus").alias("country"), F.year("o_orderdate").alias("year"))
     writers.write_partitions(rows, path, ["country", "year"], "static")
-    return spark.read.parquet(path).groupBy("country", "year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("value"))
+    return spark.read.parquet(path).groupBy("country", "year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").cast("double").alias("value"))
 
 
 @query("SNK-02", """SELECT event_type AS country, CAST(user_id % 4 AS INTEGER) AS province, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
-    count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY ALL""")
+    count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value FROM events GROUP BY ALL""")
 def landing_by_province_month(spark, d):
     path = new_table_path(spark, "events_landing")
     rows = with_date_parts(table(spark, d, "events").withColumn("province", (F.col("user_id") % 4).cast("int")).withColumnRenamed("event_type", "country"), "ts")
-    writers.write_partitions(rows.select("country", "province", "year", "month", "value"), path, ["country", "province", "year", "month"])
-    return spark.read.parquet(path).groupBy("country", "province", "year", "month").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("value"))
+    writers.write_partitions(rows.select("country", "province", "year", "month", F.col("value").cast("decimal(12,2)").alias("value")), path, ["country", "province", "year", "month"])
+    return spark.read.parquet(path).groupBy("country", "province", "year", "month").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("value"))
 
 
 def _yearly(spark, d):
