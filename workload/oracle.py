@@ -167,7 +167,7 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT {key('country_iso3')} AS country_key, country_name, year, CAST(cov AS DECIMAL(5,2)) AS sanitation_coverage_pct,
                CAST(mort AS DECIMAL(12,3)) AS child_mortality_rate, CAST(pov AS DECIMAL(8,2)) AS poverty_rate, CAST(population AS BIGINT) AS population_total,
                CAST(idx AS DECIMAL(6,3)) AS health_risk_index, CASE WHEN idx > 62 THEN 'Rojo' WHEN idx > 60 THEN 'Amarillo' ELSE 'Verde' END AS risk_level
-        FROM (SELECT *, CAST(((100.0 - CAST(cov AS DOUBLE)) / 100.0) * 0.5 + (mort / 400000.0) * 0.3 + greatest(0.0, least(1.0, pov / 10000.0)) * 0.2 AS DECIMAL(6,3)) * 100 AS idx
+        FROM (SELECT *, CAST(((100.0 - CAST(cov AS DOUBLE)) / 100.0) * 0.5 + greatest(0.0, least(1.0, mort / 400000.0)) * 0.3 + greatest(0.0, least(1.0, pov / 10000.0)) * 0.2 AS DECIMAL(6,3)) * 100 AS idx
               FROM (SELECT c.country_iso3, country_name, c.year, sum(coverage_pct) AS cov, any_value(mortality) / 1000.0 AS mort, any_value(poverty) / 100.0 AS pov, any_value(population) AS population
                     FROM coverage c JOIN wide_04 w USING (country_iso3, year)
                     WHERE service_type_desc = 'regular' AND service_level_desc = 'f' AND residence_type_desc = 'total' GROUP BY 1, 2, 3))""", ("coverage", "wide_04")),
