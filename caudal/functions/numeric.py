@@ -24,6 +24,12 @@ def finite(value: Column | str) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
 
 
+def known(value: Column | str) -> Column:
+    """``value`` as double with NaN as NULL; infinities keep their place at the ends."""
+    x = column(value).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation as an aggregate; NULL for flat or one-row groups.
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caudal.functions.numeric import known
 from caudal.operators.joins import join_same
 from caudal.operators.windows import quantiles_by
 
@@ -54,7 +55,7 @@ def null_counts_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | Non
 
 def describe_by(df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, overall or per group."""
-    v = F.col(value).cast("double")
+    v = known(value)
     moments = df.groupBy(*by).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),

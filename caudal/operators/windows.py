@@ -13,8 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from caudal.functions.numeric import Number, column
+from caudal.functions.numeric import Number, column, known
 from caudal.operators.joins import join_same
 
 
@@ -59,6 +60,8 @@ def top_k(
     the shuffle, so neither a hot group nor the whole table reaches one task.
     """
     v = F.abs(column(value)) if absolute else column(value)
+    if isinstance(df.select(v).schema[0].dataType, (T.DoubleType, T.FloatType)):
+        v = known(v)  # NaN sorts above every number
     order = [v.asc_nulls_last() if ascending else v.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
     if not by:
         return df.orderBy(*order).limit(k)
@@ -75,7 +78,7 @@ def top_1(df: DataFrame, value: Column | str, by: Sequence[str], cols: Sequence[
 def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Distinct values per group with their count, how many rows are smaller, and the group size.
 
-    Returns ``(*by, v, n, smaller, size)``; NULL values are left out. Equal values are
+    Returns ``(*by, v, n, smaller, size)``; NULL and NaN are left out. Equal values are
     counted first, so one that holds a third of the rows becomes one row. The distinct
     values are cut into ``slices`` (two per shuffle partition by default) at
     boundaries taken from the data; running counts inside a slice plus the total of
@@ -84,8 +87,7 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
     through the driver: they are fixed before the plan runs, and a re-run task slices
     alike.
     """
-    v = column(value).cast("double")
-    counts = df.select(*by, v.alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(*by, known(value).alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
     slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = _boundaries(counts, slices)
     if cuts:
@@ -123,7 +125,7 @@ def rank_by(
     df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = (), absolute: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Rank of every row by descending value (ties share a rank), without a global sort."""
-    rows = df.withColumn("_v", (F.abs(F.col(value)) if absolute else F.col(value)).cast("double"))
+    rows = df.withColumn("_v", known(F.abs(F.col(value)) if absolute else value))
     positions = value_positions(rows, "_v", by, slices)
     ranks = positions.select(*by, F.col("v").alias("_v"), (F.col("size") - F.col("smaller") - F.col("n") + 1).alias(out))
     return join_same(rows, ranks, [*by, "_v"]).select(*df.columns, out)

@@ -227,6 +227,15 @@ def test_quantiles_of_one_row_and_nothing(spark):
     assert empty["count"] == 0 and empty["q50"] is None
 
 
+def test_nan_has_no_place(spark):
+    df = spark.createDataFrame([(1, math.nan), (2, 5.0), (3, math.inf), (4, None), (5, 1.0)], "i int, v double")
+    assert values(windows.rank_by(df, "v", "place"), "i", "place") == [(1, None), (2, 2), (3, 1), (4, None), (5, 3)]
+    assert values(windows.top_k(df, "v", 2, tie_break=["i"]), "i") == [2, 3]
+    assert values(windows.top_1(df.where("i <> 3").withColumn("g", F.lit(1)), "v", ["g"], ["i"]), "i") == [2]
+    row = profile.describe_by(df.where("i <> 3"), "v").first()
+    assert (row["count"], row["mean"], row["q50"]) == (2, 3.0, 3.0)
+
+
 def test_scale_to_max(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", 5.0), ("b", 0.0), ("b", -1.0)], "g string, v double")
     assert values(windows.scale_to_max(df, "v", "w", by=["g"]), "v", "w") == [(-1.0, 25000.0), (0.0, 25000.0), (5.0, 50000.0), (10.0, 80000.0)]
