@@ -5,16 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import decontaminate, langid, linedup, mixing, simhash
+from caudal.llm import decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, urlfilter
 from caudal.llm.common import read
 from caudal.llm.settings import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, mixture_levels
 
 
+def op1_parsing_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.edited_fingerprints(read(spark, d, "documents"))
+
+
 def op2_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     members = simhash.near_duplicate_groups(read(spark, d, "documents"), simhash.Index(radius=2), shingle=3)
     return members.select("doc_id", F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_lattice_scores(spark: SparkSession, d: str) -> DataFrame:
+    return lattice.score(read(spark, d, "documents"), langid.fold("doc_id", 5) == 1)
+
+
+def quoting_replies(conversations: DataFrame) -> DataFrame:
+    """Every message as a mail that answers the turn before it: it quotes that turn's text, and one level deeper the turn before."""
+    own = conversations.select("conv_id", "turn", "role", "text").distinct()
+    turns = own.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("said"))
+    earlier = lambda k: turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("said").alias(f"said{k}"))
+    rows = own.join(earlier(1), ["conv_id", "turn"], "left").join(earlier(2), ["conv_id", "turn"], "left")
+    wrote = lambda k, marks: F.concat(F.lit(f"{marks}On turn "), (F.col("turn") - k).cast("string"), F.lit(", "), F.coalesce(f"said{k}.role", F.lit("?")), F.lit(" wrote:\n"))
+    deep = F.when(F.col("said2.text").isNotNull(), F.concat(wrote(2, "> "), quotes.quote(F.col("said2.text"), ">> "), F.lit("\n"))).otherwise("")
+    near = F.when(F.col("said1.text").isNotNull(), F.concat(wrote(1, ""), deep, quotes.quote(F.col("said1.text")), F.lit("\n\n"))).otherwise("")
+    return rows.select("conv_id", "turn", "role", F.concat(near, "text").alias("text"))
+
+
+def op4_quotation_links(spark: SparkSession, d: str) -> DataFrame:
+    return quotes.link_quotes(quoting_replies(read(spark, d, "conversations")))
+
+
 def op5_mixture(spark: SparkSession, d: str) -> DataFrame:
     mixed = mixing.mix(read(spark, d, "documents"), mixture_levels(), budget_percent=MIX_PERCENT, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
     return mixed.select("doc_id", "lang", "source", "tokens", "copies")
@@ -24,6 +48,40 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+RULES = [
+    urlfilter.Rule("net", "/", "block"), urlfilter.Rule("example.net", "/en/", "allow"),
+    urlfilter.Rule("example.com", "/de/", "block"), urlfilter.Rule("org", "/fr/", "allow"),
+]
+
+
+def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return urlfilter.judge(read(spark, d, "pages"), RULES, urlfilter.train(urlfilter.labelled_urls(spark)))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Each page as a full response at the time page_id, and as a 304 answer 1000 later: one in four with another ETag, one in four
+    with a date for its only validator."""
+    etag, length = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit("")).cast("binary")), F.lit('"')), F.length(F.coalesce("html", F.lit(""))).cast("string")
+    kind = F.coalesce(F.col("page_id") % 4, F.lit(0))
+    date, day = F.lit("last-modified"), F.concat(F.lit("day "), (F.col("page_id") % 28).cast("string"))
+    full = F.create_map(F.lit("ETag"), etag, date, day, F.lit("Content-Length"), length, F.lit("Cache-Control"), F.lit("max-age=60"))
+    sent = F.create_map(
+        F.when(kind == 3, F.lit("X-Cache")).otherwise(F.lit("ETag")), F.when(kind == 2, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), etag)),
+        date, day, F.lit("Content-Length"), F.lit("0"), F.lit("Cache-Control"), F.lit("max-age=3600"),
+    )
+    records = F.array(
+        F.struct(F.col("page_id").alias("record_id"), F.col("page_id").alias("time"), F.lit("response").alias("kind"), full.alias("headers")),
+        F.struct((-F.col("page_id") - 1).alias("record_id"), (F.col("page_id") + 1000).alias("time"), F.lit("revisit").alias("kind"), sent.alias("headers")),
+    )
+    return pages.select("url", F.inline(records))
+
+
+def op8_revisits(spark: SparkSession, d: str) -> DataFrame:
+    found = revisits.resolve_revisits(captures(read(spark, d, "pages")))
+    header = lambda name: F.col("headers")[name].alias(name.replace("-", "_"))
+    return found.select((-F.col("record_id") - 1).alias("page_id"), "url_key", "outcome", "response_id", header("etag"), header("last-modified"), header("content-length"), header("cache-control"))
+
+
 def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return linedup.drop_repeated_lines(read(spark, d, "documents")).select("doc_id", "n_lines", "removed_lines", "text")
 
@@ -42,6 +100,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_components, op5_mixture, op6_decontaminate, op9_line_dedup, op10_language, pipeline,
+    op1_parsing_fingerprints, op2_simhash_components, op3_lattice_scores, op4_quotation_links, op5_mixture, op6_decontaminate,
+    op7_url_filter, op8_revisits, op9_line_dedup, op10_language, pipeline,
 )}
 SQL: dict[str, str] = {}
