@@ -106,7 +106,8 @@ def mix(docs: DataFrame, levels: list[Level], budget: int | None = None, budget_
     end = last.join(taken.groupBy(*keys).agg(F.max("place").alias("end")), keys, "left")
     # 'g' sorts after every hexadecimal digit: the end of the last whole slice
     ends = end.select(*keys, F.greatest(F.coalesce("end", F.lit("")), F.coalesce(F.concat("whole", F.lit("g")), F.lit(""))).alias("end"))
-    plans = plans.join(ends, keys, "left").withColumnsRenamed({k: f"__{k}" for k in [*keys, "epochs", "end"]}).drop("rest")
+    # stored, so that its size is known: documents are not shuffled for it while it is below Spark's broadcast threshold
+    plans = stored(plans.join(ends, keys, "left").withColumnsRenamed({k: f"__{k}" for k in [*keys, "epochs", "end"]}).drop("rest"), "mix-ends")
 
     marked = docs.withColumns({f"__{k}": c for k, c in child.items()})
     marked = marked.join(plans, [f"__{k}" for k in keys])
