@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caudal.llm import decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, urlfilter
 from caudal.llm.common import read
 from caudal.llm.settings import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, mixture_levels
+from caudal.llm.sql import SQL  # noqa: F401  registered with the queries
 
 
 def op1_parsing_fingerprints(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +84,8 @@ def op8_revisits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return linedup.drop_repeated_lines(read(spark, d, "documents")).select("doc_id", "n_lines", "removed_lines", "text")
+    cut = linedup.drop_repeated_lines(read(spark, d, "documents"))
+    return cut.select("doc_id", "n_lines", F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"), "text")
 
 
 def op10_language(spark: SparkSession, d: str) -> DataFrame:
@@ -103,4 +105,3 @@ QUERIES = {f.__name__: f for f in (
     op1_parsing_fingerprints, op2_simhash_components, op3_lattice_scores, op4_quotation_links, op5_mixture, op6_decontaminate,
     op7_url_filter, op8_revisits, op9_line_dedup, op10_language, pipeline,
 )}
-SQL: dict[str, str] = {}
