@@ -53,7 +53,11 @@ def stable_key(*natural: Column | str) -> Column:
 
     The same entity gets the same key in every run and on every layout, so facts
     written earlier keep pointing at it. Two of a million entities share a key with
-    probability below 1e-6; the dimension builder checks it.
+    probability below 1e-6; the refresh checks it when it writes a dimension.
     """
-    text = F.concat_ws("\u001f", *[F.coalesce(column(c).cast("string"), F.lit("")) for c in natural])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(wide_key(*natural), 1, 15), 16, 10).cast("bigint")
+
+
+def wide_key(*natural: Column | str) -> Column:
+    """128-bit key as hexadecimal text, for tables of any number of rows. NULL is not the empty text."""
+    return F.md5(F.concat_ws("\u001f", *[F.coalesce(column(c).cast("string"), F.lit("\u001e")) for c in natural]))

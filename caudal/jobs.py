@@ -12,23 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from caudal.plans import landed
-from caudal.plans.refresh import Layers, refresh_clean, refresh_gold, refresh_star
+from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star, require_resolved_keys
+from caudal.sources.writers import write_table
 
 STEPS = ("clean", "star", "gold")
 
 
-def run(spark: SparkSession, step: str, root: str, landing: str | None = None, year: int | None = None, month: int | None = None) -> dict[str, dict[str, int]]:
-    """Run one step or all; returns the rows written per table."""
+def run(spark: SparkSession, step: str, root: str, landing: str | None = None, year: int | None = None, month: int | None = None,
+        countries: Sequence[str] | None = None, allow_unresolved: bool = False) -> dict[str, dict[str, int]]:
+    """Run one step or all; returns the rows written per table. ``countries``: of the climate source, by default all that landed."""
     layers = Layers(root)
     written = {}
     for name in STEPS if step == "all" else (step,):
         if name == "clean":
             if landing is None:
                 raise ValueError("the clean step needs a landing root")
-            written[name] = refresh_clean(layers, landed.cleaned(spark, landing), year, month)
+            written[name] = refresh_clean(layers, landed.cleaned(spark, landing, countries, year), year, month)
         elif name == "star":
             written[name] = refresh_star(spark, layers, year)
         else:
+            if not allow_unresolved:
+                require_resolved_keys(read_model(spark, layers))
             written[name] = refresh_gold(spark, layers)
     return written
 
@@ -40,16 +44,23 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--landing", help="where the sources land")
     parser.add_argument("--year", type=int)
     parser.add_argument("--month", type=int)
+    parser.add_argument("--countries", nargs="+", help="climate folders to read; none of them may be missing")
+    parser.add_argument("--allow-unresolved", action="store_true", help="compute indicators although facts have unresolved keys")
+    parser.add_argument("--report", help="where check stores its report")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"caudal-{args.step}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.step == "check":
         if not args.landing:
             parser.error("check needs --landing")
-        landed.report(spark, args.landing).show(1000, truncate=False)  # one row per check
+        report = landed.report(spark, args.landing, args.countries)
+        if args.report:
+            write_table(report, args.report)
+        else:
+            report.show(1000, truncate=False)  # one row per check
         return
     if not args.root:
         parser.error("a refresh needs --root")
-    print(json.dumps(run(spark, args.step, args.root, args.landing, args.year, args.month)))
+    print(json.dumps(run(spark, args.step, args.root, args.landing, args.year, args.month, args.countries, args.allow_unresolved)))
 
 
 if __name__ == "__main__":

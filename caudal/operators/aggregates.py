@@ -12,17 +12,23 @@ from caudal.functions.bands import signed_band, trend_label
 from caudal.functions.numeric import Number, column, safe_corr
 
 
+def exact(name: str) -> Column:
+    """A measure as a decimal; what is no finite number is unknown."""
+    return F.col(name).try_cast("decimal(24,6)")
+
+
 def monthly_rollup(
     df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs: Mapping[str, str], digits: int | None = 2
 ) -> DataFrame:
     """Daily rows to one row per key. ``sums``/``avgs`` map output to input columns.
 
-    Summed measures count as zero where unknown, also in their averages.
+    Summed measures count as zero where unknown, also in their averages. Measures are
+    added up as decimals, so neither totals nor the flags set by them depend on row order.
     """
     filled = df.na.fill(0.0, subset=sorted(set(sums.values())))
     rounded = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
-    aggs = [rounded(F.sum(src)).alias(out) for out, src in sums.items()]
-    aggs += [rounded(F.avg(src)).alias(out) for out, src in avgs.items()]
+    aggs = [rounded(F.sum(exact(src))).cast("double").alias(out) for out, src in sums.items()]
+    aggs += [rounded(F.avg(exact(src))).cast("double").alias(out) for out, src in avgs.items()]
     return filled.groupBy(*keys).agg(*aggs)
 
 
@@ -42,7 +48,6 @@ def annual_rollup(
     Rates divide by 12 whatever the number of rows; with several provinces per country
     they can exceed 1.
     """
-    exact = lambda c: F.col(c).cast("decimal(24,6)")
     per_year = F.lit(months).cast("decimal(4,0)")
     aggs = [F.sum(exact(src)).alias(out) for out, src in sums.items()]
     aggs += [(F.sum(exact(src)) / per_year).alias(out) for out, src in monthly_means.items()]

@@ -50,15 +50,17 @@ def attach(
         wanted = unique_on(wanted, names)
     if salt <= 1:
         return df.join(wanted, on=names, how=how)
+    if how.replace("_", "") not in ("inner", "left", "leftouter"):
+        raise ValueError(f"salt repeats lookup rows, so it cannot go with a {how} join")
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)).cast("int"))
     copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return salted.join(copies, on=[*names, "_salt"], how=how).drop("_salt")
 
 
-def attach_all(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str] | str, Sequence[str]]], how: str = "left") -> DataFrame:
+def attach_all(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str] | str, Sequence[str]]], how: str = "left", verify: bool = False) -> DataFrame:
     """A chain of lookups, as in foreign-key resolution."""
     for dim, on, cols in lookups:
-        df = attach(df, dim, on, cols, how)
+        df = attach(df, dim, on, cols, how, verify)
     return df
 
 

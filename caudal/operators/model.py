@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.functions.dates import key_of_date
-from caudal.functions.text import stable_key
+from caudal.functions.text import stable_key, wide_key
 from caudal.operators.joins import attach_all
 from caudal.operators.projection import with_exact_types
 
@@ -68,12 +68,13 @@ def build_fact(
     id_col: str | None = None,
     grain: Sequence[str] = (),
 ) -> DataFrame:
-    """Resolve foreign keys, apply the decimal contract, number the rows by their grain.
+    """Resolve foreign keys, apply the decimal contract, identify the rows by their natural grain.
 
-    Unmatched natural keys give a NULL foreign key, which the quality report counts.
+    Unmatched natural keys give a NULL foreign key, which the quality report counts; the
+    ids of such rows differ all the same. A lookup with a repeated key fails the job.
     """
-    resolved = with_exact_types(attach_all(df, lookups), casts)
+    identified = df.withColumn(id_col, wide_key(*grain)) if id_col else df
+    resolved = with_exact_types(attach_all(identified, lookups, verify=True), casts)
     if id_col:
-        resolved = resolved.withColumn(id_col, stable_key(*grain))
         return resolved.select(id_col, *columns)
     return resolved.select(*columns)

@@ -101,6 +101,21 @@ def unresolved_keys(df: DataFrame, dim: DataFrame, on: Sequence[str] | str, dim_
     return bad.select(*_reported("foreign_key", names, F.col("n_bad"), total))
 
 
+def unresolved_in_one_read(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``unresolved_keys`` for several keys, in one read of ``df``. ``dims``: by key column, the dimension that has it.
+
+    Combinations of keys are counted first, so the lookups see each once.
+    """
+    known = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
+    for i, (key, dim) in enumerate(dims.items()):
+        known = known.join(dim.select(F.col(key), F.lit(True).alias(f"_found{i}")).distinct(), key, "left")
+    bad = [F.coalesce(F.sum(F.when(F.col(f"_found{i}").isNull(), F.col("_n"))), F.lit(0)) for i in range(len(dims))]
+    total = F.coalesce(F.sum("_n"), F.lit(0))
+    counts = known.agg(*[b.alias(f"_bad{i}") for i, b in enumerate(bad)], total.alias("_total"))
+    rows = [F.struct(*_reported("foreign_key", [key], F.col(f"_bad{i}"), F.col("_total"))) for i, key in enumerate(dims)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def schema_changes(df: DataFrame, contract: Contract) -> DataFrame:
     """Columns that are missing, new or of another type than the contract says."""
     actual = {f.name: f.dataType for f in df.schema.fields}

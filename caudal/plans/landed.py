@@ -6,52 +6,56 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from caudal.functions.dates import timestamp_of_micros
 from caudal.operators.projection import with_date_parts
 from caudal.operators.quality import full_report
 from caudal.plans.cleaning import clean_climate, clean_coverage, clean_indicators, climate_report, coverage_report, indicator_report
 from caudal.sources.readers import read_glob, read_roots
 
-# Landing folders and the countries with daily climate.
-COVERAGE_FOLDERS = "jmp/country=*/year=*"
+# Landing folders.
+COVERAGE_FOLDERS = "jmp/country=*/year={year}"
 INDICATOR_FOLDER = "world_bank"
 CLIMATE_FOLDER = "open_meteo"
-CLIMATE_COUNTRIES = ("ARG", "MEX")
 INDICATOR_COLUMNS = ("country_code", "date", "indicator_code", "indicator_name", "value")
 
 
-def read_coverage(spark: SparkSession, landing: str) -> DataFrame:
-    return read_glob(spark, f"{landing}/{COVERAGE_FOLDERS}")
+def read_coverage(spark: SparkSession, landing: str, year: int | None = None) -> DataFrame:
+    """Survey rows of all years, or of the folders of one year: others are not listed or opened."""
+    return read_glob(spark, f"{landing}/{COVERAGE_FOLDERS.format(year='*' if year is None else year)}")
 
 
 def read_indicators(spark: SparkSession, landing: str) -> DataFrame:
     return read_roots(spark, [f"{landing}/{INDICATOR_FOLDER}"], INDICATOR_COLUMNS)
 
 
-def read_climate(spark: SparkSession, landing: str, countries: Sequence[str] = CLIMATE_COUNTRIES) -> DataFrame:
-    """Daily rows of several countries; a country that has not landed yet is left out.
+def read_climate(spark: SparkSession, landing: str, countries: Sequence[str] | None = None) -> DataFrame:
+    """Daily rows of every country that has landed, or of the named ones, of which none may be missing.
 
     The country comes from the folder, and year and month from the date where the
-    files lack them.
+    files lack them. Dates may be stored as microseconds.
     """
-    roots = [f"{landing}/{CLIMATE_FOLDER}/{iso3}" for iso3 in countries]
-    rows = read_roots(spark, roots, key_pattern=f"{CLIMATE_FOLDER}/([A-Z]{{3}})/", key_col="country_iso3", on_missing="skip")
+    roots = [f"{landing}/{CLIMATE_FOLDER}/{iso3}" for iso3 in countries] if countries else [f"{landing}/{CLIMATE_FOLDER}"]
+    rows = read_roots(spark, roots, key_pattern=f"{CLIMATE_FOLDER}/([A-Z]{{3}})/", key_col="country_iso3")
+    if "date" in rows.columns and rows.schema["date"].dataType == T.LongType():
+        rows = rows.withColumn("date", timestamp_of_micros("date"))
     if "year" not in rows.columns or "month" not in rows.columns:
         rows = with_date_parts(rows, "date")
     return rows
 
 
-def cleaned(spark: SparkSession, landing: str, countries: Sequence[str] = CLIMATE_COUNTRIES) -> dict[str, DataFrame]:
-    """All cleaned tables from one landing root; lazy."""
+def cleaned(spark: SparkSession, landing: str, countries: Sequence[str] | None = None, year: int | None = None) -> dict[str, DataFrame]:
+    """All cleaned tables from one landing root; lazy. With a year, folders of other years are not read where the layout has years."""
     landing = landing.rstrip("/")
     return {
-        "coverage": clean_coverage(read_coverage(spark, landing)),
+        "coverage": clean_coverage(read_coverage(spark, landing, year)),
         "indicators": clean_indicators(read_indicators(spark, landing)),
         "climate": clean_climate(read_climate(spark, landing, countries)),
     }
 
 
-def report(spark: SparkSession, landing: str, countries: Sequence[str] = CLIMATE_COUNTRIES) -> DataFrame:
+def report(spark: SparkSession, landing: str, countries: Sequence[str] | None = None) -> DataFrame:
     """Quality of the landed sources: one row per source, check and column."""
     landing = landing.rstrip("/")
     reports = {

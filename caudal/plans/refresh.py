@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.functions.numeric import Number
-from caudal.operators.quality import require_tables, unresolved_keys
+from caudal.operators.joins import unique_on
+from caudal.operators.quality import full_report, require_tables, unresolved_in_one_read
 from caudal.plans import contracts, kpis, star
 from caudal.sources.readers import read_table, slice_period
 from caudal.sources.writers import Sink, write_table, write_to
@@ -76,11 +77,16 @@ def run_job(read: Callable[[], DataFrame], clean: Callable[[DataFrame], DataFram
 
 
 def refresh_clean(layers: Layers, cleaned: Mapping[str, DataFrame], year: int | None = None, month: int | None = None) -> dict[str, int]:
-    """Write cleaned tables, whole or one period; other partitions are left alone."""
+    """Write cleaned tables, whole or one period; other partitions are left alone.
+
+    A period of which nothing is left becomes empty. A month without a year replaces the
+    partitions that it occurs in.
+    """
     written = {}
     for name, df in cleaned.items():
-        sliced = slice_period(df, year, month if name == "climate" else None)
-        written[name] = write_to(sliced, layers.sink("clean", name))
+        of_month = month if name == "climate" else None
+        period = {k: v for k, v in (("year", year), ("month", of_month)) if v is not None} if year is not None else None
+        written[name] = write_to(slice_period(df, year, of_month), layers.sink("clean", name), period=period)
     return written
 
 
@@ -102,11 +108,14 @@ def refresh_star(
     other years valid. A fact year is recomputed from all its months.
     """
     sources = read_clean(spark, layers)
-    written = {name: write_table(df, layers.path("model", name)) for name, df in star.build_dims(sources, regions).items()}
+    built = star.build_dims(sources, regions)
+    # two entities with one key would become one in every fact
+    built = {name: unique_on(df, f"{name}_key") if name != "date" else df for name, df in built.items()}
+    written = {name: write_table(df, layers.path("model", name)) for name, df in built.items()}
     dims = {name: layers.read(spark, "model", name) for name in star.DIMENSIONS}
     sliced = {name: slice_period(df, year) for name, df in sources.items()}
     for name, df in star.build_facts(sliced, dims, dry_below, heavy_above, layers.types).items():
-        written[name] = write_to(df, layers.sink("model", name))
+        written[name] = write_to(df, layers.sink("model", name), period=None if year is None else {"year": year})
     return written
 
 
@@ -115,14 +124,16 @@ def read_model(spark: SparkSession, layers: Layers) -> Mapping[str, DataFrame]:
 
 
 def foreign_key_report(model: Mapping[str, DataFrame]) -> DataFrame:
-    """Unresolved foreign keys of every fact, to look at before serving."""
-    report = None
-    for fact in star.FACTS:
-        for key in star.FACT_GRAIN[fact]:
-            dim = model[key.removesuffix("_key")]
-            part = unresolved_keys(model[fact], dim, key)
-            report = part if report is None else report.unionByName(part)
-    return report
+    """Unresolved foreign keys of every fact, to look at before serving. Each fact is read once."""
+    reports = [unresolved_in_one_read(model[fact], {key: model[key.removesuffix("_key")] for key in star.FACT_GRAIN[fact]}) for fact in star.FACTS]
+    return full_report(reports)
+
+
+def require_resolved_keys(model: Mapping[str, DataFrame]) -> None:
+    """Stop if a fact has unresolved foreign keys. The driver sees a row for each key."""
+    bad = [f"{r.column_name}: {r.n_bad} of {r.n_total}" for r in foreign_key_report(model).where("n_bad > 0").collect()]
+    if bad:
+        raise ValueError(f"unresolved foreign keys: {'; '.join(bad)}")
 
 
 def refresh_gold(spark: SparkSession, layers: Layers, params: Mapping[str, object] | None = None, mode: str = "overwrite") -> dict[str, int]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from caudal.functions.bands import above, below
 from caudal.functions.numeric import Number
-from caudal.operators.aggregates import annual_rollup
+from caudal.operators.aggregates import annual_rollup, exact
 from caudal.operators.joins import anchor_dates
 from caudal.operators.model import build_calendar, build_dim, build_fact, year_bounds
 from caudal.plans.cleaning import DRY_MONTH_MM, HEAVY_RAIN_MONTH_MM
@@ -75,6 +75,13 @@ FACT_GRAIN = {
     "socioeconomic": ["country_key", "indicator_key", "date_key"],
 }
 
+NATURAL_GRAIN = {
+    "climate_monthly": ["country_iso3", "province_name", "year", "month"],
+    "climate_annual": ["country_iso3", "year"],
+    "wash_coverage": ["country_iso3", "residence_type_code", "service_type_desc", "service_level_desc", "year"],
+    "socioeconomic": ["country_iso3", "indicator_code", "year"],
+}
+
 
 def schemas(types: FactTypes = CONTRACT) -> dict[str, str]:
     """Stored schemas. Readers pass them, so opening a table looks at no file."""
@@ -87,12 +94,12 @@ def schemas(types: FactTypes = CONTRACT) -> dict[str, str]:
         "service_level": "service_level_key bigint, service_level_desc string",
         "indicator": "indicator_key bigint, indicator_code string, indicator_name string",
         "date": "date_key int, date date, year int, month int, month_name string, quarter int",
-        "climate_monthly": f"climate_monthly_id bigint, province_key bigint, date_key int, {measures(types.monthly)}, "
+        "climate_monthly": f"climate_monthly_id string, province_key bigint, date_key int, {measures(types.monthly)}, "
                            "dry_month_flag boolean, heavy_rain_month_flag boolean, year int",
-        "climate_annual": f"climate_annual_id bigint, country_key bigint, date_key int, {measures(types.annual)}, year int",
-        "wash_coverage": "wash_coverage_id bigint, country_key bigint, date_key int, residence_type_key bigint, service_type_key bigint, "
+        "climate_annual": f"climate_annual_id string, country_key bigint, date_key int, {measures(types.annual)}, year int",
+        "wash_coverage": "wash_coverage_id string, country_key bigint, date_key int, residence_type_key bigint, service_type_key bigint, "
                          f"service_level_key bigint, {measures(types.coverage)}, year int",
-        "socioeconomic": f"socioeconomic_id bigint, country_key bigint, date_key int, indicator_key bigint, {measures(types.indicator)}, year int",
+        "socioeconomic": f"socioeconomic_id string, country_key bigint, date_key int, indicator_key bigint, {measures(types.indicator)}, year int",
     }
 
 
@@ -149,11 +156,11 @@ def monthly_climate_fact(
 ) -> DataFrame:
     """Province and month, anchored at the last day of the month."""
     months = climate.groupBy("country_iso3", "province_name", "year", "month").agg(
-        F.sum("precip_total_mm").alias("precip_total_mm"),
-        F.avg("temp_max_avg_c").alias("temp_max_avg_c"),
-        F.avg("temp_min_avg_c").alias("temp_min_avg_c"),
-        F.sum("et0_total_mm").alias("et0_total_mm"),
-        F.avg("et0_avg_mm").alias("et0_avg_mm"),
+        F.sum(exact("precip_total_mm")).alias("precip_total_mm"),
+        F.avg(exact("temp_max_avg_c")).alias("temp_max_avg_c"),
+        F.avg(exact("temp_min_avg_c")).alias("temp_min_avg_c"),
+        F.sum(exact("et0_total_mm")).alias("et0_total_mm"),
+        F.avg(exact("et0_avg_mm")).alias("et0_avg_mm"),
     ).withColumns({
         "dry_month_flag": below("precip_total_mm", dry_below),
         "heavy_rain_month_flag": above("precip_total_mm", heavy_above),
@@ -163,7 +170,7 @@ def monthly_climate_fact(
         [(dims["province"], ["country_iso3", "province_name"], ["province_key"]),
          (anchor_dates(dims["date"], "month"), ["year", "month"], ["date_key"])],
         ["province_key", "date_key", "year", *types.monthly, "dry_month_flag", "heavy_rain_month_flag"],
-        types.monthly, "climate_monthly_id", FACT_GRAIN["climate_monthly"],
+        types.monthly, "climate_monthly_id", NATURAL_GRAIN["climate_monthly"],
     )
 
 
@@ -182,7 +189,7 @@ def annual_climate_fact(climate: DataFrame, dims: Frames, types: FactTypes = CON
         years,
         [(dims["country"], "country_iso3", ["country_key"]), (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", *types.annual],
-        types.annual, "climate_annual_id", FACT_GRAIN["climate_annual"],
+        types.annual, "climate_annual_id", NATURAL_GRAIN["climate_annual"],
     )
 
 
@@ -196,7 +203,7 @@ def coverage_fact(coverage: DataFrame, dims: Frames, types: FactTypes = CONTRACT
          (dims["service_level"], "service_level_desc", ["service_level_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", "residence_type_key", "service_type_key", "service_level_key", *types.coverage],
-        types.coverage, "wash_coverage_id", FACT_GRAIN["wash_coverage"],
+        types.coverage, "wash_coverage_id", NATURAL_GRAIN["wash_coverage"],
     )
 
 
@@ -208,7 +215,7 @@ def socioeconomic_fact(indicators: DataFrame, dims: Frames, types: FactTypes = C
          (dims["indicator"], "indicator_code", ["indicator_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", "indicator_key", *types.indicator],
-        types.indicator, "socioeconomic_id", FACT_GRAIN["socioeconomic"],
+        types.indicator, "socioeconomic_id", NATURAL_GRAIN["socioeconomic"],
     )
 
 

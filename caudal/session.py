@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_going: set[str] = set()
 SHARED_FOLDER_KEY = "spark.checkpoint.dir"
 
 
@@ -42,6 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run writes to."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/caudal-{app}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder that no other run writes to. The application's tables go when it ends."""
+    folder = f"{shared_folder(spark)}/caudal-{spark.sparkContext.applicationId}"
+    if folder not in _going:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _going.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"

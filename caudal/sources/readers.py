@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,8 +68,21 @@ def read_glob(spark: SparkSession, pattern: str, merge_schema: bool = True) -> D
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, recursive: bool = True) -> DataFrame:
-    """Delimited text with a header, under a declared schema (nothing is inferred)."""
-    return spark.read.schema(schema).option("header", True).option("recursiveFileLookup", recursive).csv(path)
+    """Delimited text with a header, under a declared schema (nothing is inferred).
+
+    Columns are found by their names in the header, in any order; a missing one is an
+    error, and so is a file whose header is not that of the others. Cells that do not fit
+    become NULL, for the quality report.
+    """
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    names = reader.csv(path).columns
+    missing = [f.name for f in wanted.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"missing in the header: {', '.join(missing)}")
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = reader.option("enforceSchema", False).schema(texts).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -77,24 +90,42 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
-def flatten_pages(df: DataFrame, json_col: str, row_schema: T.StructType | str, fields: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+def is_malformed(json_col: str) -> Column:
+    """Whether a payload is cut off or no JSON at all."""
+    return F.col(json_col).isNotNull() & F.try_parse_json(F.col(json_col)).isNull()
+
+
+def _well_formed(df: DataFrame, json_col: str, on_malformed: str) -> DataFrame:
+    if on_malformed == "skip":
+        return df.where(~is_malformed(json_col))
+    if on_malformed != "error":
+        raise ValueError("on_malformed must be 'error' or 'skip'")
+    told = F.concat(F.lit("malformed payload: "), F.substring(json_col, 1, 80))
+    return df.withColumn(json_col, F.when(is_malformed(json_col), F.raise_error(told).cast("string")).otherwise(F.col(json_col)))
+
+
+def flatten_pages(df: DataFrame, json_col: str, row_schema: T.StructType | str, fields: Mapping[str, str], keep: Sequence[str] = (), on_malformed: str = "error") -> DataFrame:
     """API pages ``[meta, [row, …]]`` to one row per record.
 
     ``fields`` maps output names to (possibly nested) paths inside a record. A page
-    without a second element gives no rows.
+    without a second element gives no rows. A malformed page stops the job;
+    ``on_malformed='skip'`` leaves it out, to be counted with ``is_malformed``.
     """
     schema = row_schema if isinstance(row_schema, str) else row_schema.simpleString()
+    df = _well_formed(df, json_col, on_malformed)
     records = F.from_json(F.get_json_object(F.col(json_col), "$[1]"), f"array<{schema}>")
     rows = df.select(*keep, F.explode(records).alias("_r"))
     return rows.select(*keep, *[F.col(f"_r.{path}").alias(name) for name, path in fields.items()])
 
 
-def flatten_arrays(df: DataFrame, json_col: str, root: str, arrays: Mapping[str, str], names: Mapping[str, str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def flatten_arrays(df: DataFrame, json_col: str, root: str, arrays: Mapping[str, str], names: Mapping[str, str] | None = None, keep: Sequence[str] = (),
+                   on_malformed: str = "error") -> DataFrame:
     """Parallel arrays under ``root`` to one row per position.
 
     ``arrays`` maps a JSON array to its element type, ``names`` renames it. Unknown
-    elements stay as NULLs.
+    elements stay as NULLs. Malformed payloads as in ``flatten_pages``.
     """
+    df = _well_formed(df, json_col, on_malformed)
     inner = ", ".join(f"`{name}`: array<{dtype}>" for name, dtype in arrays.items())
     parsed = df.select(*keep, F.from_json(F.col(json_col), f"struct<`{root}`: struct<{inner}>>").alias("_p"))
     zipped = F.arrays_zip(*[F.col(f"_p.{root}.{name}") for name in arrays])

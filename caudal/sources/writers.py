@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -45,6 +46,22 @@ def write_partitions(
     return int(counter.get["rows"])
 
 
+def replace_period(df: DataFrame, path: str, keys: Sequence[str], period: Mapping[str, int], order: Sequence[str] = ()) -> int:
+    """Write one period's folder anew, also if nothing is left in it; returns the number of rows written.
+
+    ``period`` gives values of the first partition keys; all rows of ``df`` must have
+    them. What the folder held before goes, other folders stay.
+    """
+    first, rest = list(keys[: len(period)]), list(keys[len(period):])
+    if set(first) != set(period):
+        raise ValueError(f"a period is set by the first of {', '.join(keys)}")
+    folder = "/".join([path.rstrip("/"), *[f"{k}={period[k]}" for k in first]])
+    inside = df.where(reduce(lambda a, b: a & b, [F.col(k) == period[k] for k in first])).drop(*first)
+    if rest:
+        return write_partitions(inside, folder, rest, "static", order=order)
+    return write_table(inside.hint("rebalance").sortWithinPartitions(*order) if order else inside, folder)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Full refresh of an unpartitioned table; returns the number of rows written."""
     counter = Observation()
@@ -52,10 +69,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return int(counter.get["rows"])
 
 
-def write_to(df: DataFrame, sink: Sink, mode: str = "dynamic") -> int:
-    """Write by a declared sink: its allow-lists first, then its layout."""
+def write_to(df: DataFrame, sink: Sink, mode: str = "dynamic", period: Mapping[str, int] | None = None) -> int:
+    """Write by a declared sink: its allow-lists first, then its layout. With a period, that is replaced and nothing else."""
     for col, values in sink.allowed:
         df = df.where(F.col(col).isin(list(values)))
+    if period:
+        return replace_period(df, sink.path, sink.keys, period, sink.order)
     return write_partitions(df, sink.path, sink.keys, mode, order=sink.order) if sink.keys else write_table(df, sink.path)
 
 

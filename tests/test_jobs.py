@@ -1,11 +1,12 @@
 """Landing folders to stored indicators, whole and one period at a time."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from caudal import jobs
-from caudal.plans import kpis, landed, star
-from caudal.plans.refresh import Layers, foreign_key_report, read_clean, read_gold, read_model
+from caudal.plans import cleaning, kpis, landed, star
+from caudal.plans.refresh import Layers, foreign_key_report, read_clean, read_gold, read_model, refresh_clean, refresh_star, require_resolved_keys
 
 from conftest import values
 from test_wash import _frame, daily_climate, landed_coverage, landed_indicators
@@ -77,6 +78,51 @@ def test_report_on_the_landed_sources(spark, built):
     assert rows[("climate", "null", "year")] == 0 and rows[("indicators", "negative", "indicator_value")] == 0
 
 
+def test_a_retracted_year_goes_from_all_layers(spark, tmp_path):
+    landing, root = f"{tmp_path}/bronze", f"{tmp_path}/lake"
+    land(spark, landing)
+    jobs.run(spark, "all", root, landing)
+    layers = Layers(root)
+    gone = {name: df.where("year <> 2019") for name, df in landed.cleaned(spark, landing).items()}
+    refresh_clean(layers, gone, year=2019)
+    refresh_star(spark, layers, year=2019)
+    for name in star.FACTS:
+        years = values(read_model(spark, layers)[name].select("year").distinct())
+        assert (2019,) not in years and (2018,) in years, name
+
+
+def test_every_landed_country_is_read(spark, built, tmp_path):
+    landing = built[0]
+    other = f"{tmp_path}/bronze"
+    for iso in ("ARG", "MEX", "BRA"):
+        rows = spark.read.parquet(f"{landing}/open_meteo/MEX").withColumn("date", F.unix_micros(F.col("date").cast("timestamp")))
+        rows.write.parquet(f"{other}/open_meteo/{iso}/province=any")
+    read = landed.read_climate(spark, other)
+    assert values(read.select("country_iso3").distinct()) == [("ARG",), ("BRA",), ("MEX",)]
+    assert read.where("year is null").count() == 0 and cleaning.clean_climate(read).count() > 0
+    with pytest.raises(AnalysisException):
+        landed.read_climate(spark, other, ["MEX", "CHL"])
+
+
+def test_one_year_of_the_survey_reads_its_folders_only(spark, built):
+    files = landed.read_coverage(spark, built[0], 2018).select("_metadata.file_path").distinct().collect()
+    assert len(files) == 3 and all("year=2018" in r.file_path for r in files)
+
+
+def test_unresolved_rows_keep_ids_of_their_own_and_stop_the_indicators(spark, built):
+    layers = Layers(built[1])
+    sources = read_clean(spark, layers)
+    dims = {name: layers.read(spark, "model", name) for name in star.DIMENSIONS}
+    facts = star.build_facts(sources, {**dims, "province": dims["province"].where("false")})["climate_monthly"]
+    assert facts.where("province_key is not null").count() == 0
+    assert facts.select("climate_monthly_id").distinct().count() == facts.count() == 576
+    model = {**{n: read_model(spark, layers)[n] for n in (*star.DIMENSIONS, *star.FACTS)}, "climate_monthly": facts}
+    with pytest.raises(ValueError, match="province_key: 576 of 576"):
+        require_resolved_keys(model)
+    with pytest.raises(Exception, match="duplicate key in lookup"):
+        star.build_facts(sources, {**dims, "country": dims["country"].union(dims["country"])})["wash_coverage"].collect()
+
+
 def test_clean_needs_a_landing_root(spark, tmp_path):
     with pytest.raises(ValueError, match="landing root"):
         jobs.run(spark, "clean", str(tmp_path))

@@ -47,6 +47,43 @@ def test_delimited(spark, tmp_path):
     assert (row.ISO3, row.Year, row.Coverage, row["Service level"]) == ("ARG", 2020, 12.5, "Basic service")
 
 
+def test_delimited_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Country,Year,ISO3\nMexico,x,MEX\n")
+    row = readers.read_delimited(spark, str(tmp_path), "ISO3 string, Country string, Year int").first()
+    assert (row.ISO3, row.Country, row.Year) == ("MEX", "Mexico", None)
+    with pytest.raises(ValueError, match="missing in the header: Coverage"):
+        readers.read_delimited(spark, str(tmp_path), "ISO3 string, Coverage double")
+    (tmp_path / "b.csv").write_text("ISO3,Country,Year\nARG,Argentina,2020\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_delimited(spark, str(tmp_path), "ISO3 string, Country string, Year int").collect()
+
+
+def test_malformed_payloads_do_not_vanish(spark):
+    good, cut = json.dumps([{"page": 1}, [{"date": "2000", "value": 1.5}]]), '[{"page": 2}, [{"date": "2001", "val'
+    df = spark.createDataFrame([(good,), (cut,), (None,)], "payload string")
+    args = ("payload", "struct<date: string, value: double>", {"date": "date"})
+    with pytest.raises(Exception, match="malformed payload"):
+        readers.flatten_pages(df, *args).collect()
+    assert values(readers.flatten_pages(df, *args, on_malformed="skip")) == [("2000",)]
+    assert df.where(readers.is_malformed("payload")).count() == 1
+    days = spark.createDataFrame([('{"daily": {"time": ["2024-01-01"',)], "payload string")
+    with pytest.raises(Exception, match="malformed payload"):
+        readers.flatten_arrays(days, "payload", "daily", {"time": "string"}).collect()
+
+
+def test_a_period_of_which_nothing_is_left_becomes_empty(spark, new_path):
+    path, keys = new_path(), ["year", "month"]
+    rows = spark.createDataFrame([(2000, 1, "a"), (2001, 1, "b"), (2001, 2, "c")], "year int, month int, v string")
+    writers.write_partitions(rows, path, keys)
+    read = lambda: values(spark.read.schema("v string, year int, month int").parquet(path), *keys, "v")
+    assert writers.replace_period(rows.where("month = 2"), path, keys, {"year": 2001}) == 1
+    assert read() == [(2000, 1, "a"), (2001, 2, "c")]
+    assert writers.replace_period(rows.where("false"), path, keys, {"year": 2001, "month": 2}) == 0
+    assert read() == [(2000, 1, "a")]
+    with pytest.raises(ValueError, match="first of"):
+        writers.replace_period(rows, path, keys, {"month": 1})
+
+
 def test_pages(spark, tmp_path):
     record = lambda y, v: {"countryiso3code": "ARG", "country": {"id": "AR", "value": "Argentina"}, "indicator": {"id": "X.Y", "value": "name"}, "date": y, "value": v}
     (tmp_path / "p1.json").write_text(json.dumps([{"page": 1, "pages": 2}, [record("2000", 1.5), record("n/a", None)]], indent=1))

@@ -25,8 +25,12 @@ def corr(x: str, y: str) -> str:
 
 
 def key(*parts: str) -> str:
-    text = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
-    return f"CAST('0x' || substr(md5(concat_ws(chr(31), {text})), 1, 15) AS BIGINT)"
+    return f"CAST('0x' || substr({wide_key(*parts)}, 1, 15) AS BIGINT)"
+
+
+def wide_key(*parts: str) -> str:
+    text = ", ".join(f"coalesce(CAST({p} AS VARCHAR), chr(30))" for p in parts)
+    return f"md5(concat_ws(chr(31), {text}))"
 
 
 def _case(value: str, table: dict[str, str]) -> str:
@@ -88,8 +92,8 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         FROM (SELECT unnest(generate_series(make_date(lo, 1, 1), make_date(hi, 12, 31), INTERVAL 1 DAY)) AS d
               FROM (SELECT min(year) AS lo, max(year) AS hi FROM (SELECT year FROM coverage UNION ALL SELECT year FROM climate)))""", ("coverage", "climate")),
     "fact_monthly": (f"""
-        SELECT {key('province_key', 'date_key')} AS climate_monthly_id, * FROM (
-            SELECT {key('country_iso3', 'province_name')} AS province_key,
+        SELECT * FROM (
+            SELECT {wide_key('country_iso3', 'province_name', 'year', 'month')} AS climate_monthly_id, {key('country_iso3', 'province_name')} AS province_key,
                    CAST(strftime(last_day(make_date(year, month, 1)), '%Y%m%d') AS INTEGER) AS date_key, year,
                    CAST(precip_total_mm AS DECIMAL(24,2)) AS precip_total_mm, CAST(temp_max_avg_c AS DECIMAL(24,2)) AS temp_max_avg_c,
                    CAST(temp_min_avg_c AS DECIMAL(24,2)) AS temp_min_avg_c, CAST(et0_total_mm AS DECIMAL(24,2)) AS et0_total_mm,
@@ -102,8 +106,8 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
                count(*) FILTER (dry_month_flag) AS dry, count(*) FILTER (heavy_rain_month_flag) AS heavy
         FROM climate GROUP BY 1, 2""", ("climate",)),
     "fact_annual": (f"""
-        SELECT {key('country_key', 'date_key')} AS climate_annual_id, * FROM (
-            SELECT {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year,
+        SELECT * FROM (
+            SELECT {wide_key('country_iso3', 'year')} AS climate_annual_id, {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year,
                    {fixed('rain', 2, 'DECIMAL(24,2)')} AS precip_total_mm_year, {fixed(half_up('rain', '12'), 2, 'DECIMAL(24,2)')} AS precip_avg_mm_year,
                    {fixed(half_up('tmax', 'n'), 2, 'DECIMAL(24,2)')} AS temp_max_avg_year, {fixed(half_up('tmin', 'n'), 2, 'DECIMAL(24,2)')} AS temp_min_avg_year,
                    {fixed('et0', 2, 'DECIMAL(24,2)')} AS et0_total_mm_year, {fixed(half_up('et0_avg', 'n'), 2, 'DECIMAL(24,2)')} AS et0_avg_mm_year,
@@ -111,13 +115,13 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
                    {fixed(half_up('1000 * dry', '12'), 3, 'DECIMAL(24,3)')} AS drought_index, {fixed(half_up('1000 * heavy', '12'), 3, 'DECIMAL(24,3)')} AS heavy_rain_index
             FROM annual_sums)""", ("annual_sums",)),
     "fact_coverage": (f"""
-        SELECT {key('country_key', 'residence_type_key', 'service_type_key', 'service_level_key', 'date_key')} AS wash_coverage_id, * FROM (
-            SELECT {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year, {key('residence_type_code')} AS residence_type_key,
+        SELECT * FROM (
+            SELECT {wide_key('country_iso3', 'residence_type_code', 'service_type_desc', 'service_level_desc', 'year')} AS wash_coverage_id, {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year, {key('residence_type_code')} AS residence_type_key,
                    {key('service_type_desc')} AS service_type_key, {key('service_level_desc')} AS service_level_key, population_total, coverage_pct
             FROM coverage)""", ("coverage",)),
     "fact_socioeconomic": (f"""
-        SELECT {key('country_key', 'indicator_key', 'date_key')} AS socioeconomic_id, * FROM (
-            SELECT {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year, {key('indicator_code')} AS indicator_key,
+        SELECT * FROM (
+            SELECT {wide_key('country_iso3', 'indicator_code', 'year')} AS socioeconomic_id, {key('country_iso3')} AS country_key, year * 10000 + 1231 AS date_key, year, {key('indicator_code')} AS indicator_key,
                    {fixed(half_up('micro', '100'), 4, 'DECIMAL(24,4)')} AS indicator_value FROM indicator_units)""", ("indicator_units",)),
     "water_f": ("""
         SELECT country_iso3, country_name, residence_type_code, residence_type_desc, year, CAST(coverage_pct AS DOUBLE) AS pct

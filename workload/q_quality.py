@@ -29,9 +29,9 @@ def customer_report(spark, d):
     return quality.dq_report(table(spark, d, "customer"), checks)
 
 
-@query("DQ-03", "SELECT 'duplicate_row' AS check_name, '*' AS column_name, CAST(sum(n - 1) AS BIGINT) AS n_bad, CAST(sum(n) AS BIGINT) AS n_total FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+@query("DQ-03", "SELECT 'duplicate_row' AS check_name, '*' AS column_name, (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_bad, (SELECT count(*) FROM lineitem) AS n_total")
 def duplicate_rows(spark, d):
-    return quality.duplicate_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    return quality.duplicate_rows(table(spark, d, "lineitem"))
 
 
 @query("DQ-10", "SELECT 'repeated_key' AS check_name, 'l_orderkey,l_linenumber' AS column_name, count(*) FILTER (n > 1) AS n_bad, CAST(sum(n) AS BIGINT) AS n_total FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")

@@ -37,7 +37,8 @@ def _regional_climate(spark, d):
 def roots_with_key_from_path(spark, d):
     path = new_table_path(spark, "climate_landing")
     writers.write_partitions(_regional_climate(spark, d), path, ["region"])
-    roots = [f"{path}/region={i}" for i in range(5)] + [f"{path}/region=missing"]
+    regions = [r.n_regionkey for r in table(spark, d, "nation").select("n_regionkey").distinct().collect()]  # a folder each
+    roots = [f"{path}/region={i}" for i in regions] + [f"{path}/region=missing"]
     daily = readers.read_roots(spark, roots, ["precipitation_sum"], r"region=([^/]+)/", "region_code", on_missing="skip")
     return daily.groupBy("region_code").agg(F.count(F.lit(1)).alias("n"), F.sum("precipitation_sum").alias("precipitation"))
 
