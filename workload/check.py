@@ -41,8 +41,10 @@ def _rows(table: pa.Table, names: list[str]) -> list[tuple]:
 def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, d: str, name: str) -> list[str]:
     """Differences between a query and its SQL; empty when they agree."""
     q = CATALOG[name]
-    ours = q.run(spark, d).toArrow()
-    theirs = con.execute(q.sql).to_arrow_table()
+    return compare_tables(q.run(spark, d).toArrow(), con.execute(q.sql).to_arrow_table())
+
+
+def compare_tables(ours: pa.Table, theirs: pa.Table) -> list[str]:
     names = sorted(ours.column_names)
     if names != sorted(theirs.column_names):
         return [f"columns {names} != {sorted(theirs.column_names)}"]
