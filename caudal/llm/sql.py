@@ -67,12 +67,11 @@ def _hash(text: str) -> str:
 
 
 def line_dedup() -> str:
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     agreed = lambda mine, first: f"""list_transform(range(1, least(len({mine}), len({first})) + 1), lambda i: ({mine}[i]).h = ({first}[i]).h)"""
     run = lambda mine, first: f"{mine}[1:coalesce(list_position({agreed(mine, first)}, false) - 1, len({agreed(mine, first)}))]"
     return rf"""WITH src AS (SELECT DISTINCT coalesce(doc_id, -9223372036854775808) AS doc, {_hash('text')} AS kind, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
     cut AS (SELECT doc, kind, unnest(range(len(parts)))::INTEGER AS pos, unnest(parts) AS line FROM src),
-    plain AS (SELECT doc, kind, pos, trim(regexp_replace(translate(line, '{upper}', '{lower}'), '{SPACE}', ' ', 'g')) AS line FROM cut),
+    plain AS (SELECT doc, kind, pos, trim(regexp_replace(lower(line), '{SPACE}', ' ', 'g')) AS line FROM cut),
     lines AS (SELECT doc, kind, pos, {_hash('line')} AS h, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM plain WHERE line <> ''),
     placed AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY doc, kind ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM lines),
     windowed AS (
@@ -80,9 +79,9 @@ def line_dedup() -> str:
         WINDOW w AS (PARTITION BY doc, kind ORDER BY start RANGE BETWEEN CURRENT ROW AND {RUN_WORDS - 1} FOLLOWING)),
     chosen AS (SELECT DISTINCT doc, kind, least AS pos FROM windowed WHERE filled),
     around AS (
-        SELECT doc, kind, pos, h, words, list({{'pos': pos, 'h': h, 'words': words}}) OVER (PARTITION BY doc, kind ORDER BY start RANGE BETWEEN {RUN_WORDS} PRECEDING AND {RUN_WORDS - 1} FOLLOWING) AS near FROM placed),
+        SELECT *, list({{'pos': pos, 'h': h, 'words': words, 'start': start}}) OVER (PARTITION BY doc, kind ORDER BY pos ROWS BETWEEN {RUN_WORDS} PRECEDING AND {RUN_WORDS} FOLLOWING) AS near FROM placed),
     sides AS (
-        SELECT doc, kind, pos, h, words, list_reverse(list_sort(list_filter(near, lambda x: x.pos < pos))) AS before, list_sort(list_filter(near, lambda x: x.pos > pos)) AS after
+        SELECT doc, kind, pos, h, words, list_reverse(list_sort(list_filter(near, lambda x: x.pos < pos AND x.start + x.words > start - {RUN_WORDS}))) AS before, list_sort(list_filter(near, lambda x: x.pos > pos AND x.start < start + words + {RUN_WORDS})) AS after
         FROM around JOIN chosen USING (doc, kind, pos)),
     firsts AS (SELECT h, min(struct_pack(doc := doc, kind := kind, pos := pos)) AS origin FROM sides GROUP BY h HAVING count(*) > 1),
     pairs AS (

@@ -107,7 +107,7 @@ def test_matches_are_those_of_all_windows(spark):
     got = decontaminate.contaminated(frame, bench).collect()
     want = brute_matches(docs, items)
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
-    assert len(got) == len(want) > 60
+    assert len(got) == len(want) > 40
     kept = decontaminate.drop_contaminated(frame, bench)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs if d not in {k for k, _ in want})
