@@ -54,12 +54,13 @@ def _exact(name: str) -> Column:
 def leaf_budgets(leaves: DataFrame, levels: list[Level], budget: int, max_epochs: int) -> DataFrame:
     """leaves: k0, k1, ..., tokens. Adds budget."""
     keys = [f"k{i}" for i in range(len(levels))]
-    above = leaves.groupBy().agg(F.least(F.lit(budget).cast("bigint"), F.coalesce(F.sum("tokens"), F.lit(0)) * max_epochs).alias("budget"))
+    root = min(budget, (leaves.agg(F.sum("tokens")).first()[0] or 0) * max_epochs)
+    above = None
     for i, level in enumerate(levels):
         node, parent = keys[: i + 1], keys[:i]
         nodes = leaves.groupBy(*node).agg((F.sum("tokens") * max_epochs).alias("cap")).withColumn("w", _weight(level, keys[i]))
         nodes = nodes.withColumn("cap", F.when(F.col("w") > 0, F.col("cap")).otherwise(0))
-        nodes = nodes.join(above, parent) if parent else nodes.join(F.broadcast(above))  # one row
+        nodes = nodes.join(above, parent) if parent else nodes.withColumn("budget", F.lit(root).cast("bigint"))
         inside = Window.partitionBy(*parent)
         order = inside.orderBy((F.col("cap") / F.greatest("w", F.lit(1))), keys[i]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         full = (_exact("cap") * _exact("w_from")) <= ((F.col("budget") - F.col("cap_to") + F.col("cap")).cast("decimal(19,0)") * _exact("w"))
