@@ -26,6 +26,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -45,7 +46,7 @@ class Settings:
     """vocabulary: a SentencePiece model file, read by the driver. pseudo: sum of the pseudo-counts."""
 
     vocabulary: str = VOCABULARY
-    rounds: int = 2
+    rounds: int = 1
     pseudo: float = 1000.0
     frequent: int = 65_536
 
@@ -86,18 +87,19 @@ class Lattice:
         for i, t in enumerate(pieces.texts):
             self.automaton.add_word(t, i << 16 | len(t))
         self.automaton.make_automaton()
-        self.single = {t for t in pieces.texts if len(t) == 1}
+        self.single = np.zeros(0x110000, dtype=bool)
+        self.single[[ord(t) for t in pieces.texts if len(t) == 1] + [ord("\n")]] = True
         self.other: dict[str, int] = {}  # characters that are no piece get numbers beyond the end's
 
-    def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """start, end (places in the joined words), piece and log probability of each arc, ascending by end; the words' places."""
+    def arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """start, end (places in the joined words), piece and log probability of each arc, ascending by end; the words' places; each arc's word."""
         joined = "\n".join(MARK + w for w in words) + "\n"
-        found = np.array(list(self.automaton.iter(joined)), dtype=np.int64).reshape(-1, 2)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), dtype=np.int64).reshape(-1, 2)
         end, piece, size = found[:, 0] + 1, found[:, 1] >> 16, found[:, 1] & 0xFFFF
-        if missing := set(joined) - self.single - {"\n"}:
-            at = np.array([i for i, c in enumerate(joined) if c in missing], dtype=np.int64)
-            for c in missing:
-                self.other.setdefault(c, len(self.other))
+        at = np.flatnonzero(~self.single[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)])
+        if len(at):
+            for i in at.tolist():
+                self.other.setdefault(joined[i], len(self.other))
             kind = np.array([self.n + 257 + self.other[joined[i]] for i in at], dtype=np.int64)
             end, piece, size = np.concatenate((end, at + 1)), np.concatenate((piece, kind)), np.concatenate((size, np.ones_like(at)))
             order = np.argsort(end, kind="stable")
@@ -105,24 +107,24 @@ class Lattice:
         spelled = np.array([sum(self.logp[self.n + b] for b in c.encode("utf-8", "surrogatepass")) for c in self.other])
         lengths = np.array([len(w) + 2 for w in words], dtype=np.int64)
         starts = np.cumsum(lengths) - lengths
-        return end - size, end, piece, np.concatenate((self.logp, spelled))[piece], starts
+        word = np.repeat(np.arange(len(words)), lengths)[end - 1]
+        return end - size, end, piece, np.concatenate((self.logp, spelled))[piece], starts, word
 
     def forward(self, words: list[str]) -> np.ndarray:
-        start, end, _, lp, first = self.arcs(words)
-        alpha = _forward(start, end, lp, first, words)
+        start, end, _, lp, first, word = self.arcs(words)
+        alpha = _forward(start, end, lp, first, word, words)
         return alpha[first + np.array([len(w) + 1 for w in words])]
 
     def expected(self, words: list[str], times: np.ndarray, into: np.ndarray) -> None:
         """Add the expected counts of pieces and bytes."""
-        start, end, piece, lp, first = self.arcs(words)
+        start, end, piece, lp, first, word = self.arcs(words)
         last = first + np.array([len(w) + 1 for w in words])
-        alpha = _forward(start, end, lp, first, words)
+        alpha = _forward(start, end, lp, first, word, words)
         # the backward recursion is the forward one on mirrored places
         total = int(last[-1]) + 1
         order = np.argsort(total - start, kind="stable")
-        mirrored = _forward((total - end)[order], (total - start)[order], lp[order], (total - last)[::-1].copy(), words[::-1])
+        mirrored = _forward((total - end)[order], (total - start)[order], lp[order], (total - last)[::-1].copy(), len(words) - 1 - word[order], words[::-1])
         beta = mirrored[total - np.arange(total + 1)]
-        word = np.searchsorted(first, start, side="right") - 1
         share = np.exp(alpha[start] + lp + beta[end] - alpha[last][word]) * times[word]
         counts = np.bincount(piece, weights=share, minlength=self.n + 257 + len(self.other))
         into[: self.n] += counts[: self.n]
@@ -131,14 +133,12 @@ class Lattice:
                 into[self.n + b] += counts[self.n + 257 + k]
 
 
-def _forward(start: np.ndarray, end: np.ndarray, lp: np.ndarray, first: np.ndarray, words: list[str]) -> np.ndarray:
+def _forward(start: np.ndarray, end: np.ndarray, lp: np.ndarray, first: np.ndarray, word: np.ndarray, words: list[str]) -> np.ndarray:
     """Log probability of reaching each place from its word's first. Arcs ascend by end. Words advance side by side."""
     alpha = np.full(int(first[-1]) + len(words[-1]) + 3, -np.inf)
     alpha[first] = 0.0
-    word = np.searchsorted(first, end, side="right") - 1
-    word = np.where(first[word] == end, word - 1, word)
     depth = end - first[word]
-    order = np.argsort(depth, kind="stable")
+    order = np.argsort(depth.astype(np.uint16) if len(depth) and depth.max() < 65536 else depth, kind="stable")
     start, end, lp, depth = start[order], end[order], lp[order], depth[order]
     cuts = np.searchsorted(depth, np.arange(1, depth[-1] + 2)) if len(depth) else np.zeros(1, dtype=np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -183,12 +183,12 @@ def count_words(docs: DataFrame) -> DataFrame:
         texts = 0
         for batch in batches:
             for training, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = Counter((text.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
+                found = (text.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
                 if training:
                     counts.update(found)
                     texts += 1
                 else:
-                    for w in found:
+                    for w in set(found):
                         counts[w] += 0
                 if len(counts) > FLUSH_WORDS:
                     yield {"word": [w.decode("utf-8", "surrogatepass") for w in counts], "n": list(counts.values())}
