@@ -57,7 +57,8 @@ def top_k(
 
     ``tie_break`` must make the order total for a repeatable result. Overall, each
     task keeps its best k; per group Spark limits each group to k rows per task before
-    the shuffle, so neither a hot group nor the whole table reaches one task.
+    the shuffle, so neither a hot group nor the whole table reaches one task. Spark does
+    so up to a threshold; for a larger k each group is cut in parts first, by a hash.
     """
     v = F.abs(column(value)) if absolute else column(value)
     if isinstance(df.select(v).schema[0].dataType, (T.DoubleType, T.FloatType)):
@@ -65,6 +66,11 @@ def top_k(
     order = [v.asc_nulls_last() if ascending else v.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
     if not by:
         return df.orderBy(*order).limit(k)
+    conf = df.sparkSession.conf
+    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
+        inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
+        df = df.withColumn("_part", part).withColumn("_place", inside).where(F.col("_place") <= k).drop("_part", "_place")
     place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
 
@@ -124,11 +130,16 @@ def _boundaries(counts: DataFrame, slices: int, groups: int = 64) -> list[float]
 def rank_by(
     df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = (), absolute: bool = False, slices: int | None = None
 ) -> DataFrame:
-    """Rank of every row by descending value (ties share a rank), without a global sort."""
+    """Rank of every row by descending value (ties share a rank), without a global sort.
+
+    Rows with an unknown value have no rank. They are spread over the join by a hash.
+    """
     rows = df.withColumn("_v", known(F.abs(F.col(value)) if absolute else value))
+    unknown = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 20))
+    rows = rows.withColumn("_spread", F.when(F.col("_v").isNull(), unknown).otherwise(F.lit(0)))
     positions = value_positions(rows, "_v", by, slices)
-    ranks = positions.select(*by, F.col("v").alias("_v"), (F.col("size") - F.col("smaller") - F.col("n") + 1).alias(out))
-    return join_same(rows, ranks, [*by, "_v"]).select(*df.columns, out)
+    ranks = positions.select(*by, F.col("v").alias("_v"), F.lit(0).cast("bigint").alias("_spread"), (F.col("size") - F.col("smaller") - F.col("n") + 1).alias(out))
+    return join_same(rows, ranks, [*by, "_v", "_spread"]).select(*df.columns, out)
 
 
 def quantiles_by(

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.operators.aggregates import union_all
-
 
 @dataclass(frozen=True)
 class Metric:
@@ -33,23 +32,30 @@ METRICS = (
 GRAIN = ("country_iso3", "year", "residence_type_desc", "service_type_desc")
 
 
-def measure_rows(coverage: DataFrame, metric: Metric) -> DataFrame:
-    """One value per country, year, residence type and service for a metric."""
-    rows = coverage.where(
+def _measures() -> dict[str, Column]:
+    return {
+        "coverage": F.max("coverage_pct").cast("double"),
+        "sum_of_coverage": F.sum("coverage_pct").cast("double"),
+        "population": F.sum(F.col("population_total") * F.col("coverage_pct") / 100).cast("double"),
+    }
+
+
+def _asks_for(metric: Metric) -> Column:
+    return (
         F.col("service_type_desc").isin(list(metric.services))
         & F.col("service_level_desc").isin(list(metric.levels))
         & F.col("residence_type_desc").isin(list(metric.residences))
     )
-    measure = {
-        "coverage": F.max("coverage_pct").cast("double"),
-        "sum_of_coverage": F.sum("coverage_pct").cast("double"),
-        "population": F.sum(F.col("population_total") * F.col("coverage_pct") / 100).cast("double"),
-    }[metric.measure]
-    return rows.groupBy(*GRAIN).agg(measure.alias("value")).select(F.lit(metric.name).alias("metric"), *GRAIN, "value")
 
 
 def evaluate(coverage: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFrame:
-    return union_all([measure_rows(coverage, m) for m in metrics])
+    """One value per metric, country, year, residence type and service. Coverage is read once: a row goes to each metric that asks for it."""
+    asked = F.array_compact(F.array(*[F.when(_asks_for(m), F.struct(F.lit(m.name).alias("metric"), F.lit(m.measure).alias("measure"))) for m in metrics]))
+    rows = coverage.where(reduce(lambda a, b: a | b, [_asks_for(m) for m in metrics]))
+    rows = rows.select(*GRAIN, "coverage_pct", "population_total", F.inline(asked))
+    measured = rows.groupBy("metric", "measure", *GRAIN).agg(*[c.alias(f"_{n}") for n, c in _measures().items()])
+    value = F.coalesce(*[F.when(F.col("measure") == n, F.col(f"_{n}")) for n in _measures()])
+    return measured.select("metric", *GRAIN, value.alias("value"))
 
 
 def as_rows(spark: SparkSession, metrics: Sequence[Metric] = METRICS) -> DataFrame:

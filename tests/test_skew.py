@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from caudal.operators import windows
 from workload.catalog import CATALOG
 from workload.check import TABLES, compare
 
@@ -46,3 +47,25 @@ def skewed(spark, tmp_path_factory):
 def test_skewed_tables_give_the_same_results(spark, skewed, name):
     d, con = skewed
     assert compare(spark, con, d, name) == []
+
+
+def test_large_k_on_a_hot_group(spark):
+    """Beyond Spark's threshold for group limits, a hot group is cut in parts before it meets."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"), (F.col("id") * 7919 % 10_007).alias("v"), "id")
+    top = windows.top_k(df, "v", 2000, ["g"], tie_break=["id"])
+    place = {}
+    for g, v, i in sorted(map(tuple, df.collect()), key=lambda r: (r[0], -r[1], r[2])):
+        place.setdefault(g, []).append((g, v, i))
+    assert sorted(map(tuple, top.collect())) == sorted(r for rows in place.values() for r in rows[:2000])
+    assert top._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
+
+
+def test_ranking_with_a_third_unknown(spark):
+    df = spark.range(9_000).select("id", F.when(F.col("id") % 3 > 0, (F.col("id") % 1000).cast("double")).alias("v"))
+    ranked = windows.rank_by(df, "v")
+    rows = {r.id: r["rank"] for r in ranked.collect()}
+    values_ = sorted((r.v for r in df.where("v is not null").collect()), reverse=True)
+    first = {}
+    for i, v in enumerate(values_):
+        first.setdefault(v, i + 1)
+    assert len(rows) == 9_000 and all(rows[r.id] == (first[r.v] if r.v is not None else None) for r in df.collect())
