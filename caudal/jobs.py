@@ -1,4 +1,4 @@
-"""Jobs for ``spark-submit``: ``check`` reports on the landed sources; ``clean``, ``star``, ``gold`` or ``all`` refresh.
+"""Jobs for ``spark-submit``: ``land`` turns raw files into the landed sources, ``check`` reports on the landed sources; ``clean``, ``star``, ``gold`` or ``all`` refresh.
 
     spark-submit --py-files caudal.zip caudal/jobs.py all --landing s3a://bucket/bronze --root s3a://bucket/lake --year 2024
 """
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from caudal.plans import landed
+from caudal.plans import ingest, landed
 from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star, require_resolved_keys
 from caudal.sources.writers import write_table
 
@@ -39,7 +39,8 @@ def run(spark: SparkSession, step: str, root: str, landing: str | None = None, y
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("step", choices=("check", *STEPS, "all"))
+    parser.add_argument("step", choices=("land", "check", *STEPS, "all"))
+    parser.add_argument("--raw", help="where raw files lie, for land")
     parser.add_argument("--root", help="where the clean, model and gold layers live")
     parser.add_argument("--landing", help="where the sources land")
     parser.add_argument("--year", type=int)
@@ -49,6 +50,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--report", help="where check stores its report")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"caudal-{args.step}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if args.step == "land":
+        if not (args.raw and args.landing):
+            parser.error("land needs --raw and --landing")
+        print(json.dumps(ingest.land(spark, args.raw, args.landing)))
+        return
     if args.step == "check":
         if not args.landing:
             parser.error("check needs --landing")

@@ -12,10 +12,11 @@ from caudal.functions.dates import timestamp_of_micros
 from caudal.operators.projection import with_date_parts
 from caudal.operators.quality import full_report
 from caudal.plans.cleaning import clean_climate, clean_coverage, clean_indicators, climate_report, coverage_report, indicator_report
-from caudal.sources.readers import read_glob, read_roots
+from caudal.sources.readers import exists, read_glob, read_roots
 
 # Landing folders.
-COVERAGE_FOLDERS = "jmp/country=*/year={year}"
+SURVEY_FOLDER = "jmp"
+COVERAGE_FOLDERS = SURVEY_FOLDER + "/*=*/*={year}"  # country=…/year=… or area=…/period=…
 INDICATOR_FOLDER = "world_bank"
 CLIMATE_FOLDER = "open_meteo"
 INDICATOR_COLUMNS = ("country_code", "date", "indicator_code", "indicator_name", "value")
@@ -36,8 +37,10 @@ def read_climate(spark: SparkSession, landing: str, countries: Sequence[str] | N
     The country comes from the folder, and year and month from the date where the
     files lack them. Dates may be stored as microseconds.
     """
-    roots = [f"{landing}/{CLIMATE_FOLDER}/{iso3}" for iso3 in countries] if countries else [f"{landing}/{CLIMATE_FOLDER}"]
-    rows = read_roots(spark, roots, key_pattern=f"{CLIMATE_FOLDER}/([A-Z]{{3}})/", key_col="country_iso3")
+    base = f"{landing}/{CLIMATE_FOLDER}"
+    keyed = [f"{base}/area={iso3}" for iso3 in countries or ()]
+    roots = [k if exists(spark, k) else f"{base}/{k.rpartition('=')[2]}" for k in keyed] or [base]
+    rows = read_roots(spark, roots, key_pattern=f"{CLIMATE_FOLDER}/(?:area=)?([A-Z]{{3}})/", key_col="country_iso3")
     if "date" in rows.columns and rows.schema["date"].dataType == T.LongType():
         rows = rows.withColumn("date", timestamp_of_micros("date"))
     if "year" not in rows.columns or "month" not in rows.columns:

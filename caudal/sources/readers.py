@@ -41,7 +41,7 @@ def read_roots(
     """
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing must be 'error' or 'skip'")
-    found = list(roots) if on_missing == "error" else [root for root in roots if _exists(spark, root)]
+    found = list(roots) if on_missing == "error" else [root for root in roots if exists(spark, root)]
     if not found:
         raise ValueError("none of the roots could be read")
     reader = spark.read.option("recursiveFileLookup", True)
@@ -52,7 +52,7 @@ def read_roots(
     return df.select(*wanted)
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
+def exists(spark: SparkSession, root: str) -> bool:
     """Whether a root can be listed; no file is opened."""
     try:
         spark.read.format("binaryFile").load(root)

@@ -1,11 +1,13 @@
 """Landing folders to stored indicators, whole and one period at a time."""
 
+import json
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from caudal import jobs
-from caudal.plans import cleaning, kpis, landed, star
+from caudal.plans import cleaning, ingest, kpis, landed, star
 from caudal.plans.refresh import Layers, foreign_key_report, read_clean, read_gold, read_model, refresh_clean, refresh_star, require_resolved_keys
 
 from conftest import values
@@ -123,6 +125,26 @@ def test_unresolved_rows_keep_ids_of_their_own_and_stop_the_indicators(spark, bu
         star.build_facts(sources, {**dims, "country": dims["country"].union(dims["country"])})["wash_coverage"].collect()
 
 
+def test_raw_files_land_and_are_cleaned(spark, tmp_path):
+    raw, landing = tmp_path / "raw", f"{tmp_path}/bronze"
+    for folder in ("jmp", "world_bank", "open_meteo/MEX", "open_meteo/BRA"):
+        (raw / folder).mkdir(parents=True)
+    (raw / "jmp" / "a.csv").write_text("Year,ISO3,Country,Residence Type,Service Type,Coverage,Population,Service level\n2020,MEX,Mexico,total,Sanitation,12.5,100,Basic service\n2021,BRA,Brazil,total,Sanitation,50,10,Basic service\n")
+    record = lambda y, v: {"countryiso3code": "MEX", "country": {"value": "Mexico"}, "indicator": {"id": "X", "value": "name"}, "date": y, "value": v}
+    (raw / "world_bank" / "p1.json").write_text(json.dumps([{"page": 1}, [record("2020", 1.5), record("2021", 2.5)]]))
+    day = {"daily": {"time": ["2020-01-01", "2020-02-01"], "temperature_2m_max": [1.0, 2.0], "temperature_2m_min": [0.0, None], "precipitation_sum": [3.0, 4.0], "et0_fao_evapotranspiration": [1.0, 1.0]}}
+    for place in ("MEX/Nuevo Leon", "BRA/Bahia"):
+        (raw / "open_meteo" / f"{place}.json").write_text(json.dumps(day))
+    for _ in range(2):  # landing again changes nothing
+        assert ingest.land(spark, str(raw), landing) == {"survey": 2, "indicators": 2, "climate": 4}
+    clean = landed.cleaned(spark, landing)
+    assert values(clean["coverage"].select("country_iso3", "year")) == [("BRA", 2021), ("MEX", 2020)]
+    assert values(landed.cleaned(spark, landing, year=2020)["coverage"].select("country_iso3")) == [("MEX",)]
+    assert values(clean["indicators"].select("country_iso3", "year", "indicator_value")) == [("MEX", 2020, 1.5), ("MEX", 2021, 2.5)]
+    assert values(clean["climate"].select("country_iso3", "province_name", "month", "precip_total_mm"))[0] == ("BRA", "Bahia", 1, 3.0) and clean["climate"].count() == 4
+    assert values(landed.read_climate(spark, landing, ["MEX"]).select("province").distinct()) == [("Nuevo Leon",)]
+
+
 def test_clean_needs_a_landing_root(spark, tmp_path):
     with pytest.raises(ValueError, match="landing root"):
         jobs.run(spark, "clean", str(tmp_path))
