@@ -86,12 +86,16 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """conv_id, turn, up (root), depth, by doubling the way up in each round."""
-    now = stored(parents.select("conv_id", "turn", F.coalesce("up", "turn").alias("up"), F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("bigint").alias("depth")), "replies")
+    """conv_id, turn, up (root), depth, by doubling the way up in each round. Rounds move only what is not at its root yet."""
+    names = ["conv_id", "turn", "up", "depth"]
+    roots = parents.filter("up is null").select("conv_id", "turn", F.col("turn").alias("up"), F.lit(0).cast("bigint").alias("depth"))
+    now = stored(parents.filter("up is not null").select("conv_id", "turn", "up", F.lit(1).cast("bigint").alias("depth"), F.lit(True).alias("on")), "replies")
     for _ in range(MAX_ROUNDS):
+        if now.filter("on").isEmpty():
+            return roots.unionAll(now.select(*names))
         above = now.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
-        moved = now.join(above, ["conv_id", "up"], "left").select("conv_id", "turn", F.coalesce("__up", "up").alias("up"), (F.col("depth") + F.coalesce("__depth", F.lit(0))).alias("depth"))
-        before, now = now, stored(moved, "replies")
-        if before.agg(F.sum("depth")).first() == now.agg(F.sum("depth")).first():
-            return now
+        moved = now.filter("on").join(above, ["conv_id", "up"], "left").select(
+            "conv_id", "turn", F.coalesce("__up", "up").alias("up"), (F.col("depth") + F.coalesce("__depth", F.lit(0))).alias("depth"), F.col("__up").isNotNull().alias("on")
+        )
+        now = stored(now.filter("not on").unionAll(moved), "replies")
     raise RuntimeError("replies form no tree")
