@@ -19,6 +19,13 @@ The index, over distinct fingerprints:
 
 So copies, near copies and hot patterns never become all pairs, and no group is held whole in a task beyond node_rows.
 
+drop_near_duplicates takes the index as a search for candidates and keeps those whose shingle sets have the wanted Jaccard
+similarity, exactly (by 64-bit hashes of the shingles). Texts with equal sets are one beforehand. A first look, under few masks,
+verifies the nearest and the first neighbour of each fingerprint, which joins most of a large group. The second look gives every
+pair within the radius that shares a node and is not in one group yet: once, from the first mask the two share. Pairs of sets whose
+sizes rule the similarity out are left out. Texts that are within the radius but not similar enough stay pairs to verify, so
+many texts of one template cost the square of their number.
+
 Defined results: NULL and empty texts, and texts without words, have fingerprint zero and link like any other. Fewer words
 than a shingle has are one shingle. Rows with a NULL doc_id have a fingerprint and no component, and are not removed. Rows
 with equal doc_id count as one document in components; one of them stays, the first by text. Other columns pass through.
@@ -43,6 +50,7 @@ SEED = 42
 LEAF = 64
 SMALL_NODE = 32
 PARTS = 64
+FIRST_LOOK = 32
 
 
 @dataclass(frozen=True)
@@ -83,16 +91,25 @@ def _as_words(mask: int, words: int) -> tuple[int, ...]:
     return tuple(p - 2**64 if p >= 2**63 else p for p in parts)
 
 
-def text_fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> list[int]:
-    """The fingerprint's words, as unsigned numbers."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """A hash of each word shingle, in order."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not tokens:
-        return [0] * words
+        return np.zeros(0, dtype=np.uint64)
     ends = np.cumsum([len(t) + 1 for t in tokens])
     plain, n = b" ".join(tokens), max(1, len(tokens) - shingle + 1)
     starts, stops = [0, *ends[: n - 1].tolist()], [*(ends[shingle - 1 : shingle - 1 + n] - 1).tolist()] or [len(plain)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(plain[a:b], SEED) for a, b in zip(starts, stops)), dtype=np.uint64, count=n)
+    return np.fromiter((digest(plain[a:b], SEED) for a, b in zip(starts, stops)), dtype=np.uint64, count=n)
+
+
+def text_fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> list[int]:
+    """The fingerprint's words, as unsigned numbers."""
+    return _print(shingle_hashes(text, shingle), words)
+
+
+def _print(hashes: np.ndarray, words: int) -> list[int]:
+    n = len(hashes)
     counts = np.zeros(64 * words, dtype=np.int64)
     for s in range(0, n, 65536):
         part = hashes[s : s + 65536]
@@ -182,29 +199,46 @@ def links(prints: DataFrame, index: Index) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
+def _parts(index: Index) -> Column:
+    return F.ceil(F.col("node_n") / max(1, index.node_rows // 2))
+
+
+def _blocks(large: DataFrame, index: Index) -> DataFrame:
+    """Rows of large nodes, once for each pair of parts that theirs is in. side tells a block's two parts apart, and is 0 in the block of one part."""
+    mine = large.withColumn("part", F.pmod(F.xxhash64("id"), _parts(index)))
+    both = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), _parts(index) - 1)))
+    side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
+    return both.withColumns({"node": F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other")), "side": side}).drop("part", "other", "node_n")
+
+
 def _resolved(placed: DataFrame, names: list[str], index: Index) -> DataFrame:
     """Edges inside nodes. A task reads its nodes one after another, in Gray order."""
     radius = index.radius
 
     def work(batches) -> Iterator[dict]:
-        carry = None
-        for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-            node, ids, prints = cols[0], cols[1], np.stack(cols[2:], axis=1).view(np.uint64)
-            if carry is not None:
-                node, ids, prints = (np.concatenate(x) for x in zip(carry, (node, ids, prints)))
-            cut = np.flatnonzero(node != node[-1])
-            cut = cut[-1] + 1 if len(cut) else 0
-            carry = node[cut:], ids[cut:], prints[cut:]
-            if cut:
-                yield _edges(node[:cut], ids[:cut], prints[:cut], radius)
-        if carry is not None and len(carry[0]):
-            yield _edges(*carry, radius)
+        for node, ids, *prints in _whole_nodes(batches):
+            yield _edges(node, ids, np.stack(prints, axis=1).view(np.uint64), radius)
 
     rows = placed.select("node", "id", *names).repartition("node").sortWithinPartitions("node", *[gray_rank(F.col(n)) for n in names])
     return mapped(rows, work, "a bigint, b bigint")
 
 
+def _whole_nodes(batches) -> Iterator[list[np.ndarray]]:
+    """The batches' columns, the first of which is the node, cut so that no node is in two."""
+    carry = None
+    for batch in batches:
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        if carry is not None:
+            cols = [np.concatenate(x) for x in zip(carry, cols)]
+        cut = np.flatnonzero(cols[0] != cols[0][-1]) if len(cols[0]) else []
+        cut = cut[-1] + 1 if len(cut) else 0
+        carry = [c[cut:] for c in cols]
+        if cut:
+            yield [c[:cut] for c in cols]
+    if carry is not None and len(carry[0]):
+        yield carry
+
+
 def _edges(node: np.ndarray, ids: np.ndarray, prints: np.ndarray, radius: int) -> dict:
     labels = local_components(node, prints, radius)
     linked = np.flatnonzero(labels != np.arange(len(labels)))
@@ -312,14 +346,165 @@ def near_duplicate_groups(docs: DataFrame, index: Index = Index(), shingle: int
     return known.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, index: Index | None = None, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose document is the first of its group, by doc_id; columns as they are."""
-    index = index or similar(0.8)
-    members = near_duplicate_groups(docs, index, shingle, doc_id, text)
-    first = members.filter("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
+def shingle_sets(docs: DataFrame, shingle: int, words: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, w0, ..., n (distinct shingles), k0, k1 (hash of the set of shingles): a row for each row of docs."""
+
+    def work(batches) -> Iterator[dict]:
+        for batch in batches:
+            found = []
+            for t in batch.column(1):
+                hashes = shingle_hashes(t.as_py(), shingle)
+                distinct = np.unique(hashes)
+                key = xxhash.xxh3_128_intdigest(distinct.tobytes())
+                found.append([*_print(hashes, words), len(distinct), key >> 64, key & (2**64 - 1)])
+            table = np.array(found, dtype=np.uint64).reshape(-1, words + 3).view(np.int64)
+            yield {"doc_id": batch.column(0), **{f"w{i}": table[:, i] for i in range(words)}, "n": table[:, words], "k0": table[:, words + 1], "k1": table[:, words + 2]}
+
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return mapped(rows, work, "doc_id bigint, " + ", ".join(f"w{i} bigint" for i in range(words)) + ", n bigint, k0 bigint, k1 bigint")
+
+
+def _placed(sets: DataFrame, index: Index, names: list[str], masks: list[tuple[int, ...]]) -> DataFrame:
+    literal = F.array(*[F.struct(F.lit(i).alias("mask"), F.array(*[F.lit(w).cast("bigint") for w in m]).alias("masks")) for i, m in enumerate(masks)])
+    return sets.select("*", F.inline(literal)).withColumn("node", _at_node(names)).drop("masks")
+
+
+def _neighbours(sets: DataFrame, index: Index, similarity: float) -> DataFrame:
+    """The first look: a, b with the nearest neighbour of each id, and the first by id, under FIRST_LOOK masks. sets: id, w0, ..., n."""
+    names, radius = [f"w{i}" for i in range(index.words)], index.radius
+
+    def work(batches) -> Iterator[dict]:
+        for node, ids, n, *words in _whole_nodes(batches):
+            prints = np.stack(words, axis=1).view(np.uint64)
+            starts, _, left = _node_places(node)
+            head = np.repeat(starts, np.diff(np.concatenate((starts, [len(node)]))))
+            far = np.flatnonzero(np.arange(len(node)) - head >= SMALL_NODE)
+            pairs = [(head[far], far)] + [(rows, rows + lag) for lag in range(1, SMALL_NODE) if len(rows := np.flatnonzero(left > lag))]
+            a, b = (np.concatenate(x) for x in zip(*pairs))
+            apart = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1)
+            fit = np.flatnonzero((apart <= radius) & (ids[a] != ids[b]) & _sizes_fit(n[a], n[b], similarity))
+            a, b, apart = np.concatenate((a[fit], b[fit])), np.concatenate((b[fit], a[fit])), np.concatenate((apart[fit], apart[fit])).astype(np.int64)
+            for kind, by in ((0, apart), (1, np.zeros_like(apart))):
+                order = np.lexsort((ids[b], by, ids[a]))
+                order = order[np.flatnonzero(np.concatenate(([True], ids[a[order[1:]]] != ids[a[order[:-1]]])))] if len(order) else order
+                yield {"kind": np.full(len(order), kind, dtype=np.int32), "a": ids[a[order]], "apart": by[order], "b": ids[b[order]]}
+
+    placed = _placed(sets, index, names, index.upper_masks()[:FIRST_LOOK])
+    large = placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("node_n")).filter(F.col("node_n") > index.node_rows)
+    large = stored(large, "large-nodes")
+    if not large.isEmpty():  # the first look may read a node in parts
+        cut = F.when(F.col("node_n").isNull(), F.col("node")).otherwise(F.xxhash64("node", F.pmod(F.xxhash64("id"), _parts(index))))
+        placed = placed.join(large, ["mask", "node"], "left").withColumn("node", cut)
+    rows = placed.select("node", "id", "n", *names).repartition("node").sortWithinPartitions("node", *[gray_rank(F.col(w)) for w in names])
+    best = mapped(rows, work, "kind int, a bigint, apart bigint, b bigint").groupBy("kind", "a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    return best.select(F.greatest("a", "best.b").alias("a"), F.least("a", "best.b").alias("b")).distinct()
+
+
+def _candidates(sets: DataFrame, index: Index, similarity: float) -> DataFrame:
+    """The second look: all a, b within the radius that share a node, are in no group together and have fitting sizes. sets: id, w0, ..., n, component."""
+    names, radius, masks = [f"w{i}" for i in range(index.words)], index.radius, index.upper_masks()
+    patterns = np.array(masks, dtype=np.int64).view(np.uint64)
+
+    def work(batches) -> Iterator[dict]:
+        for node, mask, ids, n, component, side, *words in _whole_nodes(batches):
+            prints = np.stack(words, axis=1).view(np.uint64)
+            for a, b in _pairs(node, prints, component, radius):
+                fit = (component[a] != component[b]) & ((side[a] == 0) | (side[a] != side[b])) & _sizes_fit(n[a], n[b], similarity)
+                a, b = a[fit], b[fit]
+                differ, new = prints[a] ^ prints[b], np.ones(len(a), dtype=bool)
+                for k in range(int(mask[a].max()) if len(a) else 0):
+                    new &= (mask[a] <= k) | ((differ & patterns[k]) != 0).any(axis=1)
+                a, b = ids[a[new]], ids[b[new]]
+                yield {"a": np.maximum(a, b), "b": np.minimum(a, b)}
+
+    placed = _placed(sets, index, names, masks)
+    hot = stored(placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("node_n")).filter(F.col("node_n") > index.node_rows), "large-nodes")
+    columns = ["node", "mask", "id", "n", "component", "side", *names]
+    rows = placed.withColumn("side", F.lit(0)).select(*columns)
+    if not hot.isEmpty():
+        rows = rows.join(hot, ["mask", "node"], "left_anti").select(*columns).unionAll(_blocks(placed.join(hot, ["mask", "node"]), index).select(*columns))
+    rows = rows.repartition("node").sortWithinPartitions("node", *[gray_rank(F.col(w)) for w in names])
+    return mapped(rows, work, "a bigint, b bigint").distinct()
+
+
+def _sizes_fit(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+
+
+def _node_places(node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where nodes start, their sizes, and for each row the rows from there to its node's end."""
+    starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(node)])))
+    return starts, sizes, np.repeat(sizes, sizes) - (np.arange(len(node)) - np.repeat(starts, sizes))
+
+
+def _pairs(node: np.ndarray, prints: np.ndarray, component: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of a node within the radius, apart from some of one component; nodes' rows are in Gray order."""
+    starts, sizes, left = _node_places(node)
+    left = np.where(np.repeat(sizes > SMALL_NODE, sizes), 0, left)
+    found = []
+    for lag in range(1, SMALL_NODE):
+        rows = np.flatnonzero(left > lag)
+        if not len(rows):
+            break
+        near = rows[np.bitwise_count(prints[rows] ^ prints[rows + lag]).sum(axis=1) <= radius]
+        found.append((near, near + lag))
+    if found:
+        yield tuple(np.concatenate(x) for x in zip(*found))
+    for first, size in zip(starts[sizes > SMALL_NODE], sizes[sizes > SMALL_NODE]):
+        mine, group, leaves = prints[first : first + size], component[first : first + size], np.arange(0, size, LEAF)
+        both, any_ = np.bitwise_and.reduceat(mine, leaves), np.bitwise_or.reduceat(mine, leaves)
+        common, low, high = ~(both ^ any_), np.minimum.reduceat(group, leaves), np.maximum.reduceat(group, leaves)
+        for leaf, s in enumerate(leaves):
+            apart = np.bitwise_count((both[leaf] ^ both[leaf:]) & common[leaf] & common[leaf:]).sum(axis=1)
+            one = (low[leaf:] == high[leaf:]) & (low[leaf:] == low[leaf]) & (low[leaf] == high[leaf])
+            here = []
+            for other in np.flatnonzero((apart <= radius) & ~one):
+                t = leaves[leaf + other]
+                x, y = np.nonzero(np.bitwise_count(mine[s : s + LEAF, None] ^ mine[None, t : t + LEAF]).sum(axis=2) <= radius)
+                keep = slice(None) if other else x < y
+                here.append((first + s + x[keep], first + t + y[keep]))
+            if here:
+                yield tuple(np.concatenate(x) for x in zip(*here))
+
+
+def alike(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float, doc_id: str, text: str) -> DataFrame:
+    """Those of the pairs a, b of documents whose shingle sets have the Jaccard similarity, by a join of the sets of the documents in pairs."""
+
+    def work(batches) -> Iterator[dict]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
+            yield {"id": batch.column(0), "key": [xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 for s in sets], "hashes": sets}
+
+    pairs = stored(pairs, "candidates")
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    sets = stored(mapped(rows, work, "id bigint, key bigint, hashes array<bigint>").dropDuplicates(["id", "key"]).drop("key"), "shingle-sets")
+    of = lambda side: sets.select(F.col("id").alias(side), F.col("hashes").alias(f"of_{side}"))
+    joined = pairs.join(of("a"), "a").join(of("b"), "b")
+    both = joined.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("both"), (F.size("of_a") + F.size("of_b")).alias("sizes"))
+    return both.filter(F.col("both") * (1 + similarity) >= F.col("sizes") * similarity - 1e-9).select("a", "b").distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, index: Index | None = None, shingle: int = 5, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
+    """The rows of docs whose document is the first of its group, by doc_id; columns as they are. Links are similar pairs that the index finds."""
+    index = index or similar(similarity)
+    names = [f"w{i}" for i in range(index.words)]
+    prints = stored(shingle_sets(docs, shingle, index.words, doc_id, text), "fingerprints")
+    known = prints.filter("doc_id is not null")
+    sets = stored(known.groupBy("k0", "k1", "n", *names).agg(F.min("doc_id").alias("id")), "distinct-sets")
+    twice = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
+    twice = stored(twice, "repeated-ids")
+    # a doc_id that has several sets is one document
+    several = known.join(twice, "doc_id", "left_semi").select("doc_id", "k0", "k1").distinct().join(sets.select("k0", "k1", "id"), ["k0", "k1"])
+    one = several.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    edges = stored(alike(docs, _neighbours(sets, index, similarity), shingle, similarity, doc_id, text).unionAll(one), "first-links")
+    of = lambda edges: sets.join(connected_components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    more = alike(docs, _candidates(stored(of(edges), "first-groups"), index, similarity), shingle, similarity, doc_id, text)
+    first = of(edges.unionAll(more)).select(F.col("component").alias("__first")).distinct()
     keyed = docs.withColumn("__id", F.col(doc_id).cast("bigint"))
     kept = keyed.join(first, keyed["__id"] == first["__first"], "left").filter("__first is not null or __id is null")
-    if not members.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    if not twice.isEmpty():
         order = Window.partitionBy("__id").orderBy(F.col(text).asc_nulls_first())
         kept = kept.withColumn("__row", F.row_number().over(order)).filter("__row = 1 or __id is null")
     return kept.select(*[f"`{c}`" for c in docs.columns])

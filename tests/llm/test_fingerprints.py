@@ -157,3 +157,42 @@ def test_copies_go_and_clean_documents_stay(spark):
         ids = sorted((r.doc_id for r in kept.collect()), key=repr)
         assert ids == sorted([10 * i for i in range(25)] + [None, None, 7], key=repr)
     assert simhash.recall(simhash.similar(0.8), 0.8) > 0.95
+
+
+def brute_kept(rows, shingle=5, similarity=0.8):
+    """The first document of each group that exact Jaccard similarities link."""
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))}
+
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [rows[i][0] for i in range(len(rows)) if root(i) == i]
+
+
+def changed(rng, words, share):
+    """The words with one changed run, so long that about `share` of them are no longer those of the original."""
+    n = max(1, round(len(words) * share))
+    at = rng.randrange(len(words) - n)
+    return [*words[:at], *(text_of(rng, 6, "ABCDEFGHIJ") for _ in range(n)), *words[at + n :]]
+
+
+def test_only_pairs_of_the_similarity_are_copies(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(200):
+        own = [text_of(rng, 6, "abcdefghijklmnop") for _ in range(150)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(changed(rng, own, 0.02 + 0.23 * i / 200)).lower())]  # similarity 0.92 to 0.55
+    want = brute_kept(rows)
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(documents(spark, rows)).collect())
+    assert 250 < len(want) < 350 and set(want) <= set(kept)  # no clean document goes
