@@ -74,16 +74,17 @@ class Index:
         return [_as_words(sum(1 << int(b) for b in draw.choice(bits, self.mask_bits, replace=False)), self.words) for _ in range(self.masks)]
 
 
-def similar(similarity: float = 0.8, words: int = 2, masks: int = 64, mask_bits: int = 18) -> Index:
-    """An index for texts whose shingle sets are so similar (Jaccard): the distance expected there, and a standard deviation."""
+def similar(similarity: float = 0.8, words: int = 2, masks: int = 192, mask_bits: int = 16, spread: float = 4.0) -> Index:
+    """An index for texts whose shingle sets are so similar (Jaccard): the distance expected there, and `spread` standard deviations."""
     bits, angle = 64 * words, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return Index(math.ceil(bits * angle + math.sqrt(bits * angle * (1 - angle))), words, None, masks, mask_bits)
+    return Index(math.ceil(bits * angle + spread * math.sqrt(bits * angle * (1 - angle))), words, None, masks, mask_bits)
 
 
 def recall(index: Index, similarity: float) -> float:
-    """Share of pairs of a similarity that meet in a node, for sampled masks."""
-    agree = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return 1 - (1 - agree**index.mask_bits) ** index.masks
+    """Share of pairs of a similarity that are within the radius and meet in a node, for sampled masks: the mean over distances."""
+    bits, differ = 64 * index.words, math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    missed = lambda d: (1 - math.comb(bits - d, index.mask_bits) / math.comb(bits, index.mask_bits)) ** index.masks
+    return sum(math.comb(bits, d) * differ**d * (1 - differ) ** (bits - d) * (1 - missed(d)) for d in range(index.radius + 1))
 
 
 def _as_words(mask: int, words: int) -> tuple[int, ...]:

@@ -196,3 +196,24 @@ def test_only_pairs_of_the_similarity_are_copies(spark):
     want = brute_kept(rows)
     kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(documents(spark, rows)).collect())
     assert 250 < len(want) < 350 and set(want) <= set(kept)  # no clean document goes
+
+
+def test_recall_counts_the_radius_and_the_masks_together(spark):
+    index = simhash.similar(0.8)
+    masks = np.array(index.upper_masks(), dtype=np.int64).view(np.uint64)
+    rng = np.random.default_rng(7)
+    for similarity in (0.8, 0.85):
+        angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+        differ = np.packbits(rng.random((4000, 128)) < angle, axis=1).view(np.uint64)
+        near = np.bitwise_count(differ).sum(axis=1) <= index.radius
+        found = near & (((differ[:, None] & masks[None]) == 0).all(axis=2)).any(axis=1)
+        assert abs(found.mean() - simhash.recall(index, similarity)) < 0.01
+    assert simhash.recall(index, 0.8) > 0.99
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        own = [text_of(rng, 6, "abcdefghijklmnop") for _ in range(150)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(changed(rng, own, 0.08)))]  # similarity 0.80 to 0.82
+    want = brute_kept(rows)
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(spark, rows)).collect()}
+    assert len(want) == 150 and set(want) <= kept and len(kept) <= 153
