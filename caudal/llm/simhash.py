@@ -9,8 +9,8 @@ The index, over distinct fingerprints:
    any two fingerprints within the radius share at least one node. Sampled masks, for wide fingerprints and large radii, find
    a pair with a probability that masks and mask_bits set (recall()).
 2. Nodes with over `node_rows` fingerprints are split: the bits still free are cut into radius + 1 segments, of which one must
-   agree. (With sampled masks such a node is worked on in parts, and what is first in its part goes on under wider masks.) A
-   node with no more free bits than the radius is a group as it is.
+   agree, and a node with no more free bits than the radius is a group as it is. With sampled masks such a node is cut into
+   parts by id, and each pair of parts is a block of its own: no pair is lost, and the work grows with the square of the node.
 3. Inside a node fingerprints stand in the order of their Gray rank, so that neighbours share most bits. Runs of 64 are
    leaves with a pattern of common bits. Whole pairs of leaves are pruned if the differences accumulated in their common bits
    exceed the radius, and are skipped if they are one component already.
@@ -49,7 +49,6 @@ from caudal.llm.components import connected_components
 SEED = 42
 LEAF = 64
 SMALL_NODE = 32
-PARTS = 64
 FIRST_LOOK = 32
 
 
@@ -161,17 +160,16 @@ def links(prints: DataFrame, index: Index) -> DataFrame:
     edges = []
     while True:
         placed = rows.withColumn("node", _at_node(names))
-        hot = stored(placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > index.node_rows).select("mask", "node"), "large-nodes")
+        hot = stored(placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > index.node_rows).select("mask", "node", F.col("n").alias("node_n")), "large-nodes")
         here = sorted(r.mask for r in hot.select("mask").distinct().collect())  # masks are few, whatever the data
         if not here:
             edges.append(_resolved(placed, names, index))
             break
         edges.append(_resolved(placed.join(hot, ["mask", "node"], "left_anti"), names, index))
-        large, rows = placed.join(hot, ["mask", "node"], "left_semi"), None
-        if not index.segments:  # parts of a large node first; what is first in its part goes on under wider masks
-            parts = stored(_resolved(large.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id"), F.lit(PARTS)))), names, index), "part-links")
-            edges.append(parts)
-            large = stored(large.join(parts.select(F.col("a").alias("id")).distinct(), "id", "left_anti"), "part-heads")
+        large, rows = placed.join(hot, ["mask", "node"]), None
+        if not index.segments:
+            edges.append(_resolved(_blocks(large, index), names, index))
+            break
         for i in here:
             mine = large.filter(F.col("mask") == i)
             free = [b for b in range(64 * index.words) if not (masks[i][b // 64] >> (b % 64)) & 1]
@@ -179,11 +177,7 @@ def links(prints: DataFrame, index: Index) -> DataFrame:
                 edges.append(mine.groupBy("node").agg(F.min("id").alias("b")).join(mine, "node").select(F.col("id").alias("a"), "b"))
                 continue
             kept = sum((w & (2**64 - 1)) << (64 * k) for k, w in enumerate(masks[i]))
-            if index.segments:
-                cuts = [[b for k, b in enumerate(free) if k * (index.radius + 1) // len(free) == s] for s in range(index.radius + 1)]
-            else:
-                draw = np.random.Generator(np.random.PCG64([index.seed, len(masks)]))
-                cuts = [draw.choice(free, 4, replace=False).tolist() for _ in range(4)]
+            cuts = [[b for k, b in enumerate(free) if k * (index.radius + 1) // len(free) == s] for s in range(index.radius + 1)]
             children = []
             for cut in cuts:
                 child = kept | sum(1 << b for b in cut)

@@ -217,3 +217,16 @@ def test_recall_counts_the_radius_and_the_masks_together(spark):
     want = brute_kept(rows)
     kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(spark, rows)).collect()}
     assert len(want) == 150 and set(want) <= kept and len(kept) <= 153
+
+
+def test_large_nodes_lose_no_link(spark):
+    rng = random.Random(9)
+    base = [text_of(rng, 6, "abcdefghijklmnop") for _ in range(200)]
+    rows = [(i, " ".join(changed(rng, base, rng.choice([0.05, 0.1, 0.15, 0.3])))) for i in range(150)]
+    docs = documents(spark, rows)
+    for index in (simhash.Index(20, 2, None, 32, 12), simhash.Index(36, 2, None, 192, 16)):
+        small = simhash.Index(index.radius, 2, None, index.masks, index.mask_bits, node_rows=20)
+        of = lambda x: sorted((r.doc_id, r.component_id) for r in simhash.near_duplicate_groups(docs, x, 5).collect())
+        assert of(small) == of(index)
+    kept = lambda x: sorted(r.doc_id for r in simhash.drop_near_duplicates(docs, x).collect())
+    assert kept(small) == kept(index) == brute_kept(rows)
