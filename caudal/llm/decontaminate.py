@@ -77,6 +77,20 @@ def item_index(items: DataFrame, radius: int) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, spread: float = 4.0,
                  doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, similarity (of the best window), first_word, n_words: one row for each document and item that match."""
+    matches = _matches(docs, benchmark, similarity, shingle, spread, doc_id, text, item_id, item_text)
+    best = F.max(F.struct(F.col("similarity"), (-F.col("pos")).alias("back"), F.col("length"))).alias("best")
+    return matches.groupBy(F.col("doc").alias("doc_id"), F.col("id.item_id").alias("item_id")).agg(best).select(
+        "doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("first_word"), (F.col("best.length") + shingle - 1).alias("n_words")
+    )
+
+
+def _kind(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, spread: float = 4.0,
+             doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """doc, kind (hash of the text), pos, length, similarity, id (of the item): a row for each window and item that match."""
     radius = radius_for(similarity, spread)
     items = (
         benchmark.select(F.col(item_id).alias("item_id"), shingle_hashes(F.col(item_text), shingle).alias("hashes")).filter("hashes is not null")
@@ -87,7 +101,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     parts = items.select("item", "size", F.explode("hashes").alias("h"))
     sizes = stored(parts.groupBy("h").agg(F.collect_set("size").alias("sizes")), "item-shingles")
 
-    key = [F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("kind")]
+    key = [F.col(doc_id).alias("doc"), _kind(F.col(text)).alias("kind")]
     texts = docs.select(*key, shingle_hashes(F.col(text), shingle).alias("hashes"))
     exploded = texts.select("doc", "kind", F.size("hashes").alias("n"), F.posexplode("hashes").alias("pos", "h"))
     hits = stored(exploded.join(sizes, "h").select("doc", "kind", "n", "pos", "sizes"), "hits").distinct()
@@ -108,7 +122,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     few = docs.select(*key, F.col(text).alias("text")).withColumn("doc_key", F.coalesce(F.col("doc").cast("string"), F.lit("-")))
     joined = few.join(wanted.withColumn("doc_key", F.coalesce(F.col("doc").cast("string"), F.lit("-"))).drop("doc"), ["doc_key", "kind"])
     opened = joined.select("doc", "kind", "windows", shingle_hashes(F.col("text"), shingle).alias("all")).select("doc", "kind", "all", F.inline("windows"))
-    cut = opened.select("doc", "pos", "length", "size", F.slice("all", F.col("pos") + 1, F.col("length")).alias("hashes")).distinct()
+    cut = opened.select("doc", "kind", "pos", "length", "size", F.slice("all", F.col("pos") + 1, F.col("length")).alias("hashes")).distinct()
     cut = stored(cut.withColumn("content", F.xxhash64("hashes", "size")), "window-shingles")
 
     contents = cut.groupBy("content", "size").agg(F.first("hashes").alias("hashes"))
@@ -121,14 +135,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     theirs = parts.groupBy("item", "size", "h").agg(F.count(F.lit(1)).alias("m"))
     shared = found.join(mine, "content").join(theirs, ["item", "h"]).groupBy("content", "item", "length", "size").agg(F.sum(F.least("n", "m")).alias("both"))
     alike = shared.withColumn("similarity", F.col("both") / (F.col("length") + F.col("size") - F.col("both"))).filter(F.col("similarity") >= similarity)
-    matches = cut.select("doc", "pos", "length", "content").join(alike.select("content", "item", "similarity"), "content").join(items.select("item", F.explode("ids").alias("id")), "item")
-    best = F.max(F.struct(F.col("similarity"), (-F.col("pos")).alias("back"), F.col("length"))).alias("best")
-    return matches.groupBy(F.col("doc").alias("doc_id"), F.col("id.item_id").alias("item_id")).agg(best).select(
-        "doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("first_word"), (F.col("best.length") + shingle - 1).alias("n_words")
-    )
+    return cut.select("doc", "kind", "pos", "length", "content").join(alike.select("content", "item", "similarity"), "content").join(items.select("item", F.explode("ids").alias("id")), "item")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs without the documents that match an item; columns and rows as they are. A NULL doc_id goes if its text matches."""
-    found = contaminated(docs, benchmark, doc_id=doc_id, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("__id")), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """docs without the rows whose text matches an item; columns and rows as they are. Other texts of the same doc_id, or of a NULL one, stay."""
+    found = _matches(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("doc").alias("__id"), F.col("kind").alias("__kind")).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col("__id")) & _kind(F.col(text)).eqNullSafe(F.col("__kind"))
+    return docs.join(found, same, "left_anti")

@@ -122,6 +122,14 @@ def test_empty_tables_and_null_ids(spark):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == 2
 
 
+def test_only_the_texts_that_match_go(spark):
+    leak, clean = "one two three four five six seven", "clean text of its own that has no match"
+    rows = [(None, leak), (None, clean), (None, None), (1, leak), (1, clean), (1, leak), (2, clean)]
+    bench = spark.createDataFrame([(7, leak)], "item_id bigint, text string")
+    kept = decontaminate.drop_contaminated(documents(spark, rows), bench).collect()
+    assert sorted([(r.doc_id, r.text) for r in kept], key=repr) == sorted([r for r in rows if r[1] != leak], key=repr)
+
+
 def test_index_lists_all_prints_within_the_radius(spark):
     rng = random.Random(3)
     radius = decontaminate.radius_for(0.8)
