@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from caudal.llm.mixing import Level
 
-#: A text is rejected if its cosine with every language is lower.
-LEAST_LIKENESS = 0.1
+#: A text is rejected if its cosine with every language is lower, and it has letters enough to judge by: the cosines of shorter
+#: ones are on the edge of the noise of 1024 dimensions.
+LEAST_LIKENESS, JUDGED_LETTERS = 0.1, 80
 DOMAIN_WEIGHTS = {"d0": 5, "d1": 3, "d2": 2}
 LANG_WEIGHTS = {"en": 4, "fr": 2, "de": 2, "es": 2}
 MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 60, 4, 1

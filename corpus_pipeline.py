@@ -2,7 +2,7 @@
 
 Every stage works on all that the one before it kept, and all but the last return the columns of documents:
 
-- language: learns the languages of the stage's own documents and drops those whose text has no letters or is like none of them;
+- language: learns the languages of the stage's own documents and drops those whose text has no letters, or has 80 or more and is like none of them;
 - lines: cuts later copies of repeated runs of lines; a document of which nothing is left goes, as its text is all elsewhere;
 - copies: keeps the first document of each group of near-duplicates (five-word shingles, similarity 0.8);
 - benchmark: drops documents that hold a passage of the benchmark (five-word shingles, similarity 0.8);
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from caudal.llm import decontaminate, langid, linedup, mixing, simhash
 from caudal.llm.common import read, stored
-from caudal.llm.settings import LEAST_LIKENESS, mixture_levels
+from caudal.llm.settings import JUDGED_LETTERS, LEAST_LIKENESS, mixture_levels
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,7 +24,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = langid.learn(docs)
     judged = langid.predict(docs, profiles, list(COLUMNS[:1] + COLUMNS[2:]), keep_text=True)
-    return judged.filter(langid.accepted(F.col("lang_pred"), F.col("score"), None, LEAST_LIKENESS)).select(*COLUMNS)
+    known, alike = (langid.accepted(F.col("lang_pred"), F.col("score"), None, least) for least in (0.0, LEAST_LIKENESS))
+    short = F.length(F.regexp_replace("text", r"\P{L}+", "")) < JUDGED_LETTERS
+    return judged.filter(alike | (known & short)).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

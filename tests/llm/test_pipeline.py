@@ -37,6 +37,14 @@ def test_language_rejects_only_what_has_no_language(stages):
     assert set(after) <= set(before)
 
 
+def test_short_texts_with_letters_stay(spark):
+    short = ["A.", "Onhaha sh.", "A.\nAll rights reserved.", "Lllldoado.", "Avec."]
+    base = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    docs = base.unionByName(documents(spark, [(10**6 + i, t) for i, t in enumerate([*short, "42 + 43", "", "Þð Ж ქ漢 " * 100])]))
+    kept = {r.doc_id for r in pipeline.language(spark, docs, SF).filter(f"doc_id >= {10**6}").collect()}
+    assert kept == {10**6 + i for i in range(len(short))}
+
+
 def test_lines_are_those_of_the_sql(stages):
     con = oracle_connection(SF)
     con.register("kept", stages[1].toArrow())
