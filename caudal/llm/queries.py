@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, urlfilter
+from caudal.llm import align, decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, urlfilter
 from caudal.llm.common import read
 from caudal.llm.settings import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, mixture_levels
 from caudal.llm.sql import SQL  # noqa: F401  registered with the queries
@@ -95,6 +95,10 @@ def op10_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.predict(docs, profiles, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op13_token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return align.align(read(spark, d, "documents"), as_digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,5 +107,6 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_parsing_fingerprints, op2_simhash_components, op3_lattice_scores, op4_quotation_links, op5_mixture, op6_decontaminate,
-    op7_url_filter, op8_revisits, op9_line_dedup, op10_language, pipeline,
+    op7_url_filter, op8_revisits, op9_line_dedup, op10_language,
+    op13_token_alignment, pipeline,
 )}
