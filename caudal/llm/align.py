@@ -3,15 +3,15 @@
 A is a byte-level BPE (tokenizers), B a piece model with byte fallback (sentencepiece). Both encode a space and the text; B adds
 that space itself. Strings of special tokens are ordinary text.
 
-1. Coarse cuts. A gives character offsets, B the spans of its proto (this sentencepiece has no immutable proto any more; the
-   spans of `proto` are the same ones, in bytes). Where a span ends on a character's end, that is the token's end.
+1. Coarse cuts. Both give their tokens' character spans: A its offsets, B those of its proto (this sentencepiece refuses the
+   immutable proto; its `offset_mapping` has the same spans). Where a span ends on a character's end, that is the token's end.
 2. Refinement. A's tokens that share a multibyte character, and B's byte-fallback tokens, whose spans are empty, are cut by the
    lengths of their decoded bytes, from the last coarse cut on.
 3. Groups. Bytes at which a token of A and one of B both end cut the tokens into groups. The two tokens that end there are linked.
 4. Counts. Links are counted by pair of ids over the whole corpus, and each pair is compared with the best of its B id.
 
-Both tokenizers cut at a single space between two other characters, whatever is around it. So texts are cut there first, and each
-distinct stretch of a chunk of documents is encoded once. Chunks are neighbouring documents of about `chunk` code points (a longer
+Both tokenizers cut at a single space between two other characters, whatever is around it, and after a letter before some marks.
+So texts are cut there first, and each distinct stretch of a chunk of documents is encoded once. Chunks are neighbouring documents of about `chunk` code points (a longer
 text is alone). A chunk's distinct pairs, not its documents' links, are joined with the corpus counts and come back to the chunk.
 
 Defined results: a NULL or empty text has no tokens, nor has one whose tokens' bytes differ from space and text (such as one with
@@ -21,12 +21,16 @@ rows are rows each and count each. Texts are read whole. Other columns, whatever
 
 from __future__ import annotations
 
+import functools
+import gc
 import hashlib
 import json
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,8 @@ from caudal.llm.common import chunks, mapped, stored
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 4_000_000
-#: Stretches that a worker remembers from one chunk to the next, twice.
-REMEMBERED = 100_000
+#: A worker remembers stretches from one chunk to the next, until they are so many, those of the chunks before once more, and encodes so many together.
+REMEMBERED, TOGETHER = 200_000, 2048
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -63,9 +67,8 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@dataclass(frozen=True)
-class Stretch:
-    """a, b: ids and ends (bytes) of the tokens. whole: whether they spell the stretch."""
+class Stretch(NamedTuple):
+    """a, b: ids and ends of the tokens, in characters if all end with one, else in bytes. whole: whether they spell the stretch."""
 
     a: list[int]
     a_ends: list[int]
@@ -81,6 +84,7 @@ class Encoders:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         self.byte_bpe = Tokenizer.from_str(files.byte_bpe)
         self.byte_bpe.encode_special_tokens = True
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=files.piece_bpe)
@@ -94,26 +98,32 @@ class Encoders:
     def stretches(self, texts: list[str]) -> Iterator[Stretch]:
         """Each text with a space before it."""
         spaced = [" " + t for t in texts]
-        found = self.byte_bpe.encode_batch(spaced, add_special_tokens=False)
-        protos = self.pieces.encode(texts, return_type="proto", num_threads=1)
-        for text, x, y in zip(spaced, found, protos):
+        a_found = self.byte_bpe.encode_batch(spaced, add_special_tokens=False)
+        b_found = self.pieces.encode(texts, return_type="offset_mapping", num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        for text, x, y in zip(spaced, a_found, b_found):
             data = text.encode("utf-8", "surrogatepass")
-            a, pieces = x.ids, list(y.pieces)
-            b = [p.id for p in pieces]
-            a_spelled, b_spelled = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_spelled) != data or b"".join(b_spelled) != data:
+            a, b, spans = x.ids, y["ids"], x.offsets
+            if b"".join(map(a_bytes, a)) != data or b"".join(map(b_bytes, b)) != data:
                 yield Stretch([], [], [], [], False)
                 continue
-            at = None if len(data) == len(text) else [0, *accumulate(len(c.encode()) for c in text)]
-            offsets = x.offsets
-            a_coarse = [e if i == len(a) or e <= offsets[i][0] else None for i, (_, e) in enumerate(offsets, 1)]
-            if at is not None:
-                a_coarse = [None if e is None else at[e] for e in a_coarse]
-            b_coarse = [p.end + 1 if p.end > p.begin else None for p in pieces]
-            yield Stretch(a, _refined(a_coarse, a_spelled), b, _refined(b_coarse, b_spelled), True)
-
-
-def _refined(ends: list[int | None], spelled: list[bytes]) -> list[int]:
+            a_ends, b_ends = [e for _, e in spans], [e + 1 for _, e in y["offsets"]]
+            if len({*a_ends}) < len(a) or len({*b_ends}) < len(b):  # tokens end inside a character
+                at = [0, *accumulate(len(c.encode()) for c in text)]
+                coarse = [at[e] if i == len(a) or e <= spans[i][0] else None for i, (_, e) in enumerate(spans, 1)]
+                a_ends = _refined(coarse, map(a_bytes, a))
+                b_ends = _refined([at[e + 1] if e > begin else None for begin, e in y["offsets"]], map(b_bytes, b))
+            yield Stretch(a, a_ends, b, b_ends, True)
+
+    def marks(self) -> dict[str, tuple[int, int]]:
+        """Marks at which both cut after a letter, whatever follows: A's pattern does, and no piece of B has a letter before one."""
+        own = {v: i for i, v in self.a_bytes.items()}
+        names = [self.pieces.id_to_piece(i) for i in range(self.n_b)]
+        free = [m for m in ",.;:!?" if not any(re.search(rf"[^\W\d_]{re.escape(m)}", n) for n in names)]
+        return {m: (own[m.encode()], self.pieces.piece_to_id(m)) for m in free if m in names}
+
+
+def _refined(ends: list[int | None], spelled: Iterable[bytes]) -> list[int]:
     """The ends that are known, and between them those of the decoded bytes."""
     if None not in ends:
         return ends
@@ -126,42 +136,67 @@ def _refined(ends: list[int | None], spelled: list[bytes]) -> list[int]:
 
 def cut_groups(s: Stretch) -> Iterator[tuple[list[int], list[int]]]:
     """The groups of a stretch: A's ids and B's."""
-    both = set(s.a_ends) & set(s.b_ends)
-    i = j = 0
-    a_cuts = [k for k, e in enumerate(s.a_ends, 1) if e in both]
-    b_cuts = [k for k, e in enumerate(s.b_ends, 1) if e in both]
-    for p, q in zip(a_cuts, b_cuts):
-        yield s.a[i:p], s.b[j:q]
-        i, j = p, q
+    a, a_ends, b, b_ends, _ = s
+    i = j = p = q = 0
+    while i < len(a_ends):
+        x, y = a_ends[i], b_ends[j]
+        if x < y:
+            i += 1
+        elif x > y:
+            j += 1
+        else:
+            i, j = i + 1, j + 1
+            yield a[p:i], b[q:j]
+            p, q = i, j
 
 
 class _Known:
-    """Stretches in the form that documents add up, the recent ones remembered."""
+    """Stretches in the form that documents add up. The recent ones are remembered, from one task of a worker to the next."""
 
-    def __init__(self, encoders: Encoders):
-        self.encoders, self.new, self.old = encoders, {}, {}
+    def __init__(self, files: Vocabularies):
+        self.encoders, self.new, self.old = Encoders(files), {}, {}
+        self.names = [str(i) for i in range(max(max(self.encoders.a_bytes) + 1, self.encoders.n_b))]
+        self.marks = {m: (1, 1, f"{a}|{b}", [a * self.encoders.n_b + b]) for m, (a, b) in self.encoders.marks().items()}
+
+    def _made(self, stretches: list[str]) -> Iterator[tuple[str, tuple[int, int, str, list[int]] | None]]:
+        n, name = self.encoders.n_b, self.names.__getitem__
+        for start in range(0, len(stretches), TOGETHER):
+            some = stretches[start : start + TOGETHER]
+            for s, x in zip(some, self.encoders.stretches(some)):
+                if not x.whole:
+                    yield s, None
+                    continue
+                text, links = [], []
+                for a, b in cut_groups(x):
+                    text.append(f"{name(a[0])}|{name(b[0])}" if len(a) == len(b) == 1 else f"{','.join(map(name, a))}|{','.join(map(name, b))}")
+                    links.append(a[-1] * n + b[-1])
+                yield s, (len(x.a), len(x.b), ";".join(text), links)
 
     def of(self, stretches: list[str]) -> list[tuple[int, int, str, list[int]] | None]:
         """n_a, n_b, groups as text, links as pairs a * n_b + b; None where the bytes differ."""
-        n = self.encoders.n_b
-        missing = [s for s in stretches if s not in self.new and s not in self.old]
-        made = {}
-        for s, x in zip(missing, self.encoders.stretches(missing)):
-            groups = list(cut_groups(x)) if x.whole else []
-            text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-            made[s] = (len(x.a), len(x.b), text, [a[-1] * n + b[-1] for a, b in groups]) if x.whole else None
+        new, old, marks = self.new, self.old, self.marks
+        bare = [s[:-1] if s[-1] in marks and s[-2:-1].isalpha() else s for s in stretches]
+        for s in bare:
+            if s not in new and s in old:
+                new[s] = old[s]
+        gc.disable()  # a million lists that stay
+        new.update(self._made([s for s in dict.fromkeys(bare) if s not in new]))
+        gc.enable()
         out = []
-        for s in stretches:
-            value = made[s] if s in made else self.new[s] if s in self.new else self.old[s]
-            self.new[s] = value
+        for whole, s in zip(stretches, bare):
+            value = new[s]
+            if value is not None and len(s) < len(whole):
+                mark = marks[whole[-1]]
+                value = (value[0] + 1, value[1] + 1, f"{value[2]};{mark[2]}", value[3] + mark[3])
             out.append(value)
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        if len(self.old) > 2 * REMEMBERED:
-            self.old = {}
+        if len(new) > REMEMBERED:
+            self.old, self.new = new, {}
         return out
 
 
+_known = functools.lru_cache(maxsize=1)(_Known)
+
+
 CHUNKS = "chunk bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, used array<int>, pairs array<bigint>, freq array<bigint>, links array<int>, sizes array<int>"
 
 
@@ -172,27 +207,36 @@ def _chunked(docs: DataFrame, files: Vocabularies, doc_id: str, text: str, as_di
 
     def one(known: _Known, number: int, ids: pa.Array, texts: list[str | None]) -> Iterator[dict]:
         places: dict[str, int] = {}
+        place = places.setdefault
         cut = [CUT.split(t) if t else [] for t in texts]
-        used = [[places.setdefault(w, len(places)) for w in words] for words in cut]
+        used = np.fromiter((place(w, len(places)) for words in cut for w in words), dtype=np.int32)
+        ends = np.cumsum([len(words) for words in cut])
+        begins = np.concatenate(([0], ends[:-1]))
         found = known.of(list(places))
-        spelled = [bool(u) and all(found[i] is not None for i in u) for u in used]
-        used = [u if ok else [] for u, ok in zip(used, spelled)]
-        sums = [[sum(found[i][k] for i in u) for u in used] for k in (0, 1)]
+        whole = np.array([x is not None for x in found], dtype=bool)
+        of_stretch = np.array([x[:2] if x else (0, 0) for x in found], dtype=np.int64).reshape(-1, 2)
         sizes = np.array([len(x[3]) if x else 0 for x in found], dtype=np.int64)
-        flat = np.array([p for x in found if x for p in x[3]], dtype=np.int64)
-        times = np.bincount(np.array([i for u in used for i in u], dtype=np.int64), minlength=len(found))
-        pairs, links = np.unique(flat, return_inverse=True)
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            upto = np.concatenate(([0], np.cumsum(values[used])))
+            return upto[ends] - upto[begins]
+
+        spelled = (per_text(~whole) == 0) & (ends > begins)
+        n_a, n_b, n_links = (np.where(spelled, per_text(v), 0) for v in (of_stretch[:, 0], of_stretch[:, 1], sizes))
+        times = np.bincount(used[np.repeat(spelled, ends - begins)], minlength=len(found))
+        pairs, links = np.unique(np.fromiter((p for x in found if x for p in x[3]), dtype=np.int64), return_inverse=True)
         freq = np.bincount(links, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-        n_links = [int(sizes[u].sum()) if u else 0 for u in used]
-        groups = [pack([found[i][2] for i in u]) if u else "" for u in used]
+        spell = [x and x[2] for x in found].__getitem__
+        used = [used[i:j] if ok else used[:0] for i, j, ok in zip(begins, ends, spelled)]
+        groups = [pack(map(spell, u.tolist())) if len(u) else "" for u in used]
         n, empty = len(texts), [None] * len(texts)
-        yield {"chunk": [number] * n, "doc_id": ids, "n_a": sums[0], "n_b": sums[1], "n_groups": n_links, "n_links": n_links, "groups": groups, "used": used,
+        yield {"chunk": [number] * n, "doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": n_links, "n_links": n_links, "groups": groups, "used": used,
                "pairs": empty, "freq": empty, "links": empty, "sizes": empty}
         nothing = {k: [None] for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "used")}
         yield {"chunk": [number], **nothing, "pairs": [pairs], "freq": [freq], "links": [links.astype(np.int32)], "sizes": [sizes.astype(np.int32)]}
 
     def work(batches) -> Iterator[dict]:
-        known, number = _Known(Encoders(files)), TaskContext.get().partitionId() << 32
+        known, number = _known(files), TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start, end in chunks([t or "" for t in texts], chunk):
