@@ -194,7 +194,9 @@ class _Known:
         return out
 
 
-_known = functools.lru_cache(maxsize=1)(_Known)
+@functools.lru_cache(maxsize=1)
+def _known(files: Vocabularies) -> _Known:
+    return _Known(files)
 
 
 CHUNKS = "chunk bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, used array<int>, pairs array<bigint>, freq array<bigint>, links array<int>, sizes array<int>"
