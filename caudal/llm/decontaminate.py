@@ -88,6 +88,26 @@ def _kind(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+#: Bits of the bitmap that sorts out texts before their shuffle: 16 MB go to every task at most.
+BITMAP_BITS = 2**27
+
+
+def _maybe_wanted(texts: DataFrame, wanted: DataFrame, most_bits: int = BITMAP_BITS) -> DataFrame:
+    """The texts whose hash may be among those of `wanted`: all that are, and with up to most_bits / 64 hashes 1.6 % of the others.
+
+    A bitmap in blocks of 4 KB marks the hashes' last bits. It is at most most_bits large, so every task can have it; more hashes let more texts pass.
+    """
+    kinds = wanted.select("kind").distinct()
+    bits = min(most_bits, max(2**15, 1 << (64 * kinds.count()).bit_length()))
+    place = F.col("kind").bitwiseAND(F.lit(bits - 1).cast("bigint")) + 1  # positions count from 1
+    blocks = kinds.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, (at % 8).cast("int")) == 1
+    found = texts.withColumn("block", F.bitmap_bucket_number(place)).join(F.broadcast(blocks), "block")
+    return found.filter(marked).drop("block", "bitmap")
+
+
 def _matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle: int = 5, spread: float = 4.0,
              doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc, kind (hash of the text), pos, length, similarity, id (of the item): a row for each window and item that match."""
@@ -119,7 +139,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shi
     wanted = likely.groupBy("doc", "kind").agg(F.collect_set(F.struct("pos", "length", "size")).alias("windows"))
     wanted = stored(wanted, "windows")
 
-    few = docs.select(*key, F.col(text).alias("text")).withColumn("doc_key", F.coalesce(F.col("doc").cast("string"), F.lit("-")))
+    few = _maybe_wanted(docs.select(*key, F.col(text).alias("text")), wanted).withColumn("doc_key", F.coalesce(F.col("doc").cast("string"), F.lit("-")))
     joined = few.join(wanted.withColumn("doc_key", F.coalesce(F.col("doc").cast("string"), F.lit("-"))).drop("doc"), ["doc_key", "kind"])
     opened = joined.select("doc", "kind", "windows", shingle_hashes(F.col("text"), shingle).alias("all")).select("doc", "kind", "all", F.inline("windows"))
     cut = opened.select("doc", "kind", "pos", "length", "size", F.slice("all", F.col("pos") + 1, F.col("length")).alias("hashes")).distinct()

@@ -40,10 +40,11 @@ def plain():
         if b"".join(xs) != data or b"".join(ys) != data:
             return None
         xe, ye = ends(xs), ends(ys)
-        groups, start = [], 0
-        for cut in sorted(set(xe) & set(ye)):
-            groups.append(([i for i, e in zip(x, xe) if start < e <= cut], [i for i, e in zip(y, ye) if start < e <= cut]))
-            start = cut
+        where, groups, i, j = dict(zip(ye, range(1, len(ye) + 1))), [], 0, 0
+        for k, cut in enumerate(xe, 1):
+            if cut in where:
+                groups.append((x[i:k], y[j : where[cut]]))
+                i, j = k, where[cut]
         return x, y, groups
 
     return of

@@ -184,3 +184,15 @@ def test_url_model_tells_unseen_hosts_apart(spark):
 def test_queries_on_small_tables(spark):
     pages = queries.op7_url_filter(spark, SF).collect()
     assert len(pages) == 50 and {r.verdict for r in pages} <= {"allow", "block"}
+
+
+def test_bitmap_loses_no_wanted_text(spark):
+    rng = random.Random(3)
+    wanted = [rng.getrandbits(64) - 2**63 for _ in range(3000)] + [-1, 0, 2**63 - 1, -(2**63)]
+    others = [rng.getrandbits(64) - 2**63 for _ in range(20_000)]
+    texts = spark.createDataFrame([(k,) for k in wanted + others] + [(None,)], "kind bigint")
+    asked = spark.createDataFrame([(k,) for k in wanted + wanted], "kind bigint")
+    for bits, most in ((2**27, 3004 + 800), (2**15, 3004 + 2500)):
+        found = [r.kind for r in decontaminate._maybe_wanted(texts, asked, bits).collect()]
+        assert set(wanted) <= set(found) and len(found) <= most
+    assert decontaminate._maybe_wanted(texts, asked.limit(0)).collect() == []
