@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import align, decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, urlfilter
-from caudal.llm.common import read
+from caudal.llm import align, decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, trie, urlfilter
+from caudal.llm.common import read, stored
 from caudal.llm.settings import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, mixture_levels
 from caudal.llm.sql import SQL  # noqa: F401  registered with the queries
 
@@ -95,6 +95,27 @@ def op10_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.predict(docs, profiles, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversation c as the first h turns of c - c % 20 and its own turns after its first h, h = crc32(c) % 4. Gives turns and ids."""
+    convs = turns.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
+    heads = turns.filter("pos <= 3 and conv % 20 = 0").groupBy(F.col("conv").alias("of")).agg(F.sort_array(F.collect_list(F.struct("pos", "digest", "words"))).alias("heads"))
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    known = convs.select("conv", (F.col("conv") - F.col("conv") % 20).alias("of"), h.alias("h")).join(heads, "of", "left")
+    known = known.select("conv", "h", F.slice(F.coalesce("heads", F.expr("array()").cast("array<struct<pos:bigint,digest:binary,words:bigint>>")), F.lit(1), F.col("h")).alias("heads"))
+    own = turns.join(known.select("conv", "h", F.size("heads").alias("n")), "conv").filter("pos > h")
+    own = own.select("conv", (F.col("pos") - F.col("h") + F.col("n")).alias("pos"), "digest", "words")
+    return own.unionByName(known.select("conv", F.inline("heads"))), known.select("conv")
+
+
+def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    nodes, ends = trie.build(*rebuilt(stored(trie.ordered_turns(read(spark, d, "conversations")), "turns")))
+    joined = nodes.join(trie.end_digests(ends), ["depth", "d1", "d2"], "left")
+    return joined.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", F.col("saved_words").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.lit(trie.EMPTY_SHA256)).alias("ends_sha256"),
+    )
+
+
 def op13_token_alignment(spark: SparkSession, d: str) -> DataFrame:
     return align.align(read(spark, d, "documents"), as_digest=True).withColumnRenamed("groups", "groups_sha256")
 
@@ -108,5 +129,5 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_parsing_fingerprints, op2_simhash_components, op3_lattice_scores, op4_quotation_links, op5_mixture, op6_decontaminate,
     op7_url_filter, op8_revisits, op9_line_dedup, op10_language,
-    op13_token_alignment, pipeline,
+    op12_prefix_trie, op13_token_alignment, pipeline,
 )}
