@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import align, decontaminate, langid, lattice, linedup, mixing, parsing, quotes, revisits, simhash, trie, urlfilter
+from caudal.llm import align, decontaminate, langid, lattice, linedup, mixing, parsing, pii, quotes, revisits, simhash, trie, urlfilter
 from caudal.llm.common import read, stored
 from caudal.llm.settings import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, mixture_levels
 from caudal.llm.sql import SQL  # noqa: F401  registered with the queries
@@ -95,6 +95,16 @@ def op10_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.predict(docs, profiles, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op11_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.find(read(spark, d, "documents"), pii.train(pii.labelled_texts(spark)))
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+    every = pii.in_order(F.concat("base", "added"))
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.written("base").cast("binary"), 256).alias("base_sha256"),
+        pii.written(every).alias("spans"), F.size("added").cast("bigint").alias("n_added"),
+    )
+
+
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversation c as the first h turns of c - c % 20 and its own turns after its first h, h = crc32(c) % 4. Gives turns and ids."""
     convs = turns.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
@@ -129,5 +139,5 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_parsing_fingerprints, op2_simhash_components, op3_lattice_scores, op4_quotation_links, op5_mixture, op6_decontaminate,
     op7_url_filter, op8_revisits, op9_line_dedup, op10_language,
-    op12_prefix_trie, op13_token_alignment, pipeline,
+    op11_personal_data, op12_prefix_trie, op13_token_alignment, pipeline,
 )}
