@@ -10,24 +10,32 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from caudal.operators.filters import Audit
 from caudal.plans import ingest, landed
 from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star, require_resolved_keys
-from caudal.sources.writers import write_table
+from caudal.sources.writers import with_audit, write_table
 
 STEPS = ("clean", "star", "gold")
 
 
 def run(spark: SparkSession, step: str, root: str, landing: str | None = None, year: int | None = None, month: int | None = None,
         countries: Sequence[str] | None = None, allow_unresolved: bool = False) -> dict[str, dict[str, int]]:
-    """Run one step or all; returns the rows written per table. ``countries``: of the climate source, by default all that landed."""
+    """Run one step or all; returns the rows written per table. ``countries``: of the climate source, by default all that landed.
+
+    The clean step adds to the table ``audit/clean`` how many rows each cleaning step dropped.
+    """
     layers = Layers(root)
     written = {}
     for name in STEPS if step == "all" else (step,):
         if name == "clean":
             if landing is None:
                 raise ValueError("the clean step needs a landing root")
-            written[name] = refresh_clean(layers, landed.cleaned(spark, landing, countries, year), year, month)
+            audit = Audit()
+            written[name] = refresh_clean(layers, landed.cleaned(spark, landing, countries, year, audit), year, month)
+            period = [F.lit(p).cast("int").alias(n) for n, p in (("year", year), ("month", month))]
+            write_table(with_audit(audit.report(spark).select(*period, "*")), layers.path("audit", "clean"), "append")
         elif name == "star":
             written[name] = refresh_star(spark, layers, year)
         else:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caudal.functions.numeric import Number
@@ -80,3 +81,34 @@ def positive(df: DataFrame, col: str) -> DataFrame:
 def groups_of_at_least(df: DataFrame, n_col: str, n: int = 2) -> DataFrame:
     """HAVING on a count already computed by the aggregation."""
     return df.where(F.col(n_col) >= n)
+
+
+class Audit:
+    """Counts of rows between the steps of plans, taken while the plans are written: no job of their own."""
+
+    def __init__(self) -> None:
+        self._points: list[tuple[str, str, Observation]] = []
+
+    def count(self, df: DataFrame, source: str, step: str) -> DataFrame:
+        """``df``, of which the rows left after ``step`` are counted."""
+        seen = Observation()
+        self._points.append((source, step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """source, position, step, n_rows, n_dropped (by this step; NULL for a source's first). Once the counted plans have run."""
+        rows = [(source, i, step, _observed(seen)) for i, (source, step, seen) in enumerate(self._points)]
+        before = F.lag("n_rows").over(Window.partitionBy("source").orderBy("position"))
+        counted = spark.createDataFrame(rows, "source string, position int, step string, n_rows bigint")
+        return counted.withColumn("n_dropped", before - F.col("n_rows"))
+
+
+def _observed(seen: Observation) -> int:
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError:  # of a plan that Spark knows to be empty it takes no counts
+        return 0
+
+
+def counted(df: DataFrame, audit: Audit | None, source: str, step: str) -> DataFrame:
+    return df if audit is None else audit.count(df, source, step)

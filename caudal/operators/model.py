@@ -30,6 +30,16 @@ def build_dim(df: DataFrame, natural_keys: Sequence[str], key_col: str, attrs: S
     return entities.select(stable_key(*natural_keys).alias(key_col), *natural_keys, *attrs, *fixed)
 
 
+def merge_dim(stored: DataFrame, df: DataFrame, natural_keys: Sequence[str], key_col: str, attrs: Sequence[str] = (), constants: Mapping[str, object] | None = None) -> DataFrame:
+    """A stored dimension with the members of new rows.
+
+    The same as building it from all rows seen so far: keys are functions of the natural
+    key, and of several spellings the largest stays.
+    """
+    cols = [*natural_keys, *attrs]
+    return build_dim(stored.select(*cols).unionByName(df.select(*cols)), natural_keys, key_col, attrs, constants)
+
+
 def build_calendar(spark: SparkSession, low_year: int | Column, high_year: int | Column) -> DataFrame:
     """One row per day from 1 January of the first year to 31 December of the last."""
     first = F.make_date(F.lit(low_year) if isinstance(low_year, int) else low_year, F.lit(1), F.lit(1))
@@ -67,14 +77,16 @@ def build_fact(
     casts: Mapping[str, str],
     id_col: str | None = None,
     grain: Sequence[str] = (),
+    verify: bool = True,
 ) -> DataFrame:
     """Resolve foreign keys, apply the decimal contract, identify the rows by their natural grain.
 
     Unmatched natural keys give a NULL foreign key, which the quality report counts; the
-    ids of such rows differ all the same. A lookup with a repeated key fails the job.
+    ids of such rows differ all the same. A lookup with a repeated key fails the job;
+    ``verify=False`` leaves that check out where the lookups were checked before.
     """
     identified = df.withColumn(id_col, wide_key(*grain)) if id_col else df
-    resolved = with_exact_types(attach_all(identified, lookups, verify=True), casts)
+    resolved = with_exact_types(attach_all(identified, lookups, verify=verify), casts)
     if id_col:
         return resolved.select(id_col, *columns)
     return resolved.select(*columns)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caudal.functions.numeric import known
 from caudal.operators.joins import join_same
 from caudal.operators.windows import quantiles_by
+from caudal.sources.readers import list_files
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 GIGABYTE = 1024**3
@@ -67,10 +68,9 @@ def describe_by(df: DataFrame, value: str, by: Sequence[str] = (), slices: int |
     return moments.withColumn("_q", row).select(*moments.columns, *[F.col(f"_q.{name}").alias(name) for name in QUARTILES])
 
 
-def file_listing(df: DataFrame) -> DataFrame:
-    """Files behind a file-based frame, from its scan metadata: one row per file."""
-    meta = df.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size_bytes"))
-    return meta.groupBy("file_path").agg(F.max("size_bytes").alias("size_bytes"))
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """Files below a root with their sizes, from the listing: no file is opened, whatever it holds."""
+    return list_files(spark, root).select(F.col("path").alias("file_path"), "size_bytes")
 
 
 def size_report(listings: Mapping[str, DataFrame], price_per_gb: float = 0.023) -> DataFrame:

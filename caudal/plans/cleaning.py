@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from caudal.functions.bands import above, below
 from caudal.functions.numeric import Number
 from caudal.operators.aggregates import monthly_rollup
-from caudal.operators.filters import keep_in, keep_known, non_negative_or_null
+from caudal.operators.filters import Audit, counted, keep_in, keep_known, non_negative_or_null
 from caudal.operators.projection import conform
 from caudal.operators.quality import dq_report, duplicate_rows, fill_by_type, full_report, negatives, nulls
 from caudal.plans.contracts import CLIMATE_DAILY, INDICATORS, coverage_contract
@@ -19,26 +19,33 @@ DRY_MONTH_MM = 10
 HEAVY_RAIN_MONTH_MM = 150
 
 
-def clean_coverage(landed: DataFrame, residences: Sequence[str] = RESIDENCES, residence_codes: dict[str, str] | None = None) -> DataFrame:
+def clean_coverage(
+    landed: DataFrame, residences: Sequence[str] = RESIDENCES, residence_codes: dict[str, str] | None = None, audit: Audit | None = None
+) -> DataFrame:
     """Typed coverage rows without negative measures, foreign residence types or copies.
 
     Unknown measures count as zero and unknown texts as UNKNOWN. Copies go last, so
     rows that only differed in an unknown value fall together.
     """
-    typed = conform(landed, coverage_contract(residence_codes))
-    valid = non_negative_or_null(typed, ["coverage_pct", "population_total"])
-    valid = keep_in(valid, residence_type_desc=residences)
-    return fill_by_type(valid).distinct()
+    typed = counted(conform(landed, coverage_contract(residence_codes)), audit, "coverage", "landed")
+    valid = counted(non_negative_or_null(typed, ["coverage_pct", "population_total"]), audit, "coverage", "not negative")
+    valid = counted(keep_in(valid, residence_type_desc=residences), audit, "coverage", "known residence type")
+    return counted(fill_by_type(valid).distinct(), audit, "coverage", "no copies")
 
 
-def clean_indicators(landed: DataFrame) -> DataFrame:
+def clean_indicators(landed: DataFrame, audit: Audit | None = None) -> DataFrame:
     """Typed indicator rows with a known value."""
-    return keep_known(conform(landed, INDICATORS), ["indicator_value"])
+    typed = counted(conform(landed, INDICATORS), audit, "indicators", "landed")
+    return counted(keep_known(typed, ["indicator_value"]), audit, "indicators", "known value")
 
 
-def clean_climate(daily: DataFrame, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, digits: int | None = 2) -> DataFrame:
+def clean_climate(
+    daily: DataFrame, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, digits: int | None = 2, audit: Audit | None = None
+) -> DataFrame:
     """Daily climate to one row per province and month with dry and heavy-rain flags."""
-    return monthly_climate(conform(daily, CLIMATE_DAILY), ("country_iso3", "province_name"), dry_below, heavy_above, digits)
+    typed = counted(conform(daily, CLIMATE_DAILY), audit, "climate", "landed")
+    dated = counted(keep_known(typed, ["year", "month"]), audit, "climate", "known month")
+    return monthly_climate(dated, ("country_iso3", "province_name"), dry_below, heavy_above, digits)
 
 
 def monthly_climate(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from caudal.functions.text import key_from_path
 from caudal.plans.contracts import CLIMATE_LANDED, COVERAGE_LANDED
 from caudal.plans.landed import CLIMATE_FOLDER, INDICATOR_FOLDER, SURVEY_FOLDER
-from caudal.sources.readers import flatten_arrays, flatten_pages, read_delimited
+from caudal.sources.readers import flatten_arrays, flatten_pages, read_delimited, store_schema
 from caudal.sources.writers import write_partitions
 
 # Fields of an indicator record.
@@ -55,7 +55,10 @@ def climate(spark: SparkSession, raw: str) -> DataFrame:
 
 
 def land(spark: SparkSession, raw: str, landing: str, sources: Sequence[str] = ("survey", "indicators", "climate")) -> dict[str, int]:
-    """Land the named sources; returns the rows written. Folder keys have names of their own, so that files keep their columns."""
+    """Land the named sources; returns the rows written. Folder keys have names of their own, so that files keep their columns.
+
+    The schema is merged with that of earlier landings and stored beside the files, for readers that then open none of them.
+    """
     raw, landing = raw.rstrip("/"), landing.rstrip("/")
     plans = {
         "survey": (survey, SURVEY_FOLDER, {"area": "ISO3", "period": "Year"}),
@@ -68,5 +71,6 @@ def land(spark: SparkSession, raw: str, landing: str, sources: Sequence[str] = (
         rows = read(spark, raw).withColumns({k: F.col(c) if isinstance(c, str) else c for k, c in keys.items()})
         if name == "climate":
             rows = rows.drop("country_iso3")  # read from the folder
+        store_schema(spark, f"{landing}/{folder}", rows.drop(*keys).schema)
         written[name] = write_partitions(rows, f"{landing}/{folder}", list(keys))
     return written

@@ -12,6 +12,7 @@ from caudal.operators.joins import unique_on
 from caudal.operators.quality import full_report, require_tables, unresolved_in_one_read
 from caudal.plans import contracts, kpis, star
 from caudal.sources.readers import read_table, slice_period
+from caudal.sources.publish import Files, Publication, recover
 from caudal.sources.writers import Sink, write_table, write_to
 
 # One declared layout per dataset, by period: refreshes replace periods, and a layout that
@@ -80,13 +81,17 @@ def refresh_clean(layers: Layers, cleaned: Mapping[str, DataFrame], year: int |
     """Write cleaned tables, whole or one period; other partitions are left alone.
 
     A period of which nothing is left becomes empty. A month without a year replaces the
-    partitions that it occurs in.
+    partitions that it occurs in. Periods of all tables are switched together, after all
+    are written.
     """
     written = {}
-    for name, df in cleaned.items():
-        of_month = month if name == "climate" else None
-        period = {k: v for k, v in (("year", year), ("month", of_month)) if v is not None} if year is not None else None
-        written[name] = write_to(slice_period(df, year, of_month), layers.sink("clean", name), period=period)
+    if not cleaned:
+        return written
+    with Publication(next(iter(cleaned.values())).sparkSession) as publication:
+        for name, df in cleaned.items():
+            of_month = month if name == "climate" else None
+            period = {k: v for k, v in (("year", year), ("month", of_month)) if v is not None} if year is not None else None
+            written[name] = write_to(slice_period(df, year, of_month), layers.sink("clean", name), period=period, publication=publication)
     return written
 
 
@@ -102,23 +107,38 @@ def refresh_star(
     dry_below: Number = star.DRY_MONTH_MM,
     heavy_above: Number = star.HEAVY_RAIN_MONTH_MM,
 ) -> dict[str, int]:
-    """Rewrite the dimensions, then the facts of one year or of all.
+    """Rewrite dimensions and facts of all years, or of one year.
 
-    Keys depend on natural keys only, so rewriting a dimension leaves the facts of
-    other years valid. A fact year is recomputed from all its months.
+    Keys depend on natural keys only, so facts of other years stay valid. One year's
+    members are merged into the stored dimensions, and its facts recomputed from all its
+    months; other years are not read. Dimensions are checked when they are written, so
+    lookups need no check of their own. All tables are switched together at the end: a
+    repeated key or a measure that does not fit leaves the old model.
     """
-    sources = read_clean(spark, layers)
-    built = star.build_dims(sources, regions)
+    sources = {name: slice_period(df, year) for name, df in read_clean(spark, layers).items()}
+    stored = {} if year is None else {name: layers.read(spark, "model", name) for name in star.DIMENSIONS if recover_or_find(spark, layers.path("model", name))}
+    if len(stored) == len(star.DIMENSIONS):
+        built = star.merge_dims(stored, sources, regions)
+    else:
+        built = star.build_dims(read_clean(spark, layers), regions)
     # two entities with one key would become one in every fact
     built = {name: unique_on(df, f"{name}_key") if name != "date" else df for name, df in built.items()}
-    written = {name: write_table(df, layers.path("model", name)) for name, df in built.items()}
-    dims = {name: layers.read(spark, "model", name) for name in star.DIMENSIONS}
-    sliced = {name: slice_period(df, year) for name, df in sources.items()}
-    for name, df in star.build_facts(sliced, dims, dry_below, heavy_above, layers.types).items():
-        written[name] = write_to(df, layers.sink("model", name), period=None if year is None else {"year": year})
+    written, dims = {}, {}
+    with Publication(spark) as publication:
+        for name, df in built.items():
+            path = layers.path("model", name)
+            written[name] = publication.stage(df, path)
+            dims[name] = publication.read(path, star.schemas(layers.types)[name])
+        for name, df in star.build_facts(sources, dims, dry_below, heavy_above, layers.types, verify=False).items():
+            written[name] = write_to(df, layers.sink("model", name), "static", None if year is None else {"year": year}, publication)
     return written
 
 
+def recover_or_find(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored, after taking it back from an interrupted publication."""
+    return recover(spark, path) or Files(spark, path).exists(path)
+
+
 def read_model(spark: SparkSession, layers: Layers) -> Mapping[str, DataFrame]:
     return StoredModel(spark, layers)
 
@@ -137,14 +157,16 @@ def require_resolved_keys(model: Mapping[str, DataFrame]) -> None:
 
 
 def refresh_gold(spark: SparkSession, layers: Layers, params: Mapping[str, object] | None = None, mode: str = "overwrite") -> dict[str, int]:
-    """Compute and store all indicators. Each plan runs once, inside its write."""
+    """Compute and store all indicators. Each plan runs once, inside its write; all are switched in together, or none."""
     model = read_model(spark, layers)
     require_tables({name: model[name] for name in kpis.REQUIRED_TABLES})
     written = {}
-    for name, kpi in kpis.KPIS.items():
-        chosen = (params or {}).get(name)
-        df = kpi(model) if chosen is None else kpi(model, chosen)
-        written[name] = write_table(df, layers.path("gold", name), mode)
+    with Publication(spark) as publication:
+        for name, kpi in kpis.KPIS.items():
+            chosen = (params or {}).get(name)
+            df = kpi(model) if chosen is None else kpi(model, chosen)
+            path = layers.path("gold", name)
+            written[name] = publication.stage(df, path) if mode == "overwrite" else write_table(df, path, mode)
     return written
 
 

@@ -13,7 +13,7 @@ from caudal.functions.bands import above, below
 from caudal.functions.numeric import Number
 from caudal.operators.aggregates import annual_rollup, exact
 from caudal.operators.joins import anchor_dates
-from caudal.operators.model import build_calendar, build_dim, build_fact, year_bounds
+from caudal.operators.model import build_calendar, build_dim, build_fact, merge_dim, year_bounds
 from caudal.plans.cleaning import DRY_MONTH_MM, HEAVY_RAIN_MONTH_MM
 
 Frames = dict[str, DataFrame]
@@ -151,8 +151,25 @@ def build_dims(sources: Frames, regions: DataFrame | None = None) -> Frames:
     }
 
 
+def merge_dims(stored: Frames, sources: Frames, regions: DataFrame | None = None) -> Frames:
+    """The stored dimensions with the members of some of the rows, such as those of one year. Of the other rows nothing is read."""
+    coverage, climate = sources["coverage"], sources["climate"]
+    dims = {
+        "residence_type": merge_dim(stored["residence_type"], coverage, ["residence_type_code"], "residence_type_key", ["residence_type_desc"]),
+        "service_type": merge_dim(stored["service_type"], coverage, ["service_type_desc"], "service_type_key"),
+        "service_level": merge_dim(stored["service_level"], coverage, ["service_level_desc"], "service_level_key"),
+        "indicator": merge_dim(stored["indicator"], sources["indicators"], ["indicator_code"], "indicator_key", ["indicator_name"]),
+        "province": merge_dim(stored["province"], climate, ["country_iso3", "province_name"], "province_key"),
+    }
+    members = stored["country"].select("country_iso3", "country_name").unionByName(coverage.select("country_iso3", "country_name"))
+    dims["country"] = country_dim(members, regions)
+    low, high = year_bounds([stored["date"], coverage, climate])
+    dims["date"] = build_calendar(coverage.sparkSession, low, high)
+    return dims
+
+
 def monthly_climate_fact(
-    climate: DataFrame, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT
+    climate: DataFrame, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT, verify: bool = True
 ) -> DataFrame:
     """Province and month, anchored at the last day of the month."""
     months = climate.groupBy("country_iso3", "province_name", "year", "month").agg(
@@ -170,11 +187,11 @@ def monthly_climate_fact(
         [(dims["province"], ["country_iso3", "province_name"], ["province_key"]),
          (anchor_dates(dims["date"], "month"), ["year", "month"], ["date_key"])],
         ["province_key", "date_key", "year", *types.monthly, "dry_month_flag", "heavy_rain_month_flag"],
-        types.monthly, "climate_monthly_id", NATURAL_GRAIN["climate_monthly"],
+        types.monthly, "climate_monthly_id", NATURAL_GRAIN["climate_monthly"], verify,
     )
 
 
-def annual_climate_fact(climate: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
+def annual_climate_fact(climate: DataFrame, dims: Frames, types: FactTypes = CONTRACT, verify: bool = True) -> DataFrame:
     """Country and year, anchored at 31 December."""
     years = annual_rollup(
         climate,
@@ -189,11 +206,11 @@ def annual_climate_fact(climate: DataFrame, dims: Frames, types: FactTypes = CON
         years,
         [(dims["country"], "country_iso3", ["country_key"]), (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", *types.annual],
-        types.annual, "climate_annual_id", NATURAL_GRAIN["climate_annual"],
+        types.annual, "climate_annual_id", NATURAL_GRAIN["climate_annual"], verify,
     )
 
 
-def coverage_fact(coverage: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
+def coverage_fact(coverage: DataFrame, dims: Frames, types: FactTypes = CONTRACT, verify: bool = True) -> DataFrame:
     """Country, year, residence, service and level, anchored at 31 December."""
     return build_fact(
         coverage,
@@ -203,11 +220,11 @@ def coverage_fact(coverage: DataFrame, dims: Frames, types: FactTypes = CONTRACT
          (dims["service_level"], "service_level_desc", ["service_level_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", "residence_type_key", "service_type_key", "service_level_key", *types.coverage],
-        types.coverage, "wash_coverage_id", NATURAL_GRAIN["wash_coverage"],
+        types.coverage, "wash_coverage_id", NATURAL_GRAIN["wash_coverage"], verify,
     )
 
 
-def socioeconomic_fact(indicators: DataFrame, dims: Frames, types: FactTypes = CONTRACT) -> DataFrame:
+def socioeconomic_fact(indicators: DataFrame, dims: Frames, types: FactTypes = CONTRACT, verify: bool = True) -> DataFrame:
     """Country, year and indicator, anchored at 31 December."""
     return build_fact(
         indicators,
@@ -215,16 +232,16 @@ def socioeconomic_fact(indicators: DataFrame, dims: Frames, types: FactTypes = C
          (dims["indicator"], "indicator_code", ["indicator_key"]),
          (anchor_dates(dims["date"]), "year", ["date_key"])],
         ["country_key", "date_key", "year", "indicator_key", *types.indicator],
-        types.indicator, "socioeconomic_id", NATURAL_GRAIN["socioeconomic"],
+        types.indicator, "socioeconomic_id", NATURAL_GRAIN["socioeconomic"], verify,
     )
 
 
 def build_facts(
-    sources: Frames, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT
+    sources: Frames, dims: Frames, dry_below: Number = DRY_MONTH_MM, heavy_above: Number = HEAVY_RAIN_MONTH_MM, types: FactTypes = CONTRACT, verify: bool = True
 ) -> Frames:
     return {
-        "climate_monthly": monthly_climate_fact(sources["climate"], dims, dry_below, heavy_above, types),
-        "climate_annual": annual_climate_fact(sources["climate"], dims, types),
-        "wash_coverage": coverage_fact(sources["coverage"], dims, types),
-        "socioeconomic": socioeconomic_fact(sources["indicators"], dims, types),
+        "climate_monthly": monthly_climate_fact(sources["climate"], dims, dry_below, heavy_above, types, verify),
+        "climate_annual": annual_climate_fact(sources["climate"], dims, types, verify),
+        "wash_coverage": coverage_fact(sources["coverage"], dims, types, verify),
+        "socioeconomic": socioeconomic_fact(sources["indicators"], dims, types, verify),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caudal.functions.text import key_from_path
+from caudal.sources.publish import Files
 
 log = logging.getLogger(__name__)
 
@@ -62,6 +64,12 @@ def exists(spark: SparkSession, root: str) -> bool:
     return True
 
 
+def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """path and size_bytes of the files below a root, from the listing alone: no file is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return found.select("path", F.col("length").alias("size_bytes"))
+
+
 def read_glob(spark: SparkSession, pattern: str, merge_schema: bool = True) -> DataFrame:
     """Parquet files matched by a glob; partition folders in the pattern do not become columns."""
     return spark.read.option("mergeSchema", merge_schema).parquet(pattern)
@@ -140,3 +148,24 @@ def slice_period(df: DataFrame, year: int | None = None, month: int | None = Non
     if month is not None:
         df = df.where(F.col(month_col) == month)
     return df
+
+
+SCHEMA_FILE = "_schema.json"
+
+
+def stored_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """The schema that was stored with a folder of files; opening the folder by it opens none of them."""
+    path, files = f"{root.rstrip('/')}/{SCHEMA_FILE}", Files(spark, root)
+    return T.StructType.fromJson(json.loads(files.read_text(path))) if files.exists(path) else None
+
+
+def store_schema(spark: SparkSession, root: str, schema: T.StructType) -> T.StructType:
+    """Merge a schema into the one stored with a folder. A column of another type than before is an error."""
+    old = stored_schema(spark, root) or T.StructType()
+    known = {f.name: f.dataType for f in old.fields}
+    changed = [f"{f.name} {known[f.name].simpleString()}, now {f.dataType.simpleString()}" for f in schema.fields if known.get(f.name, f.dataType) != f.dataType]
+    if changed:
+        raise ValueError(f"types that do not fit what has landed before: {'; '.join(changed)}")
+    merged = T.StructType([*old.fields, *[T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in known]])
+    Files(spark, root).write_text(f"{root.rstrip('/')}/{SCHEMA_FILE}", merged.json())
+    return merged

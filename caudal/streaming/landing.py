@@ -1,20 +1,21 @@
 """Refresh from a landing folder as files arrive.
 
 Each micro-batch finds out which partitions its new files belong to, recomputes those
-from everything landed in them, and replaces them. A batch that is repeated after a
-failure writes the same partitions again, so the result is the same.
+from everything landed in them, and replaces them; one of which nothing is left goes.
+The partitions of a batch change together, after all of them are written. A batch that
+is repeated after a failure writes the same partitions again, so the result is the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.sources.writers import write_partitions
+from caudal.sources.publish import Publication
 
 
 def refresh_from_landing(
@@ -33,22 +34,26 @@ def refresh_from_landing(
     ``clean`` turns landed rows into the stored table, laid out by the same keys.
     """
     batches = []
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
 
     def replace_touched(batch: DataFrame, batch_id: int) -> None:
         # A file lies in one partition, so a batch touches at most `files_per_batch` of
-        # them. As literals they prune the landing folder when the read is planned.
-        touched = batch.select(*keys).distinct().collect()
+        # them. Their folders alone are listed and read.
+        touched = batch.select(*[F.col(k).cast("string").alias(k) for k in keys], "_folder").distinct().collect()
         if touched:
-            landed = batch.sparkSession.read.schema(schema).parquet(landing)
-            write_partitions(clean(landed.where(_any_of(touched, keys))), target, keys)
+            folders = sorted({unquote(t["_folder"]) for t in touched})
+            landed = read_folders(batch.sparkSession, landing, schema, folders)
+            parts = {tuple(t[k] for k in keys): t for t in touched}
+            with Publication(batch.sparkSession) as publication:
+                publication.stage_partitions(clean(landed), target, keys, list(parts.values()))
         batches.append(batch_id)
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing).select("*", folder.alias("_folder"))
     query = stream.writeStream.foreachBatch(replace_touched).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return len(batches)
 
 
-def _any_of(partitions: Sequence[Row], keys: Sequence[str]) -> Column:
-    same = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(p[k])) for k in keys]) for p in partitions]
-    return reduce(lambda a, b: a | b, same)
+def read_folders(spark: SparkSession, landing: str, schema: T.StructType | str, folders: Sequence[str]) -> DataFrame:
+    """Some partition folders of a landing, keys included. Others are neither listed nor read."""
+    return spark.read.schema(schema).option("basePath", landing).parquet(*folders)

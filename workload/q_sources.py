@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.functions.dates import timestamp_of_micros
@@ -13,6 +16,8 @@ from caudal.plans.refresh import Layers, read_clean, read_model, refresh_clean,
 from caudal.plans.star import WIDE
 from caudal.session import new_table_path
 from caudal.sources import readers, writers
+from caudal.sources.publish import Publication
+from caudal.streaming.landing import refresh_from_landing
 from workload import bindings, lake
 from workload.bindings import table
 from workload.catalog import query
@@ -134,13 +139,24 @@ def one_month_slice(spark, d):
     return readers.slice_period(lake.clean_table(spark, d, "climate"), 1998, 6)
 
 
-@query("SRC-16 AGG-27", "SELECT 'coverage' AS layer, true AS has_files, true AS size_fits UNION ALL SELECT 'climate', true, true UNION ALL SELECT 'indicators', true, true")
+@query("SRC-16 AGG-27", """SELECT o_orderstatus AS layer, count(DISTINCT year(o_orderdate)) AS n_files, count(DISTINCT year(o_orderdate)) AS n_known,
+    true AS same_files, true AS same_bytes, true AS size_fits FROM orders GROUP BY 1""")
 def layer_sizes(spark, d):
-    """Storage report; sizes depend on the writer, so only their consistency is compared."""
-    listings = {name: file_listing(df) for name, df in read_clean(spark, lake.clean_layer(spark, d)).items()}
-    report = size_report(listings)
-    consistent = (F.abs(F.col("size_gb") * 1073741824 - F.col("size_bytes")) < 1) & (F.abs(F.col("cost_usd_month") - F.col("size_gb") * 0.023) < 1e-12)
-    return report.select("layer", (F.col("n_files") > 0).alias("has_files"), consistent.alias("size_fits"))
+    """Storage report from listings, beside the files and sizes that a scan of the rows names. Each status is a layer with a file a year."""
+    path = new_table_path(spark, "layers")
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"))
+    rows.repartition("status", "year").write.partitionBy("status", "year").parquet(path)
+    layers = [r.status for r in spark.read.parquet(path).select("status").distinct().collect()]  # a folder each
+    listings = {name: file_listing(spark, f"{path}/status={name}") for name in layers}
+    listed = reduce(DataFrame.unionByName, [df.withColumn("layer", F.lit(name)) for name, df in listings.items()])
+    listed = listed.groupBy("layer").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size_bytes").alias("bytes"))
+    scanned = spark.read.parquet(path).select("status", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
+    scanned = scanned.groupBy(F.col("status").alias("layer")).agg(F.count(F.lit(1)).alias("n_known"), F.sum("s").alias("known"))
+    report = size_report(listings).select("layer", F.col("n_files").alias("n_reported"), "size_bytes", "size_gb", "cost_usd_month")
+    joined = listed.join(scanned, "layer").join(report, "layer")
+    fits = (F.abs(F.col("size_gb") * 1073741824 - F.col("known")) < 1) & (F.abs(F.col("cost_usd_month") - F.col("size_gb") * 0.023) < 1e-12)
+    return joined.select("layer", "n_files", "n_known", (F.col("n_reported") == F.col("n_known")).alias("same_files"),
+                         ((F.col("bytes") == F.col("known")) & (F.col("size_bytes") == F.col("known"))).alias("same_bytes"), fits.alias("size_fits"))
 
 
 @query("SNK-01", "SELECT o_orderstatus AS country, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS value FROM orders GROUP BY 1, 2")
@@ -236,3 +252,64 @@ def refresh_of_one_year(spark, d):
     same = again.join(ids, ["wash_coverage_id", "coverage_pct"], "left")
     return same.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("coverage_pct").cast("double").alias("total"),
                                     F.bool_and(F.coalesce("known", F.lit(False))).alias("same"))
+
+
+@query("SNK-05 SNK-06 SNK-09 INC-02", """SELECT year, o_orderstatus, n, kept FROM (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2), (SELECT unnest(['whole', 'period', 'pair']) AS kept)""")
+def failed_refresh_keeps_rows(spark, d):
+    """A write that fails half-way, a period that fails, and a publication whose second table fails a check leave all rows as they were."""
+    rows, parts = _yearly(spark, d), []
+    broken = rows.withColumn("n", F.when(F.col("year") == 1996, F.raise_error(F.lit("does not fit")).cast("bigint")).otherwise(-F.col("n")))
+
+    def refuse(df: DataFrame) -> None:
+        raise ValueError(f"{df.count()} rows refused")
+
+    def attempt(write) -> None:
+        try:
+            write()
+        except Exception as problem:
+            if "does not fit" not in str(problem) and "refused" not in str(problem):
+                raise
+        else:
+            raise AssertionError("the write should have failed")
+
+    def pair(path: str) -> None:
+        with Publication(spark) as publication:
+            publication.stage(rows.limit(0), path)
+            publication.stage(rows, f"{path}-second", check=refuse)
+
+    for kept in ("whole", "period", "pair"):
+        path = new_table_path(spark, f"kept-{kept}")
+        if kept == "period":
+            writers.write_partitions(rows, path, ["year"], "static")
+            attempt(lambda: writers.replace_period(broken.where("year = 1996"), path, ["year"], {"year": 1996}))
+        else:
+            writers.write_table(rows, path)
+            attempt((lambda: writers.write_table(broken, path)) if kept == "whole" else (lambda: pair(path)))
+        parts.append(spark.read.schema(rows.schema).parquet(path).select("year", "o_orderstatus", "n", F.lit(kept).alias("kept")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("INC-01 SNK-03", """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) + CASE WHEN year(o_orderdate) = 1995 THEN 1 ELSE 0 END AS n
+    FROM orders WHERE year(o_orderdate) <> 1997 GROUP BY 1, 2, year(o_orderdate)""")
+def streamed_refresh_with_a_retracted_year(spark, d):
+    """Two rounds of a stream over a landing folder: the second retracts all of 1997 and adds an order to each status of 1995."""
+    landing, target, checkpoint = (new_table_path(spark, f"stream-{n}") for n in ("landing", "target", "checkpoint"))
+    schema = "o_orderkey bigint, o_orderstatus string, kind string, year int"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.lit("order").alias("kind"), F.year("o_orderdate").alias("year"))
+
+    def clean(df: DataFrame) -> DataFrame:
+        retracted = df.where("kind = 'retracted'").select("year").distinct()
+        kept = df.where("kind <> 'retracted'").join(retracted, "year", "left_anti")
+        return kept.groupBy("year", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")).select("o_orderstatus", "n", "year")
+
+    def arrive(rows: DataFrame) -> None:
+        writers.write_partitions(rows, landing, ["year"], "append")
+        refresh_from_landing(spark, landing, schema, clean, target, ["year"], checkpoint)
+
+    arrive(orders)
+    statuses = orders.where("year = 1995").select("o_orderstatus").distinct()
+    more = statuses.select(F.lit(-1).cast("bigint").alias("o_orderkey"), "o_orderstatus", F.lit("order").alias("kind"), F.lit(1995).alias("year"))
+    gone = orders.where("year = 1997").limit(1).select(F.lit(-2).cast("bigint").alias("o_orderkey"), "o_orderstatus", F.lit("retracted").alias("kind"), "year")
+    arrive(more.unionByName(gone))
+    return spark.read.parquet(target).select("year", "o_orderstatus", "n")
