@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from caudal.functions.numeric import Number, column, known
 from caudal.operators.joins import join_same
+from caudal.session import stored
 
 
 def yoy_delta(
@@ -91,9 +92,11 @@ def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
     the lower slices give the position, so no task sorts a whole group. Boundaries are
     approximate, positions exact. Only the boundaries, at most ``slices`` numbers, pass
     through the driver: they are fixed before the plan runs, and a re-run task slices
-    alike.
+    alike. The counts are stored, as boundaries, totals and positions all need them: the
+    input is read and shuffled once for the three.
     """
     counts = df.select(*by, known(value).alias("v")).where(F.col("v").isNotNull()).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "value-counts")
     slices = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = _boundaries(counts, slices)
     if cuts:

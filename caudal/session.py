@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _going: set[str] = set()
+_made_up: dict[str, str] = {}
 SHARED_FOLDER_KEY = "spark.checkpoint.dir"
 
 
@@ -37,9 +38,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{SHARED_FOLDER_KEY} must name a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="caudal-")
-    spark.conf.set(SHARED_FOLDER_KEY, folder)
-    return folder
+    # kept here, as a running session does not take this setting
+    app = spark.sparkContext.applicationId
+    if app not in _made_up:
+        _made_up[app] = tempfile.mkdtemp(prefix="caudal-")
+    return _made_up[app]
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -50,3 +53,10 @@ def new_table_path(spark: SparkSession, name: str) -> str:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
         _going.add(folder)
     return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, however often it is used, and safe from lost executors."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -120,6 +120,20 @@ def test_positions_spread_one_hot_group(spark):
     assert max(sizes) < 2 * 50_000 / 16
 
 
+def test_values_are_counted_once(spark, new_path):
+    """Boundaries, totals and positions come from stored counts: the plan does not scan the input for them."""
+    path = new_path("input")
+    spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    positions = windows.value_positions(df, "v", ["g"])
+    assert not [f for f in positions.inputFiles() if "/input" in f] and positions.count() == 1000
+    quartiles = windows.quantiles_by(df, "v", {"half": 0.5}, ["g"])
+    assert not [f for f in quartiles.inputFiles() if "/input" in f]
+    assert {r.g: r.half for r in quartiles.collect()} == {0: 499.5, 1: 499.0, 2: 500.0}
+    ranked = windows.rank_by(df, "v", "place")._jdf.queryExecution().executedPlan().toString()
+    assert ranked.count("/input") == 1
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, new_path):
     """The rebalance hint splits a partition that holds most of the data."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")

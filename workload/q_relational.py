@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caudal.functions import bands, numeric, text
 from caudal.operators import aggregates, filters, joins, windows
 from caudal.operators.profile import describe_by, null_counts_by, profile, value_pairs
+from caudal.plans import places
 from workload import bindings, lake
 from workload.bindings import table
 from workload.catalog import query
@@ -145,11 +146,32 @@ PLACES = "(SELECT n_name AS country_name, CAST(n_nationkey AS DOUBLE) AS lat, CA
 
 @query("JOI-11", f"SELECT country_name, lat, lon, count(*) AS n FROM (SELECT n_name AS country_name FROM customer JOIN nation ON c_nationkey = n_nationkey) JOIN {PLACES} USING (country_name) GROUP BY ALL")
 def coordinates_of_countries(spark, d):
-    places = table(spark, d, "nation").where("n_nationkey % 5 <> 0").select(
+    known = table(spark, d, "nation").where("n_nationkey % 5 <> 0").select(
         F.col("n_name").alias("country_name"), F.col("n_nationkey").cast("double").alias("lat"), (-F.col("n_nationkey")).cast("double").alias("lon"))
     counted = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
     named = joins.attach(counted, table(spark, d, "nation"), "n_nationkey", ["n_name"]).withColumnRenamed("n_name", "country_name")
-    return joins.attach_places(named, places, "country_name").select("country_name", "lat", "lon", "n")
+    return joins.attach_places(named, known, "country_name").select("country_name", "lat", "lon", "n")
+
+
+def _places(rows, cols: str) -> str:
+    quoted = [", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"CAST({v} AS DOUBLE)" for v in row) for row in rows]
+    return "(VALUES " + ", ".join(f"({i}, {row})" for i, row in enumerate(quoted)) + f") AS p(i, {cols})"
+
+
+@query("JOI-11", f"""SELECT 'country' AS map, p.country_name, CAST(NULL AS VARCHAR) AS province_name, lat, lon, n FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1)
+    JOIN {_places(places.COUNTRIES, 'country_name, lat, lon')} ON c_nationkey * 2 = i
+    UNION ALL SELECT 'province', p.country_name, p.province_name, lat, lon, n FROM (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1)
+    JOIN {_places(places.PROVINCES, 'country_name, province_name, lat, lon')} ON s_nationkey * 3 = i""")
+def places_on_the_map(spark, d):
+    """Customers and suppliers by nation, each nation standing for a country or province of the place tables; those beyond have no coordinates."""
+    name = lambda rows, k, col: F.get(F.lit([r[k] for r in rows]), col.cast("int"))
+    customers = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    named = customers.select(F.coalesce(name(places.COUNTRIES, 0, F.col("c_nationkey") * 2), F.lit("Nowhere")).alias("country_name"), "n")
+    suppliers = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    at = F.col("s_nationkey") * 3
+    local = suppliers.select(name(places.PROVINCES, 0, at).alias("country_name"), name(places.PROVINCES, 1, at).alias("province_name"), "n")
+    world = places.on_country_map(named).select(F.lit("country").alias("map"), "country_name", F.lit(None).cast("string").alias("province_name"), "lat", "lon", "n")
+    return world.unionByName(places.on_province_map(local).select(F.lit("province").alias("map"), "country_name", "province_name", "lat", "lon", "n"))
 
 
 # ---- aggregations ----------------------------------------------------------------------
@@ -268,9 +290,9 @@ def _profile_sql(name: str, cols: dict[str, str]) -> str:
     return " UNION ALL ".join(p.replace("round(100.0 *", "CAST(round(100.0 *").replace(", 2) AS pct", ", 2) AS DOUBLE) AS pct") for p in parts)
 
 
-@query("AGG-25", _profile_sql("customer", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}))
+@query("AGG-25", _profile_sql("customer", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}))
 def column_profile(spark, d):
-    return profile(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    return profile(table(spark, d, "customer"))
 
 
 @query("AGG-26 SET-03", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
