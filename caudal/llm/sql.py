@@ -62,39 +62,26 @@ SELECT page_id, url_key, outcome, CASE WHEN outcome = 'resolved' THEN response_i
        CASE WHEN outcome = 'resolved' THEN size ELSE '0' END AS content_length, 'max-age=3600' AS cache_control FROM judged"""
 
 
-def _hash(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
-
-
 def line_dedup() -> str:
-    agreed = lambda mine, first: f"""list_transform(range(1, least(len({mine}), len({first})) + 1), lambda i: ({mine}[i]).h = ({first}[i]).h)"""
-    run = lambda mine, first: f"{mine}[1:coalesce(list_position({agreed(mine, first)}, false) - 1, len({agreed(mine, first)}))]"
-    return rf"""WITH src AS (SELECT DISTINCT coalesce(doc_id, -9223372036854775808) AS doc, {_hash('text')} AS kind, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+    """By the definition: a line goes if it lies in a run of lines, of RUN_WORDS words or more, whose lines stand earlier in the same
+    order. Runs of up to RUN_WORDS lines say it all, as every line has a word: any line of a longer run lies in one of that many."""
+    return rf"""WITH src AS (SELECT DISTINCT coalesce(doc_id, -9223372036854775808) AS doc, md5(text) AS kind, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
     cut AS (SELECT doc, kind, unnest(range(len(parts)))::INTEGER AS pos, unnest(parts) AS line FROM src),
     plain AS (SELECT doc, kind, pos, trim(regexp_replace(lower(line), '{SPACE}', ' ', 'g')) AS line FROM cut),
-    lines AS (SELECT doc, kind, pos, {_hash('line')} AS h, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM plain WHERE line <> ''),
-    placed AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY doc, kind ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM lines),
-    windowed AS (
-        SELECT doc, kind, arg_min(pos, h) OVER w AS least, sum(words) OVER w >= {RUN_WORDS} AS filled FROM placed
-        WINDOW w AS (PARTITION BY doc, kind ORDER BY start RANGE BETWEEN CURRENT ROW AND {RUN_WORDS - 1} FOLLOWING)),
-    chosen AS (SELECT DISTINCT doc, kind, least AS pos FROM windowed WHERE filled),
-    around AS (
-        SELECT *, list({{'pos': pos, 'h': h, 'words': words, 'start': start}}) OVER (PARTITION BY doc, kind ORDER BY pos ROWS BETWEEN {RUN_WORDS} PRECEDING AND {RUN_WORDS} FOLLOWING) AS near FROM placed),
-    sides AS (
-        SELECT doc, kind, pos, h, words, list_reverse(list_sort(list_filter(near, lambda x: x.pos < pos AND x.start + x.words > start - {RUN_WORDS}))) AS before, list_sort(list_filter(near, lambda x: x.pos > pos AND x.start < start + words + {RUN_WORDS})) AS after
-        FROM around JOIN chosen USING (doc, kind, pos)),
-    firsts AS (SELECT h, min(struct_pack(doc := doc, kind := kind, pos := pos)) AS origin FROM sides GROUP BY h HAVING count(*) > 1),
-    pairs AS (
-        SELECT s.*, f.before AS first_before, f.after AS first_after FROM sides s JOIN firsts USING (h)
-        JOIN sides f ON f.doc = origin.doc AND f.kind = origin.kind AND f.pos = origin.pos AND f.h = s.h WHERE struct_pack(doc := s.doc, kind := s.kind, pos := s.pos) <> origin),
-    runs AS (SELECT doc, kind, words, pos, {run('before', 'first_before')} AS back, {run('after', 'first_after')} AS on_ FROM pairs),
-    gone AS (
-        SELECT DISTINCT doc, kind, unnest(list_concat([pos], list_transform(back, lambda x: x.pos), list_transform(on_, lambda x: x.pos))) AS pos FROM runs
-        WHERE words + coalesce(list_sum(list_transform(back, lambda x: x.words)), 0) + coalesce(list_sum(list_transform(on_, lambda x: x.words)), 0) >= {RUN_WORDS}),
+    lines AS (SELECT doc, kind, pos, line, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM plain WHERE line <> ''),
+    ahead AS (
+        SELECT doc, kind, pos, list(line) OVER w AS texts, list(words) OVER w AS counts, list(pos) OVER w AS places FROM lines
+        WINDOW w AS (PARTITION BY doc, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND {RUN_WORDS - 1} FOLLOWING)),
+    sized AS (SELECT *, unnest(range(1, len(texts) + 1)) AS n FROM ahead),
+    runs AS (
+        SELECT struct_pack(doc := doc, kind := kind, pos := pos) AS place, array_to_string(texts[1:n], chr(10)) AS run, places[1:n] AS places
+        FROM sized WHERE list_sum(counts[1:n]) >= {RUN_WORDS}),
+    firsts AS (SELECT run, min(place) AS origin FROM runs GROUP BY run HAVING count(*) > 1),
+    gone AS (SELECT DISTINCT place.doc AS doc, place.kind AS kind, unnest(places) AS pos FROM runs JOIN firsts USING (run) WHERE place <> origin),
     lists AS (SELECT doc, kind, list(pos ORDER BY pos) AS removed FROM gone GROUP BY ALL)
     SELECT doc_id, CASE WHEN text IS NOT NULL THEN len(string_split(text, chr(10)))::INTEGER END AS n_lines, coalesce(array_to_string(removed, ','), '') AS removed_lines,
            CASE WHEN removed IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(len(string_split(text, chr(10)))), lambda i: NOT list_contains(removed, i::INTEGER)), lambda i: string_split(text, chr(10))[i + 1]), chr(10)) END AS text
-    FROM documents LEFT JOIN lists ON coalesce(doc_id, -9223372036854775808) = doc AND {_hash('text')} = kind"""
+    FROM documents LEFT JOIN lists ON coalesce(doc_id, -9223372036854775808) = doc AND md5(text) = kind"""
 
 
 SQL = {"op5_mixture": mixture(), "op8_revisits": REVISITS, "op9_line_dedup": line_dedup()}
