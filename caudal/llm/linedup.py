@@ -1,20 +1,22 @@
 """Line dedup by winnowing: later repeats of runs of lines are deleted.
 
-Lines are what stands between newlines; they are compared in lower case with white space collapsed, by 60 bits of MD5.
+Lines are what stands between newlines; they are compared in lower case with white space collapsed, by all 128 bits of MD5.
 Lines without a word take no part and always stay.
 
-1. Windows are measured in words: from each line, the lines that begin within the next `run_words` words. The line with the
-   smallest hash in each full window is selected. So any repeated run of at least run_words words holds a selected line, a
-   line of so many words is always selected, and of a run of short lines only about one in a window is.
-2. Each selected line that stands earlier elsewhere (in a document with a smaller doc_id, or further up in the same one) is
-   joined to its first position: one row for each occurrence, never a pair of occurrences.
-3. The match is extended both ways while the neighbouring lines agree. Neighbours within run_words words travel with the
-   selected line; further ones need no look, as they fall into windows of their own.
-4. If the extended run has run_words words or more, its later copy goes, line by line. First copies stay.
+1. Windows are measured in words: from each line ahead, and from each line back, the fewest lines that hold `run_words` words. The
+   line with the smallest hash in each is its fingerprint; any repeated run of so many words holds such windows whole.
+2. Fingerprints are joined to their first positions: of all windows with the same fingerprint and the same lines (a digest), the
+   earliest (in a document with a smaller doc_id, or further up in the same one). One row for each window, never a pair of them.
+3. Matches reach both ways by their windows: a line goes if a window that looks ahead from it or past it, or back from it, stands
+   earlier, wherever that is. Extending one first match instead would end where that copy goes on differently, though another
+   earlier copy agrees. So exactly those lines go that lie in a run of run_words words or more whose lines stand earlier in the
+   same order; the windows of a run of that length cover all its lines.
+4. Later copies go line by line. First copies stay.
 
 Defined results: a NULL text stays NULL, an empty one empty. Rows with the same doc_id and text are one document and are
 treated alike (use a document dedup for them). A NULL doc_id comes before all others. Documents with the same doc_id and
-other texts are ordered by their texts' hashes. Other columns pass through, whatever their names, apart from those added.
+other texts are ordered by their texts' hashes. Other columns pass through, whatever their names; those named like the two that
+are added are replaced. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ ADDED = ("n_lines", "removed_lines")
 
 
 def _hash(text: Column) -> Column:
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def _key(doc_id: str, text: str) -> list[Column]:
@@ -52,68 +54,47 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def selected(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """The window minima, with their neighbours: doc, kind, pos, h, words, before and after (nearest first, pos, h, words)."""
+def windows_of(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """The full windows ahead and back: doc, kind, lines (positions), words, h (the fingerprint), d1, d2 (digest of the lines)."""
     doc = Window.partitionBy("doc", "kind").orderBy("pos")
     start = F.sum("words").over(doc.rowsBetween(Window.unboundedPreceding, -1))
     placed = lines.repartition("doc", "kind").dropDuplicates(["doc", "kind", "pos"]).withColumn("start", F.coalesce(start, F.lit(0)))
-    near = Window.partitionBy("doc", "kind").orderBy("start")
-    line = F.struct("pos", "h", "words", "start")  # each has a word at least
-    ahead = near.rangeBetween(0, run_words - 1)
-    windowed = (
-        placed.withColumn("least", F.min(F.struct("h", "pos")).over(ahead))
-        .withColumn("full", F.sum("words").over(ahead) >= run_words)
-        .withColumn("least", F.when(F.col("full"), F.col("least.pos")))
-        .withColumn("around", F.collect_list(line).over(doc.rowsBetween(-run_words, run_words)))
-        # a line is selected if it is the least of a window that begins with it or before it, within run_words words
-        .withColumn("chosen", F.collect_set("least").over(near.rangeBetween(1 - run_words, 0)))
-    )
+    # each line has a word at least, so a window has run_words lines at most
+    near = placed.withColumn("around", F.collect_list(F.struct("pos", "h", "words", "start")).over(doc.rowsBetween(1 - run_words, run_words - 1)))
     end = F.col("start") + F.col("words")
-    bare = lambda lines: F.transform(lines, lambda x: F.struct(x.pos.alias("pos"), x.h.alias("h"), x.words.alias("words")))
-    after = bare(F.filter("around", lambda x: (x.pos > F.col("pos")) & (x.start < end + run_words)))
-    before = bare(F.reverse(F.filter("around", lambda x: (x.pos < F.col("pos")) & (x.start + x.words > F.col("start") - run_words))))
-    return windowed.filter(F.array_contains("chosen", F.col("pos"))).select("doc", "kind", "pos", "h", "words", before.alias("before"), after.alias("after"))
+    ahead = F.filter("around", lambda x: (x.pos >= F.col("pos")) & (x.start < F.col("start") + run_words))
+    back = F.filter("around", lambda x: (x.pos <= F.col("pos")) & (x.start + x.words > end - run_words))
+    both = near.select("doc", "kind", ahead.alias("ahead"), back.alias("back"))
+    each = F.when(F.col("ahead") == F.col("back"), F.array("ahead")).otherwise(F.array("ahead", "back"))
+    opened = both.select("doc", "kind", F.explode(each).alias("w"))
+    total = F.element_at("w.start", -1) + F.element_at("w.words", -1) - F.element_at("w.start", 1)
+    sized = opened.select("doc", "kind", F.col("w.pos").alias("lines"), total.alias("words"), F.col("w.h").alias("hs")).filter(F.col("words") >= run_words)
+    digest = [F.xxhash64(F.lit(i), F.col("hs")).alias(f"d{i}") for i in (1, 2)]
+    return sized.select("doc", "kind", "lines", "words", F.array_min("hs").alias("h"), *digest)
 
 
 def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The runs to delete: doc, kind, lines (positions), words, and where the first copy stands (first_doc, first_kind, first_pos)."""
-    chosen = stored(selected(lines_of(docs, doc_id, text), run_words), "winnowed")
-    place = F.struct("doc", "kind", "pos")
-    firsts = stored(
-        chosen.groupBy("h").agg(F.min(F.struct(place.alias("at"), "before", "after")).alias("f"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").select("h", "f.*"),
-        "first-positions",
-    )
-    agree = lambda mine, first: F.aggregate(  # noqa: E731  the neighbours that agree, up to the first that doesn't
-        F.arrays_zip(F.col(mine).alias("mine"), F.col(first).alias("first")),
-        F.struct(F.lit(True).alias("on"), F.array().cast("array<struct<pos:int,h:bigint,words:bigint>>").alias("run")),
-        lambda acc, x: F.when(acc.on & (x.mine.h == x.first.h), F.struct(F.lit(True).alias("on"), F.concat(acc.run, F.array(x.mine)).alias("run"))).otherwise(
-            F.struct(F.lit(False).alias("on"), acc.run.alias("run"))
-        ),
-    ).run
-    first = firsts.select("h", "at", F.col("before").alias("first_before"), F.col("after").alias("first_after"))
-    run = F.concat(F.reverse(agree("before", "first_before")), F.array(F.struct("pos", "h", "words")), agree("after", "first_after"))
-    return (
-        chosen.join(first, "h").filter(place != F.col("at"))
-        .select("doc", "kind", run.alias("run"), "at")
-        .select("doc", "kind", F.col("run.pos").alias("lines"), F.aggregate("run.words", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("words"),
-                F.col("at.doc").alias("first_doc"), F.col("at.kind").alias("first_kind"), F.col("at.pos").alias("first_pos"))
-        .filter(F.col("words") >= run_words)
-    )
+    """The windows to delete: doc, kind, lines (positions), words, and where the first copy stands (first_doc, first_kind, first_pos)."""
+    windows = stored(windows_of(lines_of(docs, doc_id, text), run_words), "winnowed")
+    place = F.struct("doc", "kind", F.get("lines", F.lit(0)).alias("pos"))
+    same = ["h", "d1", "d2"]
+    firsts = windows.groupBy(*same).agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return windows.join(firsts, same).filter(place != F.col("at")).select(
+        "doc", "kind", "lines", "words", F.col("at.doc").alias("first_doc"), F.col("at.kind").alias("first_kind"), F.col("at.pos").alias("first_pos"))
 
 
 def drop_repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the later copies of repeated runs cut from the text, and n_lines and removed_lines (ascending positions)."""
     gone = (
         repeated_runs(docs, run_words, doc_id, text).select("doc", "kind", F.explode("lines").alias("pos"))
-        .groupBy("doc", "kind").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
+        .groupBy("doc", "kind").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    )
+    keyed = docs.select(*_key(doc_id, text), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # other names stay inside
+    joined = keyed.join(gone, ["doc", "kind"], "left").withColumn("lines", F.split(F.col("row").getField(text), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    old = F.col("row").getField(text)
+    cut = F.when(F.col("gone").isNull(), old).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")).alias(text)
+    return joined.select(
+        *[cut if c == text else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED],
+        F.when(old.isNotNull(), F.size("lines")).alias("n_lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("removed_lines"),
     )
-    keyed = docs.withColumns({"__doc": _key(doc_id, text)[0], "__kind": _key(doc_id, text)[1]})
-    lines = F.split(F.col(text), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone")
-    joined = keyed.join(gone.select(F.col("doc").alias("__doc"), F.col("kind").alias("__kind"), "__gone"), ["__doc", "__kind"], "left").withColumn("__lines", lines)
-    return joined.withColumns({
-        text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")),
-        "n_lines": F.when(F.col(text).isNotNull(), F.size("__lines")),
-        "removed_lines": F.coalesce("__gone", F.array().cast("array<int>")),
-    }).select(*[f"`{c}`" for c in docs.columns if c not in ADDED], *ADDED)

@@ -1,6 +1,7 @@
 """Line dedup, decontamination and the URL filter against brute force."""
 
 import collections
+import hashlib
 import random
 from urllib.parse import urlsplit
 
@@ -60,6 +61,40 @@ def test_runs_of_short_lines(spark):
     assert got == {1: [], 2: [2, 3, 4, 6, 7], 3: [], 4: []}
 
 
+def removed_by_definition(rows, least=8):
+    """For each document the lines of runs that stand earlier: all runs, of whatever length, by all earlier ones."""
+    docs = []
+    for doc, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).digest())):
+        docs.append((doc, text, [(p, tuple(x.lower().split())) for p, x in enumerate(text.split("\n")) if x.split()]))
+    out, seen = {}, set()
+    for doc, text, lines in docs:
+        gone, fresh = set(), []
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                run = tuple(x for _, x in lines[i:j])
+                if sum(map(len, run)) >= least:
+                    if run in seen:
+                        gone.update(p for p, _ in lines[i:j])
+                    fresh.append(run)
+                    seen.add(run)  # later starts of this document find it, too
+        out[doc, text] = sorted(gone)
+    return out
+
+
+def test_runs_are_those_of_the_definition(spark):
+    rng = random.Random(8)
+    vocabulary = ["a b", "c", "d e f", "g h i j k l m n", "o p q r s t u v w x", "", "y", "see also"]
+    rows = [(1, "p q r\nsee also\ns t u"), (2, "one two three\nsee also\nseven eight nine"), (3, "one two three\nsee also\nseven eight nine")]
+    rows += [(4, "w w w w w w w w\ny"), (5, "w w w w w w w w\nx"), (6, "w w w w w w w w\nx"), (7, "x\n" * 12), (None, "c\na b\n" * 6)]
+    rows += [(10 + i, "\n".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    docs = documents(spark, rows).withColumns({n: F.lit("x") for n in ("row", "doc", "kind", "gone", "lines", "h", "__doc", "__lines")})
+    got = {(r.doc_id, r.removed_lines and tuple(r.removed_lines) or ()): r for r in linedup.drop_repeated_lines(docs).collect()}
+    want = removed_by_definition(rows)
+    assert set(got) == {(doc, tuple(lines)) for (doc, _), lines in want.items()}
+    assert want[3, rows[2][1]] == [0, 1, 2] and want[6, rows[5][1]] == [0, 1] and want[5, rows[4][1]] == [0]
+    assert all(r["row"] == r["doc"] == r["gone"] == r["lines"] == "x" for r in got.values())
+
+
 def words(text):
     return regex.findall(r"[\p{L}\p{M}\p{N}]+", (text or "").lower())
 
