@@ -78,7 +78,7 @@ def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "do
     windows = stored(windows_of(lines_of(docs, doc_id, text), run_words), "winnowed")
     place = F.struct("doc", "kind", F.get("lines", F.lit(0)).alias("pos"))
     same = ["h", "d1", "d2"]
-    firsts = windows.groupBy(*same).agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    firsts = stored(windows.groupBy(*same).agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "first-positions")
     return windows.join(firsts, same).filter(place != F.col("at")).select(
         "doc", "kind", "lines", "words", F.col("at.doc").alias("first_doc"), F.col("at.kind").alias("first_kind"), F.col("at.pos").alias("first_pos"))
 
