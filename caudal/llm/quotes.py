@@ -6,7 +6,9 @@ lower case, with white space collapsed, by their MD5. What a message wrote itsel
 blank lines) or by single lines: it is listed under the hash of each.
 
 A passage links to the latest earlier message of its conversation that wrote it (an as-of join in slices, so that a
-conversation or passage with a third of all rows is many groups). A message replies to the message that its outermost
+conversation or passage with a third of all rows is many groups). A passage that no message wrote as such may be trimmed: it links
+to the latest earlier message that wrote all of its lines, whatever stood between them. Each line asks for the latest message
+that wrote it; if those differ, the earliest of them bounds the next round, until all lines meet in one. A message replies to the message that its outermost
 passages link to, the latest of them; deeper ones are counted as links, not as parents. The result has each message's own
 text, parent, root and depth: sorted by conversation, root and turn, it is the conversations in reply order.
 
@@ -18,6 +20,8 @@ whole. Other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +29,7 @@ from caudal.llm.asof import latest_before
 from caudal.llm.common import SPACES, stored
 
 MARKS = r"^((?:[ \t]*>)+)"
-ANNOUNCED = r"^On .{1,200} wrote:$"
+ANNOUNCED = r"^On .+ wrote:$"
 MAX_ROUNDS = 64
 
 
@@ -65,7 +69,11 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     origins = hashes.select("conv_id", "turn", F.md5(F.col("piece").cast("binary")).alias("hash"), F.struct(F.col("turn").alias("at")).alias("origin")).distinct()
     quoted = found.filter("level > 0").select("conv_id", "turn", "role", "source", "passage", "level", normalised(body).alias("piece"))
     quoted = quoted.withColumn("hash", F.when(F.col("piece") != "", F.md5(F.col("piece").cast("binary")))).drop("piece")
-    linked = latest_before(quoted, origins, ["conv_id", "hash"], "turn", "origin").select(*quoted.columns, F.col("origin.at").alias("at"))
+    whole = latest_before(quoted, origins, ["conv_id", "hash"], "turn", "origin").select(*quoted.columns, F.col("origin.at").alias("at"))
+    whole = stored(whole.withColumn("q", F.monotonically_increasing_id()), "whole-passages")
+    lines = found.filter("level > 0").select("conv_id", "turn", "role", "source", "passage", "lines")
+    trimmed = _trimmed(whole.filter("at is null and hash is not null"), lines, origins)
+    linked = whole.join(trimmed, "q", "left").withColumn("at", F.coalesce("at", "met")).drop("q", "met")
     replies = linked.groupBy("conv_id", "turn", "role", "source").agg(
         F.count(F.lit(1)).alias("n_quotes"), F.count("at").alias("n_linked"), F.min(F.when(F.col("at").isNotNull(), F.struct("level", (-F.col("at")).alias("back")))).alias("outer")
     )
@@ -85,6 +93,25 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
 
 
+def _trimmed(passages: DataFrame, lines: DataFrame, origins: DataFrame) -> DataFrame:
+    """q, met: the latest earlier message that wrote all lines of a passage, for those that have one."""
+    place = ["conv_id", "turn", "role", "source", "passage"]
+    same = [passages[c].eqNullSafe(lines[c]) for c in place]
+    each = passages.join(lines, same).select("q", passages["conv_id"], passages["turn"].alias("turn"), F.explode("lines").alias("line"))
+    each = each.select("q", "conv_id", "turn", normalised(F.col("line")).alias("line")).filter("line <> ''")
+    asked = stored(each.select("q", "conv_id", "turn", F.md5(F.col("line").cast("binary")).alias("hash")).distinct(), "quoted-lines")
+    met = []
+    while not asked.isEmpty():
+        wrote = latest_before(asked, origins, ["conv_id", "hash"], "turn", "origin").select("q", F.col("origin.at").alias("at"))
+        bounds = wrote.groupBy("q").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.count_if(F.col("at").isNull()).alias("unknown"))
+        bounds = stored(bounds.filter("unknown = 0"), "line-bounds")
+        met.append(bounds.filter("low = high").select("q", F.col("low").alias("met")))
+        apart = bounds.filter("low < high").select("q", (F.col("low") + 1).alias("before"))
+        asked = stored(asked.join(apart, "q").select("q", "conv_id", F.col("before").alias("turn"), "hash"), "quoted-lines")
+    none = passages.select("q", F.col("at").alias("met")).limit(0)
+    return reduce(DataFrame.unionAll, met, none)
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """conv_id, turn, up (root), depth, by doubling the way up in each round. Rounds move only what is not at its root yet."""
     names = ["conv_id", "turn", "up", "depth"]

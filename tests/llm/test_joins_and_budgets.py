@@ -107,6 +107,13 @@ def brute_links(messages):
         found = []
         for level, lines in passages(text or ""):
             turns = [t for c, piece, t in wrote if level and c == conv and piece == plain("\n".join(lines)) and t < turn]
+            asked = {plain(x) for x in lines} - {""}
+            if level and asked and not turns:  # trimmed: all lines by one message
+                mine = collections.defaultdict(set)
+                for c, piece, t in wrote:
+                    if c == conv and t < turn:
+                        mine[t].add(piece)
+                turns = [t for t, pieces in mine.items() if asked <= pieces]
             if turns:
                 found.append((level, -max(turns)))
         parents[conv, turn] = -min(found)[1] if found else None
@@ -118,6 +125,8 @@ def test_quotes_find_their_messages(spark):
         (1, 0, "First thought.\nSecond  line."), (1, 1, "On turn 0, user wrote:\n> first thought.\n> Second line.\n\nI agree."),
         (1, 2, "> second line.\nOnly that one"), (1, 3, "On turn 1, b wrote:\n> On turn 0, a wrote:\n>> First thought.\n>> Second line.\n> I agree.\n\nMe too"),
         (1, 4, ">>> nobody wrote this\nNothing linked"), (1, 5, "Nothing linked"), (1, 6, "> Nothing linked\n"), (2, 0, "> I agree."), (2, 1, None), (2, 2, ""), (2, 3, ">"),
+        (5, 0, "one\ntwo\nthree\nfour\nfive"), (5, 1, "two\nthree"), (5, 2, "three\nother"), (5, 3, "> two\n> three\n> four\nTrimmed"), (5, 4, "> three\n> two\nTurned"),
+        (5, 5, "> two\n> nobody's\nNot all"), (5, 6, "On " + "a long day " * 40 + "she wrote:\n> five\n> one\nFar apart"), (5, 7, "> two\n> five\n> other\nOf no one message"),
         (3, 0, "same"), (3, 1, "same"), (3, 2, "> same\nlater"), (3, 3, " > later\nOn a walk she wrote:\nthe end"),
     ]
     rows = [(c, t, "user", x) for c, t, x in said] + [(1, 2, "user", said[2][2]), (None, 1, "user", "> same"), (4, None, "user", "> same")]
@@ -125,6 +134,7 @@ def test_quotes_find_their_messages(spark):
     got = quotes.link_quotes(frame).collect()
     assert len(got) == len(said) + 2
     want = brute_links(said)
+    assert [want[5, t] for t in range(3, 8)] == [0, 1, None, 0, None]
     own = {}
     for r in got:
         if r.conv_id is None or r.turn is None:
@@ -141,14 +151,28 @@ def test_quotes_find_their_messages(spark):
 
 
 def test_derived_replies_answer_the_turn_before(spark):
-    turns = spark.read.parquet(f"{SF}/conversations.parquet").collect()
-    got = {(r.conv_id, r.turn): r for r in queries.op4_quotation_links(spark, SF).collect()}
+    larger = "/root/testdata/sf0.01"
+    plain = lambda t: " ".join(t.lower().split())
+    turns = spark.read.parquet(f"{larger}/conversations.parquet").collect()
+    got = {(r.conv_id, r.turn): r for r in queries.op4_quotation_links(spark, larger).collect()}
     texts = {(r.conv_id, r.turn): r.text for r in turns}
     assert len(got) == len(texts)
+    n_trimmed = 0
     for (conv, turn), r in got.items():
         assert r.own_text == texts[conv, turn].strip("\n")
-        same = [t for (c, t), x in texts.items() if c == conv and t < turn and x.lower().split() == texts.get((conv, turn - 1), "").lower().split()]
-        assert r.parent_turn == (max(same) if same else None)
+        before = {t: x for (c, t), x in texts.items() if c == conv and t < turn}
+        quoted = before.get(turn - 1)
+        if quoted is None:
+            assert r.parent_turn is None
+            continue
+        lines = quoted.split("\n")
+        if (conv + turn) % 4 == 1 and len(lines) >= 3:
+            n_trimmed += 1
+            lines = lines[1:-1]
+        whole = [t for t, x in before.items() if plain("\n".join(lines)) in {plain(x), *map(plain, x.split("\n"))}]
+        parts = [t for t, x in before.items() if {plain(y) for y in lines} - {""} <= set(map(plain, x.split("\n")))]
+        assert r.parent_turn == max(whole or parts, default=None), (conv, turn)
+    assert n_trimmed > 20
 
 
 def test_latest_before_with_a_hot_key(spark):
