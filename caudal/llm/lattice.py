@@ -46,7 +46,7 @@ class Settings:
     """vocabulary: a SentencePiece model file, read by the driver. pseudo: sum of the pseudo-counts."""
 
     vocabulary: str = VOCABULARY
-    rounds: int = 1
+    rounds: int = 2
     pseudo: float = 1000.0
     frequent: int = 65_536
 
