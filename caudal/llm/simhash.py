@@ -22,13 +22,16 @@ So copies, near copies and hot patterns never become all pairs, and no group is
 drop_near_duplicates takes the index as a search for candidates and keeps those whose shingle sets have the wanted Jaccard
 similarity, exactly (by 64-bit hashes of the shingles). Texts with equal sets are one beforehand. A first look, under few masks,
 verifies the nearest and the first neighbour of each fingerprint, which joins most of a large group. The second look gives every
-pair within the radius that shares a node and is not in one group yet: once, from the first mask the two share. Pairs of sets whose
-sizes rule the similarity out are left out. Texts that are within the radius but not similar enough stay pairs to verify, so
-many texts of one template cost the square of their number.
+pair within the radius that shares a node and is not in one group yet: once, from the first mask the two share. Pairs that cannot
+be similar enough are left out where they are found: by the sizes of their sets, and by odd sketches. An odd sketch is a string of
+bits of which every shingle turns one over, so two sketches never differ in more bits than the sets in shingles: what it rules out
+is surely under the similarity. It tells best up to some 500 shingles. What it leaves within the radius is verified, so many
+long texts of one template still cost the square of their number.
 
 Defined results: NULL and empty texts, and texts without words, have fingerprint zero and link like any other. Fewer words
 than a shingle has are one shingle. Rows with a NULL doc_id have a fingerprint and no component, and are not removed. Rows
-with equal doc_id count as one document in components; one of them stays, the first by text. Other columns pass through.
+with equal doc_id count as one document in components; one of them stays, the first by text. Other columns, whatever their names,
+pass through.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.common import mapped, stored
@@ -50,6 +53,8 @@ SEED = 42
 LEAF = 64
 SMALL_NODE = 32
 FIRST_LOOK = 32
+SKETCH = 4  # 64-bit words of an odd sketch
+SKETCHED = [f"s{i}" for i in range(SKETCH)]
 
 
 @dataclass(frozen=True)
@@ -73,7 +78,7 @@ class Index:
         return [_as_words(sum(1 << int(b) for b in draw.choice(bits, self.mask_bits, replace=False)), self.words) for _ in range(self.masks)]
 
 
-def similar(similarity: float = 0.8, words: int = 2, masks: int = 192, mask_bits: int = 16, spread: float = 4.0) -> Index:
+def similar(similarity: float = 0.8, words: int = 2, masks: int = 112, mask_bits: int = 14, spread: float = 4.0) -> Index:
     """An index for texts whose shingle sets are so similar (Jaccard): the distance expected there, and `spread` standard deviations."""
     bits, angle = 64 * words, math.acos(2 * similarity / (1 + similarity)) / math.pi
     return Index(math.ceil(bits * angle + spread * math.sqrt(bits * angle * (1 - angle))), words, None, masks, mask_bits)
@@ -198,12 +203,16 @@ def _parts(index: Index) -> Column:
     return F.ceil(F.col("node_n") / max(1, index.node_rows // 2))
 
 
-def _blocks(large: DataFrame, index: Index) -> DataFrame:
-    """Rows of large nodes, once for each pair of parts that theirs is in. side tells a block's two parts apart, and is 0 in the block of one part."""
+def _paired(large: DataFrame, index: Index) -> DataFrame:
+    """Rows of large nodes, once for each pair of parts (low, high) that theirs is in. side tells the two apart, and is 0 in the pair of a part with itself."""
     mine = large.withColumn("part", F.pmod(F.xxhash64("id"), _parts(index)))
     both = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), _parts(index) - 1)))
     side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
-    return both.withColumns({"node": F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other")), "side": side}).drop("part", "other", "node_n")
+    return both.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other"), "side": side}).drop("part", "other", "node_n")
+
+
+def _blocks(large: DataFrame, index: Index) -> DataFrame:
+    return _paired(large, index).withColumn("node", F.xxhash64("node", "low", "high")).drop("low", "high")
 
 
 def _resolved(placed: DataFrame, names: list[str], index: Index) -> DataFrame:
@@ -341,8 +350,14 @@ def near_duplicate_groups(docs: DataFrame, index: Index = Index(), shingle: int
     return known.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
+def odd_sketch(distinct: np.ndarray) -> list[int]:
+    """Bits that are 1 where an odd number of the hashes falls."""
+    return np.packbits(np.bincount((distinct >> np.uint64(56)).astype(np.int64), minlength=64 * SKETCH) & 1, bitorder="little").view("<u8").tolist()
+
+
 def shingle_sets(docs: DataFrame, shingle: int, words: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, w0, ..., n (distinct shingles), k0, k1 (hash of the set of shingles): a row for each row of docs."""
+    """doc_id, w0, ..., n (distinct shingles), k0, k1 (hash of the set of shingles), s0, ... (its odd sketch): a row for each row of docs."""
+    names = [*[f"w{i}" for i in range(words)], "n", "k0", "k1", *SKETCHED]
 
     def work(batches) -> Iterator[dict]:
         for batch in batches:
@@ -351,22 +366,49 @@ def shingle_sets(docs: DataFrame, shingle: int, words: int, doc_id: str, text: s
                 hashes = shingle_hashes(t.as_py(), shingle)
                 distinct = np.unique(hashes)
                 key = xxhash.xxh3_128_intdigest(distinct.tobytes())
-                found.append([*_print(hashes, words), len(distinct), key >> 64, key & (2**64 - 1)])
-            table = np.array(found, dtype=np.uint64).reshape(-1, words + 3).view(np.int64)
-            yield {"doc_id": batch.column(0), **{f"w{i}": table[:, i] for i in range(words)}, "n": table[:, words], "k0": table[:, words + 1], "k1": table[:, words + 2]}
+                found.append([*_print(hashes, words), len(distinct), key >> 64, key & (2**64 - 1), *odd_sketch(distinct)])
+            table = np.array(found, dtype=np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield {"doc_id": batch.column(0), **{c: table[:, i] for i, c in enumerate(names)}}
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return mapped(rows, work, "doc_id bigint, " + ", ".join(f"w{i} bigint" for i in range(words)) + ", n bigint, k0 bigint, k1 bigint")
+    return mapped(rows, work, ", ".join(f"{c} bigint" for c in ["doc_id", *names]))
+
+
+def _under(sets: DataFrame, masks: int) -> DataFrame:
+    """Each row once for each mask, in many tasks also where few files hold the table."""
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sets.repartition(tasks, "id").select("*", F.explode(F.sequence(F.lit(0), F.lit(masks - 1))).alias("mask"))
+
 
+def _node_of(names: list[str], masks: list[tuple[int, ...]]) -> Column:
+    """The node of a row under its mask. It follows from the other columns, so a shuffle need not carry it."""
+    mine = F.get(F.array(*[F.array(*[F.lit(w).cast("bigint") for w in m]) for m in masks]), F.col("mask"))
+    return F.xxhash64("mask", *[F.col(n).bitwiseAND(F.get(mine, F.lit(i))) for i, n in enumerate(names)])
 
-def _placed(sets: DataFrame, index: Index, names: list[str], masks: list[tuple[int, ...]]) -> DataFrame:
-    literal = F.array(*[F.struct(F.lit(i).alias("mask"), F.array(*[F.lit(w).cast("bigint") for w in m]).alias("masks")) for i, m in enumerate(masks)])
-    return sets.select("*", F.inline(literal)).withColumn("node", _at_node(names)).drop("masks")
+
+def _large_nodes(sets: DataFrame, index: Index, names: list[str], masks: list[tuple[int, ...]]) -> DataFrame | None:
+    """mask, node, node_n of the nodes with over node_rows rows. Rows are first counted by buckets of nodes, some 16 for each node_rows
+    of all rows, which tasks sum up before the shuffle; nodes are then counted in the buckets with over node_rows rows."""
+    buckets = 1 << max(10, math.ceil(math.log2(max(1, sets.count() * len(masks) * 16 // index.node_rows))))
+    placed = _under(sets.select("id", *names), len(masks)).select("mask", _node_of(names, masks).alias("node")).withColumn("bucket", F.pmod("node", F.lit(buckets)))
+    full = stored(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > index.node_rows).select("bucket"), "large-buckets")
+    if full.isEmpty():
+        return None
+    large = placed.join(full, "bucket", "left_semi").groupBy("mask", "node").agg(F.count(F.lit(1)).alias("node_n")).filter(F.col("node_n") > index.node_rows)
+    large = stored(large, "large-nodes")
+    return None if large.isEmpty() else large
+
+
+def _in_nodes(rows: DataFrame, names: list[str], masks: list[tuple[int, ...]], carried: list[str]) -> DataFrame:
+    """node and the carried columns, by whole nodes, each in Gray order. rows: mask, names, the carried ones, and the parts low and high of a large node."""
+    node = F.xxhash64(_node_of(names, masks), "low", "high")
+    sent = rows.select("mask", "low", "high", *[c for c in carried if c != "mask"], *names).repartition(node)
+    return sent.select(node.alias("node"), *carried, *names).sortWithinPartitions("node", *[gray_rank(F.col(w)) for w in names])
 
 
 def _neighbours(sets: DataFrame, index: Index, similarity: float) -> DataFrame:
     """The first look: a, b with the nearest neighbour of each id, and the first by id, under FIRST_LOOK masks. sets: id, w0, ..., n."""
-    names, radius = [f"w{i}" for i in range(index.words)], index.radius
+    names, radius, masks = [f"w{i}" for i in range(index.words)], index.radius, index.upper_masks()[:FIRST_LOOK]
 
     def work(batches) -> Iterator[dict]:
         for node, ids, n, *words in _whole_nodes(batches):
@@ -384,42 +426,51 @@ def _neighbours(sets: DataFrame, index: Index, similarity: float) -> DataFrame:
                 order = order[np.flatnonzero(np.concatenate(([True], ids[a[order[1:]]] != ids[a[order[:-1]]])))] if len(order) else order
                 yield {"kind": np.full(len(order), kind, dtype=np.int32), "a": ids[a[order]], "apart": by[order], "b": ids[b[order]]}
 
-    placed = _placed(sets, index, names, index.upper_masks()[:FIRST_LOOK])
-    large = placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("node_n")).filter(F.col("node_n") > index.node_rows)
-    large = stored(large, "large-nodes")
-    if not large.isEmpty():  # the first look may read a node in parts
-        cut = F.when(F.col("node_n").isNull(), F.col("node")).otherwise(F.xxhash64("node", F.pmod(F.xxhash64("id"), _parts(index))))
-        placed = placed.join(large, ["mask", "node"], "left").withColumn("node", cut)
-    rows = placed.select("node", "id", "n", *names).repartition("node").sortWithinPartitions("node", *[gray_rank(F.col(w)) for w in names])
+    rows, large, zero = _under(sets.select("id", "n", *names), len(masks)), _large_nodes(sets, index, names, masks), F.lit(0).cast("bigint")
+    if large is not None:  # the first look may read a node in parts
+        rows = rows.withColumn("node", _node_of(names, masks)).join(large, ["mask", "node"], "left")
+        rows = rows.withColumn("low", F.coalesce(F.pmod(F.xxhash64("id"), _parts(index)), zero)).drop("node", "node_n")
+    else:
+        rows = rows.withColumn("low", zero)
+    rows = _in_nodes(rows.withColumn("high", zero), names, masks, ["id", "n"])
     best = mapped(rows, work, "kind int, a bigint, apart bigint, b bigint").groupBy("kind", "a").agg(F.min(F.struct("apart", "b")).alias("best"))
     return best.select(F.greatest("a", "best.b").alias("a"), F.least("a", "best.b").alias("b")).distinct()
 
 
 def _candidates(sets: DataFrame, index: Index, similarity: float) -> DataFrame:
-    """The second look: all a, b within the radius that share a node, are in no group together and have fitting sizes. sets: id, w0, ..., n, component."""
+    """The second look: all a, b within the radius that share a node, are in no group together and may be similar. sets: id, w0, ..., n, s0, ..., component."""
     names, radius, masks = [f"w{i}" for i in range(index.words)], index.radius, index.upper_masks()
     patterns = np.array(masks, dtype=np.int64).view(np.uint64)
 
     def work(batches) -> Iterator[dict]:
         for node, mask, ids, n, component, side, *words in _whole_nodes(batches):
-            prints = np.stack(words, axis=1).view(np.uint64)
+            sketch = np.stack(words[:SKETCH], axis=1).view(np.uint64)
+            prints = np.stack(words[SKETCH:], axis=1).view(np.uint64)
             for a, b in _pairs(node, prints, component, radius):
                 fit = (component[a] != component[b]) & ((side[a] == 0) | (side[a] != side[b])) & _sizes_fit(n[a], n[b], similarity)
                 a, b = a[fit], b[fit]
+                fit = may_be_similar(sketch[a], sketch[b], n[a], n[b], similarity)
+                a, b = a[fit], b[fit]
                 differ, new = prints[a] ^ prints[b], np.ones(len(a), dtype=bool)
                 for k in range(int(mask[a].max()) if len(a) else 0):
                     new &= (mask[a] <= k) | ((differ & patterns[k]) != 0).any(axis=1)
                 a, b = ids[a[new]], ids[b[new]]
                 yield {"a": np.maximum(a, b), "b": np.minimum(a, b)}
 
-    placed = _placed(sets, index, names, masks)
-    hot = stored(placed.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("node_n")).filter(F.col("node_n") > index.node_rows), "large-nodes")
-    columns = ["node", "mask", "id", "n", "component", "side", *names]
-    rows = placed.withColumn("side", F.lit(0)).select(*columns)
-    if not hot.isEmpty():
-        rows = rows.join(hot, ["mask", "node"], "left_anti").select(*columns).unionAll(_blocks(placed.join(hot, ["mask", "node"]), index).select(*columns))
-    rows = rows.repartition("node").sortWithinPartitions("node", *[gray_rank(F.col(w)) for w in names])
-    return mapped(rows, work, "a bigint, b bigint").distinct()
+    carried = ["mask", "id", "n", "component", "side", *SKETCHED]
+    columns = ["mask", "low", "high", *carried[1:], *names]
+    placed, large, zero = _under(sets, len(masks)), _large_nodes(sets, index, names, masks), F.lit(0).cast("bigint")
+    rows = placed.withColumns({"low": zero, "high": zero, "side": F.lit(0)})
+    if large is not None:
+        by_node = placed.withColumn("node", _node_of(names, masks))
+        rows = rows.withColumn("node", _node_of(names, masks)).join(large, ["mask", "node"], "left_anti").select(*columns)
+        rows = rows.unionAll(_paired(by_node.join(large, ["mask", "node"]), index).select(*columns))
+    return mapped(_in_nodes(rows, names, masks, carried), work, "a bigint, b bigint").distinct()
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether odd sketches x, y of sets of n and m leave the Jaccard similarity possible: sets that have it differ in few enough elements."""
+    return np.bitwise_count(x ^ y).sum(axis=1) <= (n + m) * (1 - similarity) / (1 + similarity) + 1e-9
 
 
 def _sizes_fit(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
@@ -487,7 +538,7 @@ def drop_near_duplicates(docs: DataFrame, index: Index | None = None, shingle: i
     names = [f"w{i}" for i in range(index.words)]
     prints = stored(shingle_sets(docs, shingle, index.words, doc_id, text), "fingerprints")
     known = prints.filter("doc_id is not null")
-    sets = stored(known.groupBy("k0", "k1", "n", *names).agg(F.min("doc_id").alias("id")), "distinct-sets")
+    sets = stored(known.groupBy("k0", "k1", "n", *names, *SKETCHED).agg(F.min("doc_id").alias("id")), "distinct-sets")
     twice = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
     twice = stored(twice, "repeated-ids")
     # a doc_id that has several sets is one document
@@ -496,10 +547,13 @@ def drop_near_duplicates(docs: DataFrame, index: Index | None = None, shingle: i
     edges = stored(alike(docs, _neighbours(sets, index, similarity), shingle, similarity, doc_id, text).unionAll(one), "first-links")
     of = lambda edges: sets.join(connected_components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     more = alike(docs, _candidates(stored(of(edges), "first-groups"), index, similarity), shingle, similarity, doc_id, text)
-    first = of(edges.unionAll(more)).select(F.col("component").alias("__first")).distinct()
-    keyed = docs.withColumn("__id", F.col(doc_id).cast("bigint"))
-    kept = keyed.join(first, keyed["__id"] == first["__first"], "left").filter("__first is not null or __id is null")
+    first = of(edges.unionAll(more)).select(F.col("component").alias("first")).distinct()
+    # rows without an id stay as they are and meet no join; the other names stay inside
+    keyed = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = keyed.filter("id is not null").join(first, F.col("id") == F.col("first"), "left_semi")
     if not twice.isEmpty():
-        order = Window.partitionBy("__id").orderBy(F.col(text).asc_nulls_first())
-        kept = kept.withColumn("__row", F.row_number().over(order)).filter("__row = 1 or __id is null")
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+        again = twice.withColumnRenamed("doc_id", "again")
+        repeated = kept.join(again, F.col("id") == F.col("again"), "left_semi").groupBy("id").agg(F.min_by("row", F.struct(F.col("row").getField(text))).alias("row"))
+        kept = kept.join(again, F.col("id") == F.col("again"), "left_anti").unionAll(repeated)
+    whole = keyed.filter("id is null").unionAll(kept)
+    return whole.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

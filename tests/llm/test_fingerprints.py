@@ -230,3 +230,31 @@ def test_large_nodes_lose_no_link(spark):
         assert of(small) == of(index)
     kept = lambda x: sorted(r.doc_id for r in simhash.drop_near_duplicates(docs, x).collect())
     assert kept(small) == kept(index) == brute_kept(rows)
+
+
+def test_odd_sketches_rule_out_only_what_is_under_the_similarity():
+    rng = np.random.default_rng(11)
+    ruled_out = 0
+    for _ in range(2000):
+        n, share = int(rng.integers(1, 400)), rng.random()
+        common, own = rng.integers(0, 2**64, (2, n), dtype=np.uint64)
+        x, y = np.unique(common), np.unique(np.where(rng.random(n) < 0.4 * share, own, common))
+        both = len(np.intersect1d(x, y))
+        similar = both >= 0.8 * (len(x) + len(y) - both)
+        sketches = [np.array([simhash.odd_sketch(z)], dtype=np.uint64) for z in (x, y)]
+        may = simhash.may_be_similar(*sketches, np.array([len(x)]), np.array([len(y)]), 0.8)[0]
+        assert may or not similar
+        ruled_out += not may and not similar
+    assert ruled_out > 500
+    none = np.array([simhash.odd_sketch(np.zeros(0, dtype=np.uint64))], dtype=np.uint64)
+    assert simhash.may_be_similar(none, none, np.array([0]), np.array([0]), 0.8).all()
+
+
+def test_many_rows_without_an_id_and_names_of_the_inside(spark):
+    rows = [(None, "same words here") for _ in range(40)] + [(1, "b c d e f g"), (1, None), (1, "a"), (2, "other words")]
+    docs = documents(spark, rows).withColumns({"id": F.lit("x"), "row": F.lit("y"), "first": F.lit(1), "again": F.lit(2), "__id": F.lit(3)})
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got))) == sorted(map(repr, [(None, "same words here")] * 40 + [(1, None), (2, "other words")]))
+    assert {(r["id"], r["row"], r["first"], r["again"], r["__id"]) for r in got} == {("x", "y", 1, 2, 3)}
