@@ -11,7 +11,7 @@ that space itself. Strings of special tokens are ordinary text.
 4. Counts. Links are counted by pair of ids over the whole corpus, and each pair is compared with the best of its B id.
 
 Both tokenizers cut at a single space between two other characters, whatever is around it, and after a letter before some marks.
-So texts are cut there first, and each distinct stretch of a chunk of documents is encoded once. Chunks are neighbouring documents of about `chunk` code points (a longer
+So texts are cut there first, and each distinct stretch of a chunk of documents is encoded once, many of them as one text. Chunks are neighbouring documents of about `chunk` code points (a longer
 text is alone). A chunk's distinct pairs, not its documents' links, are joined with the corpus counts and come back to the chunk.
 
 Defined results: a NULL or empty text has no tokens, nor has one whose tokens' bytes differ from space and text (such as one with
@@ -27,9 +27,10 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import chain, count
 from typing import NamedTuple
 
 import numpy as np
@@ -42,8 +43,8 @@ from caudal.llm.common import chunks, mapped, stored
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 4_000_000
-#: A worker remembers stretches from one chunk to the next, until they are so many, those of the chunks before once more, and encodes so many together.
-REMEMBERED, TOGETHER = 200_000, 2048
+#: A worker remembers so many stretches from one chunk to the next, and encodes so many as one text.
+REMEMBERED, TOGETHER = 500_000, 256
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -67,14 +68,14 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Stretch(NamedTuple):
-    """a, b: ids and ends of the tokens, in characters if all end with one, else in bytes. whole: whether they spell the stretch."""
+class Aligned(NamedTuple):
+    """Of stretches: numbers of tokens and links, all links in a row as pairs a * n_b + b, and groups as text. No links: other bytes."""
 
-    a: list[int]
-    a_ends: list[int]
-    b: list[int]
-    b_ends: list[int]
-    whole: bool
+    n_a: np.ndarray
+    n_b: np.ndarray
+    sizes: np.ndarray
+    links: np.ndarray
+    groups: list[str]
 
 
 class Encoders:
@@ -94,26 +95,54 @@ class Encoders:
         name = self.pieces.id_to_piece
         self.n_b = self.pieces.get_piece_size()
         self.b_bytes = [bytes([int(name(i)[3:5], 16)]) if self.pieces.is_byte(i) else name(i).replace("▁", " ").encode() for i in range(self.n_b)]
-
-    def stretches(self, texts: list[str]) -> Iterator[Stretch]:
-        """Each text with a space before it."""
-        spaced = [" " + t for t in texts]
-        a_found = self.byte_bpe.encode_batch(spaced, add_special_tokens=False)
-        b_found = self.pieces.encode(texts, return_type="offset_mapping", num_threads=1)
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for text, x, y in zip(spaced, a_found, b_found):
-            data = text.encode("utf-8", "surrogatepass")
-            a, b, spans = x.ids, y["ids"], x.offsets
-            if b"".join(map(a_bytes, a)) != data or b"".join(map(b_bytes, b)) != data:
-                yield Stretch([], [], [], [], False)
-                continue
-            a_ends, b_ends = [e for _, e in spans], [e + 1 for _, e in y["offsets"]]
-            if len({*a_ends}) < len(a) or len({*b_ends}) < len(b):  # tokens end inside a character
-                at = [0, *accumulate(len(c.encode()) for c in text)]
-                coarse = [at[e] if i == len(a) or e <= spans[i][0] else None for i, (_, e) in enumerate(spans, 1)]
-                a_ends = _refined(coarse, map(a_bytes, a))
-                b_ends = _refined([at[e + 1] if e > begin else None for begin, e in y["offsets"]], map(b_bytes, b))
-            yield Stretch(a, a_ends, b, b_ends, True)
+        self.names = [str(i) for i in range(max(max(self.a_bytes) + 1, self.n_b))]
+
+    def aligned(self, stretches: list[str]) -> Iterator[Aligned]:
+        """The stretches in their order. Those between two other characters are encoded many at a time, others alone."""
+        alone = [i for i, s in enumerate(stretches) if s != s.strip()]
+        begin = 0
+        for end in [*alone, len(stretches)]:
+            for i in range(begin, end, TOGETHER):
+                yield from self._together(stretches[i : min(i + TOGETHER, end)])
+            yield from self._together(stretches[end : end + 1])
+            begin = end + 1
+
+    def _together(self, stretches: list[str]) -> Iterator[Aligned]:
+        """Stretches as one text with a space before each. Where bytes differ, halves are encoded apart, down to the stretch to blame."""
+        if not stretches:
+            return
+        text = " " + " ".join(stretches)
+        data = text.encode("utf-8", "surrogatepass")
+        x = self.byte_bpe.encode(text, add_special_tokens=False)
+        y = self.pieces.encode([text[1:]], return_type="offset_mapping", num_threads=1)[0]
+        x_ids, y_ids = x.ids, y["ids"]
+        spelled_a, spelled_b = [*map(self.a_bytes.__getitem__, x_ids)], [*map(self.b_bytes.__getitem__, y_ids)]
+        if b"".join(spelled_a) != data or b"".join(spelled_b) != data:
+            if len(stretches) == 1:
+                nothing = np.zeros(1, dtype=np.int64)
+                yield Aligned(nothing, nothing, nothing, nothing[:0], [""])
+            else:
+                half = len(stretches) // 2
+                yield from self._together(stretches[:half])
+                yield from self._together(stretches[half:])
+            return
+        at = np.append(np.flatnonzero(np.frombuffer(data, dtype=np.uint8) & 0xC0 != 0x80), len(data))
+        begins, ends = _columns(x.offsets)
+        a_ends = _refined(at[ends], np.append(begins[1:] >= ends[:-1], True), spelled_a)
+        begins, ends = _columns(y["offsets"])
+        b_ends = _refined(at[ends + 1], ends > begins, spelled_b)
+        cuts, a_at, b_at = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        stretch_ends = np.cumsum([1 + (len(s) if s.isascii() else len(s.encode("utf-8", "surrogatepass"))) for s in stretches])
+        upto = np.searchsorted(cuts, stretch_ends) + 1
+        links = np.array(x_ids)[a_at] * self.n_b + np.array(y_ids)[b_at]
+        a, b = [*map(self.names.__getitem__, x_ids)], [*map(self.names.__getitem__, y_ids)]
+        groups, p, q = [], 0, 0
+        for i, j in zip((a_at + 1).tolist(), (b_at + 1).tolist()):
+            groups.append(f"{a[p]}|{b[q]}" if i - p == j - q == 1 else f"{','.join(a[p:i])}|{','.join(b[q:j])}")
+            p, q = i, j
+        bounds = [0, *upto.tolist()]
+        spelled = [";".join(groups[i:j]) for i, j in zip(bounds, bounds[1:])]
+        yield Aligned(np.diff(a_at[upto - 1] + 1, prepend=0), np.diff(b_at[upto - 1] + 1, prepend=0), np.diff(upto, prepend=0), links, spelled)
 
     def marks(self) -> dict[str, tuple[int, int]]:
         """Marks at which both cut after a letter, whatever follows: A's pattern does, and no piece of B has a letter before one."""
@@ -123,75 +152,67 @@ class Encoders:
         return {m: (own[m.encode()], self.pieces.piece_to_id(m)) for m in free if m in names}
 
 
-def _refined(ends: list[int | None], spelled: Iterable[bytes]) -> list[int]:
+def _columns(spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.fromiter(chain.from_iterable(spans), dtype=np.int64, count=2 * len(spans))
+    return flat[::2], flat[1::2]
+
+
+def _refined(ends: np.ndarray, known: np.ndarray, spelled: list[bytes]) -> np.ndarray:
     """The ends that are known, and between them those of the decoded bytes."""
-    if None not in ends:
+    if known.all():
         return ends
-    out, last = [], 0
-    for end, data in zip(ends, spelled):
-        last = last + len(data) if end is None else end
-        out.append(last)
-    return out
-
-
-def cut_groups(s: Stretch) -> Iterator[tuple[list[int], list[int]]]:
-    """The groups of a stretch: A's ids and B's."""
-    a, a_ends, b, b_ends, _ = s
-    i = j = p = q = 0
-    while i < len(a_ends):
-        x, y = a_ends[i], b_ends[j]
-        if x < y:
-            i += 1
-        elif x > y:
-            j += 1
-        else:
-            i, j = i + 1, j + 1
-            yield a[p:i], b[q:j]
-            p, q = i, j
+    length = np.cumsum(np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled)))
+    last = np.maximum.accumulate(np.where(known, np.arange(len(ends)), -1))
+    return length + np.where(last < 0, 0, ends[last] - length[last])
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, … of each range, one range after the other."""
+    return np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
 class _Known:
-    """Stretches in the form that documents add up. The recent ones are remembered, from one task of a worker to the next."""
+    """Stretches in the form that documents add up, remembered from one task of a worker to the next until they are too many."""
 
     def __init__(self, files: Vocabularies):
-        self.encoders, self.new, self.old = Encoders(files), {}, {}
-        self.names = [str(i) for i in range(max(max(self.encoders.a_bytes) + 1, self.encoders.n_b))]
-        self.marks = {m: (1, 1, f"{a}|{b}", [a * self.encoders.n_b + b]) for m, (a, b) in self.encoders.marks().items()}
-
-    def _made(self, stretches: list[str]) -> Iterator[tuple[str, tuple[int, int, str, list[int]] | None]]:
-        n, name = self.encoders.n_b, self.names.__getitem__
-        for start in range(0, len(stretches), TOGETHER):
-            some = stretches[start : start + TOGETHER]
-            for s, x in zip(some, self.encoders.stretches(some)):
-                if not x.whole:
-                    yield s, None
-                    continue
-                text, links = [], []
-                for a, b in cut_groups(x):
-                    text.append(f"{name(a[0])}|{name(b[0])}" if len(a) == len(b) == 1 else f"{','.join(map(name, a))}|{','.join(map(name, b))}")
-                    links.append(a[-1] * n + b[-1])
-                yield s, (len(x.a), len(x.b), ";".join(text), links)
-
-    def of(self, stretches: list[str]) -> list[tuple[int, int, str, list[int]] | None]:
-        """n_a, n_b, groups as text, links as pairs a * n_b + b; None where the bytes differ."""
-        new, old, marks = self.new, self.old, self.marks
-        bare = [s[:-1] if s[-1] in marks and s[-2:-1].isalpha() else s for s in stretches]
-        for s in bare:
-            if s not in new and s in old:
-                new[s] = old[s]
-        gc.disable()  # a million lists that stay
-        new.update(self._made([s for s in dict.fromkeys(bare) if s not in new]))
+        self.encoders = Encoders(files)
+        self.marks = {m: (f";{a}|{b}", a * self.encoders.n_b + b) for m, (a, b) in self.encoders.marks().items()}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.n_a, self.n_b, self.sizes, self.begins, self.links = (array("q") for _ in range(5))
+
+    def _add(self, stretches: list[str]) -> None:
+        for x in self.encoders.aligned(stretches):
+            self.begins.frombytes((len(self.links) + np.cumsum(x.sizes) - x.sizes).tobytes())
+            for own, values in ((self.n_a, x.n_a), (self.n_b, x.n_b), (self.sizes, x.sizes), (self.links, x.links)):
+                own.frombytes(values.astype(np.int64).tobytes())
+            self.groups += x.groups
+        self.places.update(zip(stretches, range(len(self.places), len(self.groups))))
+
+    def of(self, stretches: list[str]) -> Aligned:
+        marks, places = self.marks, self.places
+        if len(places) > REMEMBERED:
+            self._forget()
+            places = self.places
+        added = [s[-1] if s[-1] in marks and s[-2:-1].isalpha() else "" for s in stretches]
+        bare = [s[:-1] if m else s for s, m in zip(stretches, added)]
+        gc.disable()  # millions of spans and texts, none in a cycle
+        self._add([s for s in dict.fromkeys(bare) if s not in places])
         gc.enable()
-        out = []
-        for whole, s in zip(stretches, bare):
-            value = new[s]
-            if value is not None and len(s) < len(whole):
-                mark = marks[whole[-1]]
-                value = (value[0] + 1, value[1] + 1, f"{value[2]};{mark[2]}", value[3] + mark[3])
-            out.append(value)
-        if len(new) > REMEMBERED:
-            self.old, self.new = new, {}
-        return out
+        at = np.fromiter(map(places.__getitem__, bare), dtype=np.int64, count=len(bare))
+        n_a, n_b, sizes, begins = (np.frombuffer(c, dtype=np.int64)[at] if len(at) else at for c in (self.n_a, self.n_b, self.sizes, self.begins))
+        links = np.frombuffer(self.links, dtype=np.int64)[_ranges(begins, sizes)] if len(self.links) else at[:0]
+        marked = np.flatnonzero((np.fromiter(map(len, added), dtype=np.int64, count=len(added)) > 0) & (sizes > 0))
+        links = np.insert(links, np.cumsum(sizes)[marked], [marks[added[i]][1] for i in marked])
+        for numbers in (n_a, n_b, sizes):
+            numbers[marked] += 1
+        groups = [*map(self.groups.__getitem__, at.tolist())]
+        for i in marked.tolist():
+            groups[i] += marks[added[i]][0]
+        return Aligned(n_a, n_b, sizes, links, groups)
 
 
 @functools.lru_cache(maxsize=1)
@@ -208,34 +229,32 @@ def _chunked(docs: DataFrame, files: Vocabularies, doc_id: str, text: str, as_di
     pack = (lambda parts: hashlib.sha256(";".join(parts).encode()).hexdigest()) if as_digest else ";".join
 
     def one(known: _Known, number: int, ids: pa.Array, texts: list[str | None]) -> Iterator[dict]:
-        places: dict[str, int] = {}
-        place = places.setdefault
         cut = [CUT.split(t) if t else [] for t in texts]
-        used = np.fromiter((place(w, len(places)) for words in cut for w in words), dtype=np.int32)
-        ends = np.cumsum([len(words) for words in cut])
+        words = [*chain.from_iterable(cut)]
+        places = dict(zip(dict.fromkeys(words), count()))
+        used = np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words))
+        ends = np.cumsum([*map(len, cut)])
         begins = np.concatenate(([0], ends[:-1]))
         found = known.of(list(places))
-        whole = np.array([x is not None for x in found], dtype=bool)
-        of_stretch = np.array([x[:2] if x else (0, 0) for x in found], dtype=np.int64).reshape(-1, 2)
-        sizes = np.array([len(x[3]) if x else 0 for x in found], dtype=np.int64)
+        whole = found.sizes > 0
 
         def per_text(values: np.ndarray) -> np.ndarray:
             upto = np.concatenate(([0], np.cumsum(values[used])))
             return upto[ends] - upto[begins]
 
         spelled = (per_text(~whole) == 0) & (ends > begins)
-        n_a, n_b, n_links = (np.where(spelled, per_text(v), 0) for v in (of_stretch[:, 0], of_stretch[:, 1], sizes))
-        times = np.bincount(used[np.repeat(spelled, ends - begins)], minlength=len(found))
-        pairs, links = np.unique(np.fromiter((p for x in found if x for p in x[3]), dtype=np.int64), return_inverse=True)
-        freq = np.bincount(links, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-        spell = [x and x[2] for x in found].__getitem__
+        n_a, n_b, n_links = (np.where(spelled, per_text(v), 0) for v in found[:3])
+        times = np.bincount(used[np.repeat(spelled, ends - begins)], minlength=len(places))
+        pairs, links = np.unique(found.links, return_inverse=True)
+        freq = np.bincount(links, weights=np.repeat(times, found.sizes), minlength=len(pairs)).astype(np.int64)
+        spell = found.groups.__getitem__
         used = [used[i:j] if ok else used[:0] for i, j, ok in zip(begins, ends, spelled)]
         groups = [pack(map(spell, u.tolist())) if len(u) else "" for u in used]
         n, empty = len(texts), [None] * len(texts)
         yield {"chunk": [number] * n, "doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": n_links, "n_links": n_links, "groups": groups, "used": used,
                "pairs": empty, "freq": empty, "links": empty, "sizes": empty}
         nothing = {k: [None] for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "used")}
-        yield {"chunk": [number], **nothing, "pairs": [pairs], "freq": [freq], "links": [links.astype(np.int32)], "sizes": [sizes.astype(np.int32)]}
+        yield {"chunk": [number], **nothing, "pairs": [pairs], "freq": [freq], "links": [links.astype(np.int32)], "sizes": [found.sizes.astype(np.int32)]}
 
     def work(batches) -> Iterator[dict]:
         known, number = _known(files), TaskContext.get().partitionId() << 32

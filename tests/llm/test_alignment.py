@@ -100,6 +100,16 @@ def test_whole_table(spark, plain):
 
 
 def test_tokens_that_share_a_character():
-    found = next(align.Encoders(align.Vocabularies.read()).stretches(["a𓀀é"]))
-    assert found.whole and found.a_ends[-1] == found.b_ends[-1] == len(" a𓀀é".encode())
-    assert [len(a) for a, _ in align.cut_groups(found)] == [1, 1, 1, 1, 1, 1]
+    found = next(align.Encoders(align.Vocabularies.read()).aligned(["a𓀀é"]))
+    assert found.sizes.tolist() == found.n_a.tolist() == found.n_b.tolist() == [6]
+    assert [len(g.split("|")[0].split(",")) for g in found.groups[0].split(";")] == [1, 1, 1, 1, 1, 1]
+
+
+def test_stretches_encoded_together_are_those_encoded_alone():
+    encoders = align.Encoders(align.Vocabularies.read())
+    stretches = ["a", "don't", "é漢", " b", "c\n", "x▁y", "Zug,", "12", "👩‍👩‍👧", "\x1c", "end"]
+    together, alone = (
+        [(a, b, n, g) for x in found for a, b, n, g in zip(x.n_a.tolist(), x.n_b.tolist(), x.sizes.tolist(), x.groups)]
+        for found in (encoders.aligned(stretches), (x for s in stretches for x in encoders.aligned([s])))
+    )
+    assert together == alone and [n for _, _, n, _ in alone].count(0) == 1
