@@ -19,6 +19,9 @@ from caudal.functions.numeric import Number, column, known
 from caudal.operators.joins import join_same
 from caudal.session import stored
 
+#: More parts of a group than this meet in two rounds.
+PARTS_AT_ONCE = 64
+
 
 def yoy_delta(
     df: DataFrame,
@@ -59,7 +62,9 @@ def top_k(
     ``tie_break`` must make the order total for a repeatable result. Overall, each
     task keeps its best k; per group Spark limits each group to k rows per task before
     the shuffle, so neither a hot group nor the whole table reaches one task. Spark does
-    so up to a threshold; for a larger k each group is cut in parts first, by a hash.
+    so up to a threshold; for a larger k each group is cut in parts first, by a hash, and
+    many parts meet in two rounds, so that none gets k rows from more than about the
+    square root of all parts.
     """
     v = F.abs(column(value)) if absolute else column(value)
     if isinstance(df.select(v).schema[0].dataType, (T.DoubleType, T.FloatType)):
@@ -69,9 +74,12 @@ def top_k(
         return df.orderBy(*order).limit(k)
     conf = df.sparkSession.conf
     if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
+        parts = int(conf.get("spark.sql.shuffle.partitions"))
+        df = df.withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)))
         inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
-        df = df.withColumn("_part", part).withColumn("_place", inside).where(F.col("_place") <= k).drop("_part", "_place")
+        for n in [parts] if parts <= PARTS_AT_ONCE else [parts, math.isqrt(parts)]:
+            df = df.withColumn("_part", F.col("_part") % n).withColumn("_place", inside).where(F.col("_place") <= k)
+        df = df.drop("_part", "_place")
     place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
 

@@ -60,6 +60,21 @@ def test_large_k_on_a_hot_group(spark):
     assert top._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
 
 
+def test_large_k_of_many_parts_meets_in_two_rounds(spark):
+    """With 100 parts a hot group of 20,000 rows meets in 10 first, and the last window gets k rows from each of those."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("rest").alias("g"), (F.col("id") * 7919 % 10_007).alias("v"), "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        top = windows.top_k(df, "v", 1500, ["g"], tie_break=["id"])
+        got = sorted(map(tuple, top.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    best = {g: sorted((r for r in map(tuple, df.collect()) if r[0] == g), key=lambda r: (-r[1], r[2]))[:1500] for g in ("hot", "rest")}
+    assert got == sorted(best["hot"] + best["rest"]) and top.columns == df.columns
+    assert top._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 3
+
+
 def test_ranking_with_a_third_unknown(spark):
     df = spark.range(9_000).select("id", F.when(F.col("id") % 3 > 0, (F.col("id") % 1000).cast("double")).alias("v"))
     ranked = windows.rank_by(df, "v")
