@@ -48,6 +48,14 @@ class Files:
         finally:
             stream.close()
 
+    def listing(self, folder: str) -> tuple[tuple[str, int, int], ...]:
+        """Name, size and time of change of every file below a folder."""
+        found, files = [], self._fs.listFiles(self._path(folder), True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return tuple(sorted(found))
+
     def matching(self, pattern: str) -> list[str]:
         return sorted(str(f.getPath().toString()) for f in self._fs.globStatus(self._path(pattern)) or [])
 

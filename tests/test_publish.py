@@ -15,6 +15,7 @@ from caudal.plans.refresh import Layers, read_clean, read_gold, read_model, refr
 from caudal.sources import readers, writers
 from caudal.sources.publish import Publication, recover
 from caudal.streaming.landing import refresh_from_landing
+from workload import lake as workload_lake
 
 from conftest import values
 from test_jobs import land
@@ -273,3 +274,14 @@ def test_schemas_of_landings_merge(spark, tmp_path):
     with pytest.raises(ValueError, match="a int, now string"):
         readers.store_schema(spark, root, of("a string, d int"))
     assert readers.stored_schema(spark, root).names == ["a", "b", "c"]
+
+
+def test_layers_are_built_anew_when_a_table_folder_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workload_lake, "_built", {})
+    folder, built = f"{tmp_path}/tables", []
+    build = lambda: built.append(len(built)) or Layers(f"{tmp_path}/lake-{len(built)}")
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    first = workload_lake._once(spark, folder, "clean", build)
+    assert workload_lake._once(spark, folder, "clean", build) is first and len(built) == 1
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert workload_lake._once(spark, folder, "clean", build) is not first and len(built) == 2

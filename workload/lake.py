@@ -1,4 +1,4 @@
-"""The three layers, written once per application and table folder, as in production.
+"""The three layers, written once per application and state of a table folder, as in production.
 
 Queries on the star schema and the indicators read the stored layers, so facts are
 pruned by year and lookups are small by their statistics. Everything is derived by
@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from caudal.plans.refresh import Layers, read_model, refresh_clean, refresh_gold, refresh_star
 from caudal.plans.star import WIDE
 from caudal.session import new_table_path
+from caudal.sources.publish import Files
 from workload import bindings
 
-_built: dict[tuple[str, str, str], Layers] = {}
+_built: dict[tuple, Layers] = {}
 
 
 def _once(spark: SparkSession, d: str, stage: str, build) -> Layers:
-    key = (spark.sparkContext.applicationId, d, stage)
+    key = (spark.sparkContext.applicationId, Files(spark, d).listing(d), stage)
     if key not in _built:
         _built[key] = build()
     return _built[key]
