@@ -145,3 +145,13 @@ def test_hot_partition_is_written_by_several_tasks(spark, new_path):
         assert {r.year: r["count"] for r in files}[2020] > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_salted_lookup_is_not_broadcast(spark):
+    """The lookup looks small before its rows are repeated; all copies of it are not built in one task."""
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"))
+    dim = spark.range(5).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    out = joins.attach(df, dim, "k", ["name"], verify=True, salt=8)
+    assert out.where("name = concat('n', k)").count() == 715 and out.count() == 1000
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
