@@ -1,11 +1,14 @@
 """Plans stay distributed, and hot keys change nothing but where the work is done."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from caudal.operators import aggregates, joins, quality, windows
 from caudal.plans.cleaning import monthly_climate
 from caudal.sources import writers
+from workload import bindings, lake
 from workload.queries import CATALOG
 
 D = "/root/testdata/sf0.001"
@@ -155,3 +158,22 @@ def test_salted_lookup_is_not_broadcast(spark):
     assert out.where("name = concat('n', k)").count() == 715 and out.count() == 1000
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("query", "built"), [
+    ("dim_residence_type", ["clean/coverage", "model/residence_type"]),
+    ("dictionary_of_stored_table", ["clean/indicators"]),
+    ("clean_climate", ["clean/climate"]),
+    ("coverage_grain_and_range", ["clean/coverage"]),
+    ("mobility_by_year", ["clean/coverage", "gold/kpi_02", "model/country", "model/date", "model/residence_type", "model/service_level", "model/service_type", "model/wash_coverage"]),
+])
+def test_only_the_tables_asked_for_are_built(spark, monkeypatch, query, built):
+    monkeypatch.setattr(lake, "_built", {})
+    assert CATALOG[query].run(spark, D).count() > 0
+    root = Path(lake._layers(spark, D).root.removeprefix("file:"))
+    assert sorted(str(p.relative_to(root)) for p in root.glob("*/*")) == built
+
+
+def test_calendar_has_the_years_of_the_climate(spark):
+    ends = lambda df: df.agg(F.min("year"), F.max("year")).first()
+    assert ends(bindings.climate_years(spark, D)) == ends(bindings.climate(spark, D))

@@ -248,7 +248,7 @@ def residence_pivot(spark, d):
 @query("SRC-16 PRJ-13 PRJ-12", with_parts("""SELECT country_key, country_name, year, CAST(water_urban_pct AS DOUBLE) AS water_urban_pct, CAST(water_rural_pct AS DOUBLE) AS water_rural_pct,
     CAST(gap_urban_rural_pp AS DOUBLE) AS gap_urban_rural_pp, risk_level FROM kpi_05""", "kpi_05"))
 def served_kpi_05(spark, d):
-    return serve(read_gold(spark, lake.gold_layer(spark, d), "kpi_05"))
+    return serve(read_gold(spark, lake.gold_layer(spark, d, ["kpi_05"]), "kpi_05"))
 
 
 @query("WIN-05", with_parts("""SELECT country_name, year, gap_urban_rural_pp, CAST(rank() OVER (PARTITION BY year ORDER BY abs(gap_urban_rural_pp) DESC) AS BIGINT) AS place FROM kpi_05""", "kpi_05"))
