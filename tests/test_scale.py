@@ -177,3 +177,14 @@ def test_only_the_tables_asked_for_are_built(spark, monkeypatch, query, built):
 def test_calendar_has_the_years_of_the_climate(spark):
     ends = lambda df: df.agg(F.min("year"), F.max("year")).first()
     assert ends(bindings.climate_years(spark, D)) == ends(bindings.climate(spark, D))
+
+
+def test_months_are_summed_after_the_shuffle(spark):
+    """Rows are dealt out before any sum is begun, which would take a map task several times their size."""
+    schema = "k int, year int, month int, precipitation_sum double, et0_fao_evapotranspiration double, temperature_2m_max double, temperature_2m_min double"
+    rows = [(k, 2020, 1 + d % 2, 1.0, 0.5, 20.0, 10.0) for k in range(3) for d in range(10)] + [(None, 2020, 1, 2.0, None, None, None), (1, None, 1, 9.0, 9.0, 9.0, 9.0)]
+    monthly = monthly_climate(spark.createDataFrame(rows, schema), ["k"])
+    assert sorted((r.k is None, r.k or 0, r.month, r.precip_total_mm, r.et0_total_mm, r.temp_max_avg_c) for r in monthly.collect()) == [
+        *[(False, k, m, 5.0, 2.5, 20.0) for k in range(3) for m in (1, 2)], (True, 0, 1, 2.0, 0.0, None)]
+    plan = monthly._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_sum" in plan and plan.index("partial_sum") < plan.index("REPARTITION_BY_COL"), plan
